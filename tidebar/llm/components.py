@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,3 +58,49 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return found.unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def linked_components(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    close: Callable[[str, str], Column] = lambda a, b: F.lit(True),
+) -> DataFrame:
+    """Components of ``(node, component)`` among ids that share a bucket and are alike.
+
+    ``buckets(id, bucket)`` names candidates, ``close`` is a cheap condition on two id
+    columns, ``verify`` keeps the ``(u, v)`` of a frame of pairs that are alike.
+    No group is paired in full: each id is compared with the least and the
+    greatest id of each of its buckets, which joins up nearly all of a large
+    group with a few comparisons for each id. A bucket whose ids are then in one
+    component holds no further news; in the others, ids of different components are
+    compared, each pair of them.
+    """
+    from .common import cut
+
+    w = Window.partitionBy("bucket")
+    crowd = cut(
+        buckets.select("bucket", "id", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high")).where("low <> high")
+    )
+    near = cut(
+        crowd.select("id", F.explode(F.array("low", "high")).alias("end"))
+        .where((F.col("id") != F.col("end")) & close("id", "end"))
+        .select(F.least("id", "end").alias("u"), F.greatest("id", "end").alias("v"))
+        .distinct()
+    )
+    links = cut(verify(near))
+    labels = connected_components(links)
+    named = cut(crowd.join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("class")))
+    mixed = named.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
+    left = named.join(mixed.select("bucket"), "bucket", "left_semi")
+    rest = cut(
+        left.alias("a")
+        .join(
+            left.alias("b"),
+            (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class") < F.col("b.class")) & close("a.id", "b.id"),
+        )
+        .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
+        .distinct()
+        .join(near, ["u", "v"], "left_anti")  # compared above
+    )
+    more = cut(verify(rest))
+    return labels if more.isEmpty() else connected_components(links.unionByName(more))

@@ -30,7 +30,7 @@ WITH s AS (
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY bar, {rank} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM o
 ), l AS (
-  SELECT *, coalesce(min(CASE WHEN level <= bar THEN level END) OVER (),
+  SELECT *, coalesce(max(CASE WHEN level <= bar THEN level END) OVER (),
     CAST('Infinity' AS DOUBLE)) AS water FROM f
 )
 SELECT source, source_size, least(CAST({cap} AS DOUBLE) * source_size, weight * water) AS target FROM l
@@ -43,7 +43,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0
     A source gets ``weight * level`` words, at most ``cap`` times its size.
     Sources that reach their cap first are those with the least ``cap * size /
     weight``; behind each of them the level for the others follows in closed
-    form, and the first one that no later source exceeds is the level at which
+    form, and the first level within the next source's reach (the greatest such one) is where
     reshared excess settles. The windows run over one row for each source.
     """
     return sized.sparkSession.sql(
@@ -117,7 +117,7 @@ WITH d AS (
 ), f AS (SELECT *, (total - CAST(2.0 AS DOUBLE) * CAST(coalesce(sum(source_size) OVER (ORDER BY bar, rn
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT))
     / sum(weight) OVER (ORDER BY bar, rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM o
-), l AS (SELECT *, coalesce(min(CASE WHEN level <= bar THEN level END) OVER (), CAST('Infinity' AS DOUBLE)) AS water FROM f
+), l AS (SELECT *, coalesce(max(CASE WHEN level <= bar THEN level END) OVER (), CAST('Infinity' AS DOUBLE)) AS water FROM f
 ), t AS (SELECT source, source_size, least(CAST(2.0 AS DOUBLE) * source_size, weight * water) AS target FROM l
 ), c AS (SELECT d.*, t.source_size, t.target,
     CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size

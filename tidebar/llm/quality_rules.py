@@ -7,6 +7,7 @@ repeated rows each give a row; further columns of the input are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,11 +90,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
-    from pyspark.sql.types import BooleanType
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
 
-    @pandas_udf(BooleanType())
+    @F.pandas_udf("boolean")
     def passes(texts: pd.Series) -> pd.Series:
         return pd.Series([measure(t)[6] for t in texts], dtype=bool)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_decontamination
 from .html_text import op7_html_extraction
 from .lang_id import op6_language_id
 from .line_crf import op4_quality_classifier
@@ -15,7 +16,7 @@ from .urls import op10_url_filters
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_simhash, op3_mixing, op4_quality_classifier, op5_line_dedup, op6_language_id,
+        op1_simhash, op2_decontamination, op3_mixing, op4_quality_classifier, op5_line_dedup, op6_language_id,
         op7_html_extraction, op8_secret_scans, op9_quality_rules, op10_url_filters,
     )
 }
