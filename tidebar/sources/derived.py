@@ -152,7 +152,7 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
         "security_id", "trade_date", F.substring("security_id", 2, 6).alias("SECURITY_CODE"), F.date_format("trade_date", "yyyyMMdd").alias("TRADE_DATE_TEXT"),
         F.when(st, F.when(d % 2 == 0, "1.0").otherwise("1")).otherwise("0").alias("IS_ST_SEC"),
         F.when(d % 31 == 0, "1").otherwise("0").alias("IS_SUSP_SEC"), F.when(d % 37 == 0, "1").otherwise("0").alias("IS_XR_SEC"),
-        F.col("close").alias("PRECLOSE"), F.round(F.col("close") * (1 + rate), 2).alias("HIGH_LIMITED"), F.round(F.col("close") * (1 - rate), 2).alias("LOW_LIMITED"),
+        F.col("close").alias("PRECLOSE"), (F.col("close") * (1 + rate)).alias("HIGH_LIMITED"), (F.col("close") * (1 - rate)).alias("LOW_LIMITED"),
         "close",
     )
 
@@ -161,6 +161,6 @@ STATUS_SQL = RAW_BARS_SQL + """,
 status AS (SELECT security_id, trade_date, substr(security_id, 2, 6) AS SECURITY_CODE, strftime(trade_date, '%Y%m%d') AS TRADE_DATE_TEXT,
     CASE WHEN st THEN CASE WHEN d % 2 = 0 THEN '1.0' ELSE '1' END ELSE '0' END AS IS_ST_SEC,
     CASE WHEN d % 31 = 0 THEN '1' ELSE '0' END AS IS_SUSP_SEC, CASE WHEN d % 37 = 0 THEN '1' ELSE '0' END AS IS_XR_SEC,
-    close AS PRECLOSE, round(close * (1 + rate), 2) AS HIGH_LIMITED, round(close * (1 - rate), 2) AS LOW_LIMITED, close
+    close AS PRECLOSE, close * (1 + rate) AS HIGH_LIMITED, close * (1 - rate) AS LOW_LIMITED, close
   FROM (SELECT *, CAST(substr(security_id, 2, 6) AS INTEGER) % 7 = 0 AS st, date_diff('day', DATE '1990-01-01', trade_date) AS d,
-    CASE WHEN CAST(substr(security_id, 2, 6) AS INTEGER) % 7 = 0 THEN 0.05 ELSE 0.1 END AS rate FROM raw_bars))"""
+    CASE WHEN CAST(substr(security_id, 2, 6) AS INTEGER) % 7 = 0 THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS rate FROM raw_bars))"""
