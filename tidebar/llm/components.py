@@ -78,15 +78,18 @@ def linked_components(
     from .common import cut
 
     w = Window.partitionBy("bucket")
-    crowd = cut(
-        buckets.select("bucket", "id", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high")).where("low <> high")
-    )
+    ends = buckets.select(
+        "bucket", "id", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), F.count(F.lit(1)).over(w).alias("m")
+    ).where("m > 1")
+    # Chance meetings of two are settled by one look at the pair; larger buckets may need another.
+    crowd = cut(ends.where((F.col("m") > 2) | (close("low", "high") & (F.col("id") == F.col("low")))))
     near = cut(
         crowd.select("id", F.explode(F.array("low", "high")).alias("end"))
         .where((F.col("id") != F.col("end")) & close("id", "end"))
         .select(F.least("id", "end").alias("u"), F.greatest("id", "end").alias("v"))
         .distinct()
     )
+    crowd = crowd.where("m > 2")
     links = cut(verify(near))
     labels = connected_components(links)
     named = cut(crowd.join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("class")))
