@@ -95,7 +95,7 @@ class CrossParser:
             parts.append(go)
             roots.append(base)
             base += len(steps)
-        self.go = np.concatenate(parts).ravel()
+        self.go = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int32)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
@@ -161,7 +161,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Rows of a language are ranked by a seeded hash of the id; ids alone are ranked,
     and the ranks' texts follow by a join on at most ``SAMPLE_DOCS`` ids a language.
     """
-    known = docs.where(
+    known = docs.select(id_col, text_col, lang_col).where(
         F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.crc32(F.col(id_col).cast("string")) % 4 != 2)
     )
     # A range of the hash is enough for frequent languages; the aggregate keeps the least hashes of each.

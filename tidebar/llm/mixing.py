@@ -65,6 +65,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     hash: one row for each range and source is summed first, so that no task
     holds a whole source.
     """
+    own = ("size", "source_size", "target", "taken", "__h", "__b", "__before", "__ahead", "__source", "__b_source", "__b_b")
+    docs = docs.drop(*own)  # columns of these names are replaced
     sized = docs.withColumn("size", n_words(F.col("text"))).withColumn(
         "__h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     ).withColumn("__b", F.substring("__h", 1, 3))
@@ -72,13 +74,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     spark = docs.sparkSession
     ranges = spark.sql(
         """
-        SELECT source AS b_source, __b AS b_b, coalesce(sum(n) OVER (PARTITION BY source ORDER BY __b
-          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+        SELECT source AS __b_source, __b AS __b_b, coalesce(sum(n) OVER (PARTITION BY source ORDER BY __b
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __ahead
         FROM (SELECT source, __b, sum(size) AS n FROM {sized} GROUP BY source, __b)
         """,
         sized=sized,
     ).join(
-        targets.withColumnRenamed("source", "t_source"), F.col("b_source").eqNullSafe(F.col("t_source"))
+        targets.withColumnRenamed("source", "__source"), F.col("__b_source").eqNullSafe(F.col("__source"))
     )
     inside = spark.sql(
         """
@@ -90,11 +92,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.round(F.col("target")).cast("long") - whole * F.col("source_size")
-    more = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest - F.col("ahead") - F.col("__before")))
+    more = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest - F.col("__ahead") - F.col("__before")))
     return inside.join(
-        ranges, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("__b") == F.col("b_b"))
+        ranges, F.col("source").eqNullSafe(F.col("__b_source")) & (F.col("__b") == F.col("__b_b"))
     ).select(
-        *[inside[c] for c in docs.columns if c not in ("size", "source_size", "target", "taken")],
+        *docs.columns,
         "size", "source_size", "target", (whole * F.col("size") + more).cast("long").alias("taken"),
     )
 

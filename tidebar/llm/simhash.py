@@ -231,8 +231,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select("u", "v")
         )
         wanted = near.select(F.explode(F.array("u", "v")).alias("sig")).distinct().join(nodes.select("sig", "least"), "sig")
-        texts = docs.join(wanted.withColumnRenamed("least", "__id"), F.col(id_col) == F.col("__id")).select("sig", text_col)
-        sets = cut(map_texts(texts, ["sig", text_col], lambda s, t: [s, list(map(shingle_set, t))], "sig long, s array<long>"))
+        texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted, "least").select("sig", "text")
+        sets = cut(map_texts(texts, ["sig", "text"], lambda s, t: [s, list(map(shingle_set, t))], "sig long, s array<long>"))
         sets = sets.dropDuplicates(["sig"])
         both = near.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(
             sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v"

@@ -84,6 +84,8 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "
     if its component holds an address that a rule allows, else blocked if it
     holds one that a rule blocks, else allowed.
     """
+    # Columns of these names are replaced.
+    pages = pages.drop("host", "path", "rule", "verdict", "__a", "__r", "__c", "node", "component", "class", "allow", "block")
     edges = links(pages, url_col, html_col).select(
         address(F.col("url")).alias("a"), address(F.col("target")).alias("b"), "target"
     ).where("a is not null and b is not null and a <> b")
@@ -113,7 +115,7 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "
         .join(classes, F.col("__c") == F.col("class"), "left")
         .withColumn("verdict", inherited)
     )
-    keep = [*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", F.col("__r.rule").alias("rule"), "verdict"]
+    keep = [*pages.columns, "host", "path", F.col("__r.rule").alias("rule"), "verdict"]
     return ruled.select(*keep).unionByName(open_.select(*keep))
 
 
