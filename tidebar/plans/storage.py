@@ -126,8 +126,8 @@ def feed_monitor(spark, sf_dir):
 _SUBS = """WITH f AS (SELECT user_id AS feed, event_id AS seq, CASE WHEN event_id % 97 = 5 THEN 'START' WHEN event_id % 389 = 17 THEN 'STOP' ELSE 'EVENT' END AS kind FROM events),
 e AS (SELECT feed, min(CASE WHEN kind = 'START' THEN seq END) AS s, min(CASE WHEN kind = 'STOP' THEN seq END) AS t FROM f GROUP BY feed)
 SELECT f.feed, CASE WHEN max(e.t) IS NOT NULL THEN 'UNSUBSCRIBED' WHEN count(*) FILTER (WHERE kind = 'EVENT' AND seq > e.s) > 0 THEN 'ACTIVE' WHEN max(e.s) IS NOT NULL THEN 'STARTED' ELSE 'NEW' END AS status,
-  count(*) FILTER (WHERE kind = 'EVENT' AND seq > e.s AND (e.t IS NULL OR seq < e.t)) AS events, count(*) FILTER (WHERE kind = 'EVENT' AND seq > e.s AND seq > e.t) AS late,
-  count(*) FILTER (WHERE kind = 'EVENT' AND (e.s IS NULL OR seq < e.s)) AS orphan FROM f JOIN e ON f.feed = e.feed GROUP BY f.feed"""
+  count(*) FILTER (WHERE kind = 'EVENT' AND seq > e.s AND (e.t IS NULL OR seq < e.t)) AS events, count(*) FILTER (WHERE kind = 'EVENT' AND seq > e.t) AS late,
+  count(*) FILTER (WHERE kind = 'EVENT' AND (e.s IS NULL OR seq < e.s) AND (e.t IS NULL OR seq < e.t)) AS orphan FROM f JOIN e ON f.feed = e.feed GROUP BY f.feed"""
 
 
 @query("SS-02", _SUBS)

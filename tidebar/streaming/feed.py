@@ -70,7 +70,7 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
 def subscriptions(feed: DataFrame) -> DataFrame:
     """State of each feed: started, active at its first event, unsubscribed for good.
 
-    Events after the end are late, events before the start orphans. State is a
+    Events after the end are late, events before any signal orphans. State is a
     status and two counters for each feed.
     """
     return feed.groupBy("feed").applyInPandasWithState(
@@ -83,12 +83,13 @@ def subscriptions_batch(feed: DataFrame) -> DataFrame:
     ends = feed.groupBy("feed").agg(
         F.min(F.when(F.col("kind") == "START", F.col("seq"))).alias("start"), F.min(F.when(F.col("kind") == "STOP", F.col("seq"))).alias("stop")
     )
-    event = (F.col("kind") == "EVENT") & F.col("start").isNotNull()
-    before = F.col("seq") < F.col("start")
-    after = F.coalesce(F.col("seq") > F.col("stop"), F.lit(False))
+    first = F.least("start", "stop")  # the one that is there, if one only
+    event = F.col("kind") == "EVENT"
+    late = F.coalesce(F.col("seq") > F.col("stop"), F.lit(False))
+    orphan = F.coalesce(F.col("seq") < first, F.lit(True))
     out = feed.join(ends, "feed").groupBy("feed").agg(
-        F.count_if(event & ~before & ~after).alias("events"), F.count_if(event & after & ~before).alias("late"),
-        F.count_if((F.col("kind") == "EVENT") & F.coalesce(before, F.lit(True))).alias("orphan"), F.max("start").alias("start"), F.max("stop").alias("stop"),
+        F.count_if(event & ~late & ~orphan).alias("events"), F.count_if(event & late).alias("late"),
+        F.count_if(event & orphan).alias("orphan"), F.max("start").alias("start"), F.max("stop").alias("stop"),
     )
     status = F.when(F.col("stop").isNotNull(), "UNSUBSCRIBED").when(F.col("events") > 0, "ACTIVE").when(F.col("start").isNotNull(), "STARTED").otherwise("NEW")
     return out.select("feed", status.alias("status"), "events", "late", "orphan")
