@@ -108,7 +108,7 @@ rel("panel_input", lambda d: f"""SELECT p.*, {SPLIT} AS split FROM (SELECT b.sec
 rel("current_symbols", "SELECT security_id, max(symbol) AS symbol FROM :identity WHERE valid_to IS NULL GROUP BY security_id HAVING count(*) = 1")
 rel("panel", "SELECT security_id, trade_date, split, exchange, reason, CASE WHEN reason IS NULL THEN 'RESEARCH_ENABLED' WHEN upstream = 'RESEARCH_EXPERIMENTAL' AND reason = 'upstream_unresolved' THEN 'RESEARCH_EXPERIMENTAL' ELSE 'RESEARCH_DISABLED_UNRESOLVED' END AS eligibility, CASE WHEN reason IS NULL THEN 'VERIFIED' WHEN reason IN ('non_finite_value', 'invalid_ohlc') THEN 'INVALID' ELSE 'UNRESOLVED' END AS quality_state FROM (SELECT *, " + __import__("tidebar.operators.catalog", fromlist=["ELIGIBILITY"]).ELIGIBILITY + " AS reason FROM :panel_input) q")
 rel("panel_claims", lambda d: f"SELECT split AS assigned_split, CASE WHEN {D(d)} % 101 = 0 THEN 'holdout' ELSE split END AS split, CASE WHEN {D(d)} % 103 = 0 THEN 'x' ELSE reason END AS reason, eligibility, CASE WHEN {D(d)} % 107 = 0 THEN 'INVALID' ELSE quality_state END AS quality_state FROM :panel")
-rel("rated", f"SELECT security_id, trade_date, pre_close, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS down_rate FROM :bars WHERE pre_close > 0")
+rel("rated", f"SELECT security_id, trade_date, floor(pre_close * 100) / 100 AS pre_close, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS down_rate FROM :bars WHERE pre_close > 0")
 values("patterns", "pattern", ("'0000xx'",), ("'00xxx1'",), ("'0xxxxx'",), ("'00001'",))
 rel("feed_times", lambda d: f"SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(floor({d.micros('ts')} / 1000) AS BIGINT) || '' WHEN 1 THEN {d.micros('ts')} || '' WHEN 2 THEN {d.ymd('ts')} || lpad(CAST(hour(ts) AS STRING), 2, '0') || lpad(CAST(minute(ts) AS STRING), 2, '0') || lpad(CAST(floor(second(ts)) AS INT) || '', 2, '0') ELSE '93000000' END AS digits FROM :events")
 rel("identities", lambda d: f"SELECT security_id, exchange, code, CASE WHEN {K} % 8 <> 0 THEN list_date END AS known_list_date, {d.plus('list_date', '3')} AS first_seen FROM :master")
