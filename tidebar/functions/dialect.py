@@ -28,6 +28,7 @@ class SparkSql:
     micros = staticmethod(lambda t: f"unix_micros(CAST({t} AS TIMESTAMP))")
     from_ms = staticmethod(lambda x: f"date_format(timestamp_millis({x}), 'yyyy-MM-dd HH:mm:ss')")
     split = staticmethod(lambda s, i: f"split_part({s}, '.', {i})")
+    hex32 = staticmethod(lambda x: f"CAST(conv({x}, 16, 10) AS BIGINT)")
 
 
 class DuckSql(SparkSql):
@@ -52,6 +53,7 @@ class DuckSql(SparkSql):
     last = staticmethod(lambda x, w: f"last_value({x} IGNORE NULLS) OVER ({w})")
     stamp = staticmethod(lambda t: f"strftime({t}, '%Y-%m-%d %H:%M:%S')")
     micros = staticmethod(lambda t: f"epoch_us({t})")
+    hex32 = staticmethod(lambda x: f"CAST('0x' || {x} AS BIGINT)")
     from_ms = staticmethod(lambda x: f"strftime(make_timestamp(CAST({x} AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S')")
 
 

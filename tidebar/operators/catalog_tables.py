@@ -15,8 +15,8 @@ SELECT table_name, flag, count(*) AS n FROM (SELECT table_name, trim(flag) AS fl
 WHERE flag IN ('MISSING_IDENTITY', 'SOURCE_CONFLICT', 'DUPLICATE_KEY', 'FUTURE_ROW', 'BAD_OHLC') GROUP BY table_name, flag""")
 ROW = "concat_ws('|', security_id, CAST(trade_date AS STRING), CAST(volume AS STRING))"
 op("AG-19", "Row identity hash over a canonical text of the row.", lambda d: f"SELECT security_id, trade_date, {d.sha(ROW)} AS row_hash FROM :bars")
-op("AG-20", "Order-free hash of a table: hashes of 64 ranges of sorted row hashes, then a hash of those; no task holds the table.", lambda d: f"""
-SELECT {d.sha(d.joined('part_hash'))} AS table_hash, sum(n) AS n FROM (SELECT p, count(*) AS n, {d.sha(d.joined('h'))} AS part_hash FROM (SELECT {d.sha(ROW)} AS h, substr({d.sha(ROW)}, 1, 2) AS p FROM :bars) x GROUP BY p) y""")
+op("AG-20", "Order-free hash of a table: sums of the row hashes' eight 32-bit parts, hashed; partially aggregated, whatever the size.", lambda d: f"""
+SELECT {d.sha("concat_ws('|', " + ', '.join(d.text(f'p{i}') for i in range(8)) + ')')} AS table_hash, n FROM (SELECT count(*) AS n, {', '.join(f"CAST(sum({d.hex32(f'substr(h, {8 * i + 1}, 8)')}) AS BIGINT) AS p{i}" for i in range(8))} FROM (SELECT {d.sha(ROW)} AS h FROM :bars) x) y""")
 op("AG-21", "Manifest hash of a set of components, by identity.", lambda d: f"SELECT publish_id, {d.sha(d.joined('component'))} AS manifest_hash, count(*) AS n FROM :components GROUP BY publish_id")
 op("AG-22", "Columns that are constant in a month.", """
 SELECT month, column_name, count(DISTINCT value) + max(CASE WHEN value IS NULL THEN 1 ELSE 0 END) = 1 AS is_constant FROM (SELECT date_trunc('month', trade_date) AS m, CAST(year(trade_date) * 100 + month(trade_date) AS INT) AS month, 'provider' AS column_name, 'vendor_a' AS value FROM :bars
@@ -25,7 +25,7 @@ op("AG-23", "Structural event statistics: distinct ST events, delists and ids of
 op("AG-24", "Manifest statistics: cases by type and review status, with totals of each type.", "SELECT case_type, review_status, count(*) AS n FROM :cases GROUP BY GROUPING SETS ((case_type, review_status), (case_type), ())")
 op("AG-25", "Quantity gates: cases of each required type against its minimum.", "SELECT m.case_type, m.minimum, count(c.case_id) AS n, count(c.case_id) >= m.minimum AS is_met FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.case_type, m.minimum")
 op("AG-26", "Event distribution by subtype, class and year in one pass.", "SELECT subtype, event_class, substr(date_text, 1, 4) AS event_year, count(*) AS n FROM :market_events GROUP BY GROUPING SETS ((subtype), (event_class), (substr(date_text, 1, 4)))")
-op("AG-27", "Artifact groups: cases by reference and kind, numbered, with their ids.", lambda d: f"SELECT case_type, review_status, {d.joined(d.text('case_id'))} AS case_ids, row_number() OVER (ORDER BY case_type, review_status) AS group_no FROM :cases GROUP BY case_type, review_status")
+op("AG-27", "Artifact groups: cases by reference and kind, numbered, with their ids.", lambda d: f"SELECT case_type, review_status, {d.joined(d.text('case_id'))} AS case_ids, row_number() OVER (ORDER BY case_type, review_status) AS group_no FROM (SELECT case_type || '-' || CAST(CAST(floor(case_id / 200) AS BIGINT) AS STRING) AS case_type, review_status, case_id FROM :cases) q GROUP BY case_type, review_status")
 op("AG-28", "Capability verdict: absent is missing, a failure fails, each required type needs its minimum.", """
 SELECT m.capability, CASE WHEN count(c.case_id) = 0 THEN 'MISSING' WHEN count(*) FILTER (WHERE c.result = 'FAIL') > 0 THEN 'FAILED' WHEN count(*) FILTER (WHERE c.result = 'PASS') < max(m.minimum) THEN 'INSUFFICIENT' ELSE 'PASSED' END AS verdict
 FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.capability""")
@@ -97,7 +97,7 @@ op("ST-08", "Counts of every class, zeros kept, with the verdict.", f"""WITH {RE
 SELECT s.class, coalesce(c.n, 0) AS n, CASE WHEN (SELECT coalesce(sum(n), 0) FROM counts WHERE class IN ('missing', 'extra', 'unresolved')) = 0 THEN 'PASS' ELSE 'FAIL_CLOSED' END AS verdict FROM :classes s LEFT JOIN counts c ON s.class = c.class""")
 op("ST-09", "Returned bars: code equals member, finite numbers, dates in scope and once.", "SELECT member_key, trade_date, CASE WHEN embedded_code <> member_key THEN 'CODE' WHEN close IS NULL OR isnan(close) THEN 'NUMBER' WHEN trade_date NOT BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' THEN 'SCOPE' WHEN count(*) OVER (PARTITION BY member_key, trade_date) > 1 THEN 'DUPLICATE' ELSE 'VALID' END AS verdict FROM :members")
 op("ST-10", "Status validity: a date that comes twice voids all rows of its member.", "SELECT security_id, count(*) AS n FROM (SELECT security_id, trade_date, max(n) OVER (PARTITION BY security_id) AS worst FROM (SELECT security_id, trade_date, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :status_dup) a) b WHERE worst = 1 GROUP BY security_id")
-op("ST-11", "Monthly spine of the split windows.", lambda d: f"SELECT split, CAST(year(m) AS INT) AS y, CAST(month(m) AS INT) AS m FROM (SELECT split, {d.months('first_day', 'last_day')} AS m FROM :windows) q")
+op("ST-11", "Monthly spine of the split windows, with the rows of each month.", lambda d: f"SELECT s.split, s.y, s.m, count(r.security_id) AS n FROM (SELECT split, CAST(year(m) AS INT) AS y, CAST(month(m) AS INT) AS m FROM (SELECT split, {d.months('first_day', 'last_day')} AS m FROM :windows) q) s LEFT JOIN :routed r ON r.month = s.y * 100 + s.m GROUP BY s.split, s.y, s.m")
 op("ST-12", "Coverage of each month: enabled rows and a descriptor, or a reason.", "SELECT s.month, CASE WHEN s.enabled = 0 THEN 'NO_ENABLED_ROWS' WHEN count(c.month) = 0 THEN 'NO_DESCRIPTOR' WHEN count(c.month) > 1 THEN 'DUPLICATE_DESCRIPTOR' ELSE 'OBSERVED' END AS coverage FROM (SELECT month, count(*) FILTER (WHERE route = 'enabled') AS enabled FROM :routed GROUP BY month) s LEFT JOIN :descriptors c ON s.month = c.month GROUP BY s.month, s.enabled")
 op("ST-13", "Rows outside the chosen months are counted, not written.", "SELECT CASE WHEN c.month IS NULL THEN 'OUTSIDE' ELSE 'INSIDE' END AS scope, count(*) AS n FROM :routed r LEFT JOIN (SELECT DISTINCT month FROM :descriptors) c ON r.month = c.month GROUP BY CASE WHEN c.month IS NULL THEN 'OUTSIDE' ELSE 'INSIDE' END")
 op("ST-15", "Input continuity: inputs of the prior run that the discovery lacks.", "SELECT id FROM :old_version o WHERE NOT EXISTS (SELECT 1 FROM :new_version n WHERE o.id = n.id)")
@@ -127,7 +127,7 @@ UNION ALL SELECT 'PRICES_PRESENT', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WH
 UNION ALL SELECT 'IN_TIME', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WHEN max(available_on) <= DATE '1998-06-01' THEN 'PASS' ELSE 'FAIL' END FROM :bars_dup
 UNION ALL SELECT 'SCAN_PROOF', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' ELSE 'PASS' END FROM :flagged WHERE table_name = 'scan_proof'""")
 op("TB-13", "Universe activation: the same rule hash is a no-op, another is rejected.", "SELECT n.id, CASE WHEN o.id IS NULL THEN 'ACTIVATED' WHEN o.payload = n.payload THEN 'NO_OP' ELSE 'REJECTED' END AS outcome FROM :new_version n LEFT JOIN :old_version o ON n.id = o.id")
-op("TB-14", "Definition hash of a set from its ordered members.", lambda d: f"SELECT case_type, {d.sha(d.joined(d.text('case_id')))} AS definition_hash FROM :cases GROUP BY case_type")
+op("TB-14", "Definition hash of a set from its ordered members.", lambda d: f"SELECT CAST(floor(case_id / 50) AS BIGINT) AS set_id, {d.sha(d.joined(d.text('case_id')))} AS definition_hash FROM :cases GROUP BY CAST(floor(case_id / 50) AS BIGINT)")
 op("TB-15", "Partition sets: counts and contents against the manifest.", "SELECT coalesce(o.month, n.month) AS month, o.n IS NOT DISTINCT FROM n.n AND o.content IS NOT DISTINCT FROM n.content AS is_equal FROM :month_old o FULL OUTER JOIN :month_new n ON o.month = n.month")
 op("TB-17", "Validity of stored feature rows: keys, hashes, finite or null values, in time.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_KEY' END", "CASE WHEN isnan(pre_close) THEN 'NON_FINITE' END", "CASE WHEN available_on > DATE '1998-06-01' THEN 'FUTURE' END", "CASE WHEN length(security_id) <> 7 THEN 'BAD_ID' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :bars_dup) q) v WHERE violation IS NOT NULL GROUP BY violation")
 op("TB-18", "Validity of stored state rows: known values, strict date order, evidence that agrees.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN state NOT IN ('POSITIVE_CENTER', 'NEGATIVE_CENTER', 'MIXED_CENTER', 'UNKNOWN') THEN 'UNKNOWN_VALUE' END", "CASE WHEN before >= trade_date THEN 'ORDER' END", "CASE WHEN adv + dec > n THEN 'EVIDENCE' END") + " AS violation FROM (SELECT *, lag(trade_date) OVER (PARTITION BY state ORDER BY trade_date) AS before FROM :stored_states) q) v WHERE violation IS NOT NULL GROUP BY violation")
@@ -139,7 +139,7 @@ op("SRC-02", "Member maps: null and empty members leave a marker row, a conflict
 op("SRC-03", "Packed member table with an inventory that keeps empty members.", "SELECT i.member, count(m.trade_date) AS n FROM :inventory i LEFT JOIN :members m ON i.member = m.member_key AND i.rows_n > 0 GROUP BY i.member")
 op("SRC-04", "A scalar list as one value column.", lambda d: f"SELECT row_id, {d.words('raw_flags')} AS value FROM :vendor")
 op("SRC-05", "Golden cases as typed rows.", "SELECT case_id, case_type, review_status, result FROM :cases")
-op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_ID' END", "CASE WHEN effective_from > effective_to THEN 'WINDOW' END", "CASE WHEN up_rate NOT BETWEEN 0 AND 1 THEN 'RATE' END", "CASE WHEN age_rule NOT IN ('NONE', 'FIRST_5', 'IPO_DAY') THEN 'ENUM' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY rule_id) AS n FROM :rules) q) v WHERE violation IS NOT NULL GROUP BY violation")
+op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_ID' END", "CASE WHEN effective_from > effective_to THEN 'WINDOW' END", "CASE WHEN up_rate NOT BETWEEN 0 AND 1 THEN 'RATE' END", "CASE WHEN age_rule NOT IN ('NONE', 'FIRST_5', 'IPO_DAY') THEN 'ENUM' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY rule_id) AS n FROM :security_rules) q) v WHERE violation IS NOT NULL GROUP BY violation")
 op("SRC-09", "Snapshot table of a domain in its typed form.", "SELECT security_id, trade_date, open, high, low, close, volume, amount FROM :bars")
 op("SRC-10", "Logical snapshot: one month for each source run, repeats rejected.", "SELECT run_id, month, CASE WHEN count(*) OVER (PARTITION BY run_id) > 1 THEN 'REPEATED_RUN' WHEN count(*) OVER (PARTITION BY month) > 1 THEN 'REPEATED_MONTH' ELSE 'OK' END AS verdict FROM :month_runs")
 op("SRC-11", "Read-model views with a row of facts on each.", "SELECT 'daily_bar' AS view_name, count(*) AS n FROM :bars UNION ALL SELECT 'status', count(*) FROM :status UNION ALL SELECT 'identity', count(*) FROM :identity")

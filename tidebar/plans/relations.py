@@ -126,6 +126,7 @@ values("rules", "rule_id, exchange, board, effective_from, effective_to, st_stat
     ("'sz-growth'", "'SZ'", "'growth'", "DATE '1994-01-01'", "DATE '1993-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "1.20", "0.20"),
     ("'sh-growth'", "'SH'", "'growth'", "DATE '1992-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "0.20", "0.20"),
     ("'sh-growth'", "'SH'", "'growth'", "DATE '1992-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'IPO_DAY'", "0.44", "0.36"))
+rel("security_rules", f"SELECT CASE WHEN {K} % 17 = 0 THEN 'r000001' ELSE 'r' || code END AS rule_id, list_date AS effective_from, coalesce(delist_date, DATE '1996-01-01') AS effective_to, CASE WHEN {K} % 13 = 0 THEN 1.2 WHEN is_st THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 19 = 0 THEN 'LATER' ELSE 'NONE' END AS age_rule FROM :master")
 rel("rates", f"SELECT security_id, CASE WHEN {K} % 9 = 0 THEN NULL WHEN is_st THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN is_st THEN 0.05 WHEN {K} % 12 = 0 THEN 0.2 ELSE 0.1 END AS down_rate FROM :master")
 rel("golden", lambda d: f"SELECT security_id || '/' || {d.text('trade_date')} AS case_id, CASE WHEN {D(d)} % 3 = 0 THEN substr(security_id, 2, 6) ELSE security_id END AS symbol, CASE WHEN {D(d)} % 11 = 0 THEN DATE '2001-01-01' ELSE trade_date END AS trade_date, {K} % 7 = 0 OR {D(d)} % 5 = 0 AS expected FROM :status WHERE {D(d)} % 13 = 0")
 rel("st_events", "SELECT event_id, subtype FROM :market_events WHERE event_class = 'ST' AND subtype IS NOT NULL AND event_id % 16 <> 0")
