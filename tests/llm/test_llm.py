@@ -288,6 +288,38 @@ def test_fuzzy_lines(spark):
     assert 24 <= got <= 30  # pairs within three bits always meet, most others do
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def alike(a, b):
+    return word_distance(a, b) <= max(len(a), len(b)) // 5
+
+
+@pytest.mark.parametrize("vocabulary", [60, 5000])
+def test_fuzzy_lines_are_all_found(spark, vocabulary):
+    rng = random.Random(11)
+    found = []
+    for n in range(5, 41):
+        for _ in range(4):
+            w = words(rng, n, vocabulary)
+            c = w[:]
+            for _ in range(rng.randrange(1, max(2, n // 5 + 1))):
+                k, kind = rng.randrange(len(c)), rng.randrange(3)
+                c[k : k + (kind < 2)] = ["other" + str(rng.randrange(99))] * (kind > 0)
+            found += [w, c] if len(c) >= 5 else [w]
+    links = [(i, j) for i in range(len(found)) for j in range(i) if alike(found[i], found[j])]
+    want = components_of(range(len(found)), links)
+    assert sum(want[i] != i for i in want) > 100
+    got = {r.doc_id: r.n_dropped for r in lines.dedup(docs(spark, [" ".join(w) for w in found])).collect()}
+    assert got == {i: int(want[i] != i) for i in want}
+
+
 def test_line_fingerprint(spark):
     rng = random.Random(10)
     texts = [" ".join(words(rng, n, 10**6)) for n in (5, 80, 511, 512, 1500)]
