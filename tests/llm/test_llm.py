@@ -320,6 +320,13 @@ def test_fuzzy_lines_are_all_found(spark, vocabulary):
     assert got == {i: int(want[i] != i) for i in want}
 
 
+def test_lines_of_the_same_words_are_not_copies(spark):
+    texts = ["team alpha beat team beta in may", "team beta beat team alpha in may", "one two three four five", "one two three four five " * 3, "five one four two three"]
+    assert [r.n_dropped for r in lines.dedup(docs(spark, texts)).orderBy("doc_id").collect()] == [0] * 5
+    near = ["a b c d e f g h i j", "j i h g f e d c b a", "b a c d e f g h i j"]  # the last is like the first alone
+    assert [r.n_dropped for r in lines.dedup(docs(spark, near)).orderBy("doc_id").collect()] == [0, 0, 1]
+
+
 def test_line_fingerprint(spark):
     rng = random.Random(10)
     texts = [" ".join(words(rng, n, 10**6)) for n in (5, 80, 511, 512, 1500)]
