@@ -123,6 +123,22 @@ def test_similar_documents(spark):
     assert got == want
 
 
+def test_similar_documents_with_passages(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(60):
+        w = words(rng, 304, 5000 if k % 2 else 150)
+        added = round(300 * (1 / (0.80 + 0.15 * k / 59) - 1)) - 4
+        c = w[:]
+        c[150:150] = words(rng, max(1, added), 5000)
+        texts += [" ".join(w), " ".join(c)] if k % 3 else [" ".join(c), " ".join(w[: len(w) - added // 2])]
+    sets = [set(simhash.shingle_set(t)) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(links) > 40
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs(spark, texts)).collect()}
+    assert got == components_of(range(len(texts)), links)
+
+
 # ---- op2 --------------------------------------------------------------------
 
 

@@ -170,26 +170,13 @@ def near_duplicates(
     )
 
 
-#: Documents alike by five-word shingles: 24 blocks of 31 bits, two in each of 12 longs.
-SHINGLE, SIMILARITY, WIDE, BLOCKS, BLOCK_BITS = 5, 0.8, 12, 2, 31
-_STEPS = (np.arange(WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+#: Documents alike by five-word shingles; hash buckets of the table that orders shingles, and one part in so many of the rows that it is counted on.
+SHINGLE, SIMILARITY, TABLE, SHARE = 5, 0.8, 1 << 18, 16
 
 
-def wide_fingerprint(text: str | None) -> tuple[int, list[int]]:
-    """(hash of the text's words, SimHash of its distinct words as ``WIDE`` longs of 62 bits)."""
-    words = (text or "").encode().translate(_FOLD).split()
-    h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in set(words)), np.uint64)
-    ones = np.zeros((WIDE, 64), np.int64)
-    for at in range(0, len(h), _PIECE):  # one hash of a word is mixed into WIDE
-        x = h[at : at + _PIECE][None, :] + _STEPS
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        ones += np.unpackbits(x.view(np.uint8).reshape(WIDE, -1, 8), axis=2, bitorder="little").sum(1, dtype=np.int64)
-    bits = (2 * ones > len(h)).astype(np.uint8)
-    bits[:, BLOCKS * BLOCK_BITS :] = 0
-    out = np.packbits(bits, axis=1, bitorder="little").view(np.int64)[:, 0].tolist()
-    return xxhash.xxh64_intdigest(b" ".join(words), 7) - 2**63, out
+def words_hash(text: str | None) -> int:
+    """A hash of the text's words."""
+    return xxhash.xxh64_intdigest(b" ".join((text or "").encode().translate(_FOLD).split()), 7) - 2**63
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> list[int]:
@@ -198,47 +185,68 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> list[int]:
     return np.unique(np.concatenate(parts)).view(np.int64).tolist() if parts else []
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_share: float = 0.15) -> DataFrame:
+def shingle_ranks(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
+    """A rank for each of ``TABLE`` hash buckets of shingles: the more frequent in a sample of the rows, the higher."""
+
+    def kernel(texts):
+        n = np.bincount(np.array([h for t in texts for h in shingle_set(t)], np.int64) % TABLE, minlength=TABLE)
+        at = np.flatnonzero(n)
+        return [at.tolist(), n[at].tolist()]
+
+    sample = docs.where(F.pmod(F.xxhash64(F.lit(31), id_col), F.lit(SHARE)) == 0)
+    out = np.zeros(TABLE, np.uint8)
+    for r in map_texts(sample, [text_col], kernel, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").collect():
+        out[r.slot] = min(255, int(8 * np.log2(r.n)))
+    return out
+
+
+def least_shingles(shingles: list[int], ranks: np.ndarray) -> list[int]:
+    """The rarest of a text's shingles: at a similarity of 0.8 two texts share one of them at least.
+
+    Of n shingles the other text has ceil(0.8 n) or more, so the least common one in any order
+    of all shingles is among the first n - ceil(0.8 n) + 1.
+    """
+    s = np.array(shingles, np.int64)
+    n = len(s)
+    return s[np.lexsort((s, ranks[s % TABLE]))][: n - (4 * n + 4) // 5 + 1].tolist()
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(<id_col>, component_id)``: documents whose five-word shingles have a Jaccard similarity of 0.8.
 
-    A SimHash of five-word shingles differs in 15 % of its bits at that similarity, too many
-    for pigeonhole blocks. So the fingerprint is one of distinct words, which near
-    copies change far less, and wide: pairs that differ in fewer than 24 of 744 bits always share
-    a block, those at the limit (about 7 % of the bits) share one in over nine of ten cases. Pairs that meet are verified by their Hamming
-    distance, then by the similarity itself. Texts of equal words are one node; texts without words are copies
-    of each other.
+    Documents meet on their rarest shingles, so many that no such pair is missed; pairs that meet are verified by
+    the similarity itself. The order of the shingles comes from a sample and changes only how many meet by
+    chance. Texts of equal words are one node; texts without words are copies of each other.
     """
+    ranks = docs.sparkSession.sparkContext.broadcast(shingle_ranks(docs, id_col, text_col))  # TABLE bytes
 
     def kernel(ids, texts):
-        return [ids, *map(list, zip(*map(wide_fingerprint, texts)))]
+        sets = [shingle_set(t) for t in texts]
+        return [ids, list(map(words_hash, texts)), list(map(len, sets)), [least_shingles(s, ranks.value) for s in sets]]
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = cut(map_texts(docs, [id_col, text_col], kernel, f"{id_col} {kind}, sig long, fp array<long>"))
-    nodes = cut(found.groupBy("sig").agg(F.min(id_col).alias("least"), F.first("fp").alias("fp")))
-    low = (1 << BLOCK_BITS) - 1
-    keys = F.flatten(
-        F.transform("fp", lambda x: F.array(*[F.shiftrightunsigned(x, BLOCK_BITS * i).bitwiseAND(F.lit(low)) for i in range(BLOCKS)]))
-    )
-    buckets = nodes.select(F.col("sig").alias("id"), F.posexplode(keys).alias("t", "k")).select("id", F.xxhash64("t", "k").alias("bucket"))
+    found = cut(map_texts(docs, [id_col, text_col], kernel, f"{id_col} {kind}, sig long, n int, keys array<long>"))
+    nodes = cut(found.groupBy("sig").agg(F.min(id_col).alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    buckets = nodes.select(F.col("sig").alias("id"), F.explode("keys").alias("bucket"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        fps = nodes.select("sig", "fp")
-        bits = F.aggregate(F.zip_with("fu", "fv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, n: a + n)
+        sizes = nodes.select("sig", "n")
         near = cut(
-            pairs.join(fps.select(F.col("sig").alias("u"), F.col("fp").alias("fu")), "u")
-            .join(fps.select(F.col("sig").alias("v"), F.col("fp").alias("fv")), "v")
-            .where(bits <= int(BLOCKS * BLOCK_BITS * WIDE * max_share))
+            pairs.join(sizes.select(F.col("sig").alias("u"), F.col("n").alias("nu")), "u")
+            .join(sizes.select(F.col("sig").alias("v"), F.col("n").alias("nv")), "v")
+            .where(F.least("nu", "nv") * 5 >= F.greatest("nu", "nv") * 4)
             .select("u", "v")
         )
         wanted = near.select(F.explode(F.array("u", "v")).alias("sig")).distinct().join(nodes.select("sig", "least"), "sig")
         texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted, "least").select("sig", "text")
-        sets = cut(map_texts(texts, ["sig", "text"], lambda s, t: [s, list(map(shingle_set, t))], "sig long, s array<long>"))
-        sets = sets.dropDuplicates(["sig"])
+        # Rows that repeat an id may have other words: only the text that the node stands for counts.
+        sets = cut(map_texts(texts, ["sig", "text"], lambda s, t: [s, list(map(words_hash, t)), list(map(shingle_set, t))], "sig long, own long, s array<long>"))
+        sets = sets.where("sig = own").dropDuplicates(["sig"])
         both = near.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(
             sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v"
         )
         common = F.size(F.array_intersect("su", "sv"))
-        return both.where(common >= SIMILARITY * (F.size("su") + F.size("sv") - common)).select("u", "v")
+        return both.where(common * 5 >= 4 * (F.size("su") + F.size("sv") - common)).select("u", "v")
 
     labels = linked_components(buckets, verify)
     named = nodes.join(labels, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("component", "sig").alias("component"))
