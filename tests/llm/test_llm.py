@@ -262,6 +262,29 @@ def test_cross_parse_is_exact():
         assert parser.phrases([probe])[0, 0] == pytest.approx(n, abs=len(pieces))
 
 
+def test_many_scripts_have_codes():
+    rng = random.Random(13)
+
+    def ideographs(lo, n):  # words of one script's 1,500 characters
+        return [chr(lo + rng.randrange(1500)) + chr(lo + rng.randrange(1500)) for _ in range(n)]
+
+    known = {lang: ideographs(lo, 400) for lang, lo in (("a1", 0x4E00), ("b2", 0x5A00), ("c3", 0x6600), ("d4", 0x20000))}
+    text = lambda lang, n: "".join(rng.choice(known[lang]) for _ in range(n))
+    parser = lang_id.CrossParser(tuple((lang, text(lang, 3000)) for lang in known) + (("e5", " ".join(words(rng, 3000))),))
+    for lang in known:
+        assert parser.predict([text(lang, 100), text(lang, 900)])[0] == [lang, lang]
+    # Against a plain parse: the characters are beyond the dense table.
+    sample = "".join(known["a1"])
+    plain = lang_id.CrossParser((("a1", sample), ("d4", text("d4", 500))))
+    probe, n, at = text("a1", 120), 0, 0
+    while at < len(probe):
+        k = 1
+        while at + k < len(probe) and probe[at : at + k + 1] in sample:
+            k += 1
+        n, at = n + 1, at + k
+    assert plain.phrases([probe])[0, 0] == pytest.approx(n, abs=1)
+
+
 # ---- op5 --------------------------------------------------------------------
 
 

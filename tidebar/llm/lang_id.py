@@ -70,18 +70,23 @@ class CrossParser:
     """All languages' automata in one table.
 
     ``go[state * A + code]`` is the next state, or the complement of the state
-    after a new phrase has begun where the current phrase can't grow.
+    after a new phrase has begun where the current phrase can't grow. The ``ALPHABET`` - 2
+    commonest characters of all samples have a column there; each other character of the samples has a code
+    from ``ALPHABET`` on, and its steps are in ``rare``, sorted by state and code.
     """
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.langs = [lang for lang, _ in samples]
         common = Counter("".join(t for _, t in samples)).most_common(ALPHABET - 2)
         code = {c: i + 2 for i, (c, _) in enumerate(common)}  # 0 fills pieces up, 1 is any other character
-        self.lut = np.ones(0x10000, np.uint8)
-        for c, i in code.items():
-            if ord(c) < 0x10000:
-                self.lut[ord(c)] = i
+        others = sorted({c for _, t in samples for c in t} - code.keys())
+        rare = {c: i + ALPHABET for i, c in enumerate(others)}
+        self.lut = np.ones(0x110000, np.int32)
+        for c, i in (code | rare).items():
+            self.lut[ord(c)] = i
+        self.n_rare = max(1, len(rare))
         parts, roots, base = [], [], 0
+        edges: list[tuple[int, int]] = []  # state * n_rare + rare code, next state
         for _, text in samples:
             steps = suffix_automaton(text)
             go = np.full((len(steps), ALPHABET), -1, np.int32)
@@ -89,6 +94,8 @@ class CrossParser:
                 for c, to in out.items():
                     if c in code:
                         go[s, code[c]] = to
+                    else:
+                        edges.append(((s + base) * self.n_rare + rare[c] - ALPHABET, to + base))
             fresh = np.where(go[0] >= 0, go[0], 0) + base
             go = np.where(go >= 0, go + base, ~fresh[None, :]).astype(np.int32)
             go[:, 0] = np.arange(len(steps)) + base
@@ -97,21 +104,44 @@ class CrossParser:
             base += len(steps)
         self.go = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int32)
+        edges.sort()
+        self.rare_at = np.array([k for k, _ in edges], np.int64)
+        self.rare_to = np.array([to for _, to in edges], np.int32)
+
+    def _find(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next state by a rare character, -1 where there is none."""
+        if not len(self.rare_at):
+            return np.full(state.shape, -1, np.int32)
+        key = state.astype(np.int64) * self.n_rare + (code - ALPHABET)
+        at = np.minimum(np.searchsorted(self.rare_at, key), len(self.rare_at) - 1)
+        return np.where(self.rare_at[at] == key, self.rare_to[at], -1).astype(np.int32)
+
+    def _step(self, state: np.ndarray, row: np.ndarray) -> np.ndarray:
+        far = np.flatnonzero(row >= ALPHABET)
+        if not len(far):
+            return self.go[state * ALPHABET + row]
+        to = self.go[state * ALPHABET + np.where(row < ALPHABET, row, 1)]
+        codes = np.broadcast_to(row[far], (len(self.roots), len(far)))
+        next_ = self._find(state[:, far], codes)
+        roots = np.broadcast_to(self.roots[:, None], codes.shape)
+        first = self._find(roots, codes)  # a new phrase begins with the character, if the language has it
+        to[:, far] = np.where(next_ >= 0, next_, ~np.where(first >= 0, first, roots))
+        return to
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """(texts x languages): longest-match phrases that each language needs for each text."""
-        codes = [self.lut[np.minimum(np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32), 0xFFFF)] for t in texts]
+        codes = [self.lut[np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32)] for t in texts]
         pieces = [max(1, -(-len(c) // PIECE)) for c in codes]
-        grid = np.zeros((sum(pieces), PIECE), np.uint8)
+        grid = np.zeros((sum(pieces), PIECE), np.int32)
         at = 0
         for c, k in zip(codes, pieces):
             grid[at : at + k].ravel()[: len(c)] = c
             at += k
-        steps = np.ascontiguousarray(grid.T).astype(np.int32)
+        steps = np.ascontiguousarray(grid.T)
         state = np.repeat(self.roots[:, None], grid.shape[0], 1)
         count = np.ones(state.shape, np.int32)
         for row in steps:
-            to = self.go[state * ALPHABET + row]
+            to = self._step(state, row)
             new = to >> 31  # -1 where a phrase begins
             count -= new
             state = to ^ new
