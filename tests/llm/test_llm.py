@@ -390,6 +390,21 @@ def test_html():
     assert html_text.main_text("<article><p>a</article><p>" + "b " * 90) == "a"
 
 
+def test_html_text_beside_cards_and_around_lists():
+    paras = [f"Paragraph {i} of the main text, which is long enough to count as a part of the article itself." for i in range(8)]
+    body = "".join(f"<p>{p}</p>" for p in paras)
+    cards = "".join(f"<article><h3>Teaser {i}</h3><p>A short card.</p></article>" for i in range(4))
+    whole = "\n\n".join(paras)
+    assert html_text.main_text(f"<body><div>{body}</div>{cards}</body>") == whole
+    assert html_text.main_text(f"<body>{cards}<div>{body}</div></body>") == whole
+    assert html_text.main_text(f"<main>{body}</main><div><p>{paras[0]}</p></div>") == whole
+    first, second = "".join(f"<p>{p}</p>" for p in paras[:5]), "".join(f"<p>{p}</p>" for p in paras[5:])
+    advert = "<div class=ad>" + "<p>Buy now</p>" * 5 + "</div>"
+    links = "<ul>" + "<li><a href=x>See also this</a></li>" * 5 + "</ul>"
+    assert html_text.main_text(f"<div>{first}{advert}{second}</div>") == whole
+    assert html_text.main_text(f"<div>{first}{links}{second}</div>{links}<p>Made by us.</p>") == whole
+
+
 def test_html_query(spark):
     got = html_text.op7_html_extraction(spark, SF)
     rows = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}

@@ -109,26 +109,10 @@ def blocks(page: str) -> list[tuple[str, bool, bool, float]]:
     return out
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """Text between the surge and the dive of the line-block distribution.
-
-    Lines are the page's blocks; a block of a menu, form, advert and the like,
-    and the linked part of a block, have length zero. The sum over each ``window`` lines
-    rises over ``surge`` where the article starts, and falls to zero where it
-    ends. The stretch with most text is the article; blocks inside it that have
-    a role of their own (an advert amid the text) stay out. Where the page
-    names its article or main element, lines outside it count as zero, the
-    first line with text is the surge, the last one the dive, and all between stays.
-    """
-    found = blocks(page or "")
-    named = any(art and not off for _, off, art, _ in found)
-    live = [not off and (art or not named) for _, off, art, _ in found]
-    size = [len(t) * (1 - share) if ok and share < 0.8 else 0.0 for ok, (t, _, _, share) in zip(live, found)]
-    if named:
-        # The element bounds the article: any text is a surge, and every stretch in it counts.
-        return "\n\n".join(t for ok, (t, *_) in zip(live, found) if ok)
+def stretches(size: list[float], window: int, surge: int) -> list[tuple[float, int, int]]:
+    """(length, start, end) of each stretch from a surge to a dive of the sums over ``window`` lines."""
     sums = [sum(size[i : i + window]) for i in range(len(size))]
-    best, stretch, i = 0.0, (0, 0), 0
+    out, i = [], 0
     while i < len(sums):
         if sums[i] < surge:
             i += 1
@@ -138,12 +122,36 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             start += 1
         while i < len(sums) and sums[i] > 0:
             i += 1
-        total = sum(size[start:i])
-        if total > best:
-            best, stretch = total, (start, i)
+        out.append((sum(size[start:i]), start, i))
+    return out
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+    """Text between the surge and the dive of the line-block distribution.
+
+    Lines are the page's blocks; those of a menu, form, advert and the like are taken out
+    first, the linked part of a block has length zero. The sum over each ``window`` lines
+    rises over ``surge`` where the article starts, and falls to zero where it
+    ends. The stretch with most text is the article, and so are others of a quarter of its text
+    that have ``window`` surges' worth (a list of links may part an article). An article or main element
+    is the article instead, all of it, unless a stretch outside holds more text than all such elements
+    and ``window`` surges' worth: then these are cards, and the lines outside are the page.
+    """
+    lines = [(t, art, len(t) * (1 - share) if share < 0.8 else 0.0, share) for t, off, art, share in blocks(page or "") if not off]
+    least = window * surge
+    inside = [x for x in lines if x[1]]
+    if inside:
+        outside = [x for x in lines if not x[1]]
+        most = max((n for n, *_ in stretches([x[2] for x in outside], window, surge)), default=0.0)
+        if most < least or most <= sum(x[2] for x in inside):
+            return "\n\n".join(x[0] for x in inside)
+        lines = outside
+    found = stretches([x[2] for x in lines], window, surge)
+    best = max((n for n, *_ in found), default=0.0)
     if not best:  # no surge: a short page
-        stretch = (0, len(found))
-    return "\n\n".join(t for k, (t, *_) in enumerate(found) if stretch[0] <= k < stretch[1] and live[k] and found[k][3] < 0.8)
+        found = [(0.0, 0, len(lines))]
+    kept = [x for n, i, j in found if n == best or n >= max(least, best / 4) for x in lines[i:j]]
+    return "\n\n".join(x[0] for x in kept if x[3] < 0.8)
 
 
 def extract(pages: DataFrame, columns: tuple = ("page_id", "url"), html_col: str = "html") -> DataFrame:
