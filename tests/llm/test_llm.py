@@ -166,6 +166,36 @@ def test_decontamination(spark):
     assert decontaminate.find(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_of_a_large_benchmark():
+    import numpy as np
+
+    rng = np.random.default_rng(14)
+    weight = 1 / np.arange(1, 8001)
+    draw = lambda n: [f"v{i}" for i in rng.choice(8000, n, p=weight / weight.sum())]
+    items = [(i, " ".join(draw(int(rng.integers(8, 15))))) for i in range(4000)]
+    texts, held = [], []
+    for k in range(240):
+        item, text = items[int(rng.integers(4000))]
+        part, w = text.split(), draw(200)
+        if k % 2:  # 35 of 100 words replaced, the answer kept
+            for j in rng.choice(max(1, len(part) - 6), int(0.35 * (len(part) - 6)), replace=False):
+                part[j] = "other"
+        at = int(rng.integers(200))
+        texts.append(" ".join(w[:at] + part + w[at:]))
+        held.append((item, at, len(part)))
+    df = Counter(x for t in texts + [" ".join(draw(200)) for _ in range(300)] for x in {w.encode() for w in t.split()})
+    index = decontaminate.Index(items, df, 540)
+    index.fit(index.sketch([t.lower() for t in texts], index.omega()))
+    n = 0
+    for text, (item, at, size) in zip(texts, held):
+        ids = index.ids(text)
+        share, answer = index.check(next(p for i, p in index.parts if i == item), ids, at, at + size)
+        if share >= decontaminate.VERBATIM or (share >= decontaminate.PARAPHRASE and answer >= decontaminate.ANSWER_SHARE):
+            n += 1
+            assert item in {m[0] for m in index.matches(text)}
+    assert n > 100
+
+
 # ---- op3 --------------------------------------------------------------------
 
 
