@@ -47,6 +47,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_id(id_col: str, text_col: str) -> Column:
+    """The id; for a row without one a number by its text, below all ids."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)) - F.pmod(F.xxhash64(text_col), F.lit(1 << 60)))
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z; other letters keep their case."""
     return F.translate(c, UPPER, LOWER)
