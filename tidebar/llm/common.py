@@ -30,12 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext.getCheckpointDir()
     if held:
         return held
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here.
 
     The table survives the loss of executors. Python stages run once, unlike
@@ -43,13 +45,26 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(*cuts: DataFrame) -> None:
+    """Deletes the tables of ``cut`` that nothing unwritten stands on any more."""
+    for df in cuts:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def own_id(id_col: str, text_col: str) -> Column:
-    """The id; for a row without one a number by its text, below all ids."""
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)) - F.pmod(F.xxhash64(text_col), F.lit(1 << 60)))
+    """The id as a number: a hash of an id that is none, and for a row without an id a number by its text, below all ids."""
+    return F.coalesce(
+        F.col(id_col).try_cast("long"),
+        F.when(F.col(id_col).isNotNull(), F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 2)),
+        F.lit(-(1 << 62)) - F.pmod(F.xxhash64(text_col), F.lit(1 << 60)),
+    )
 
 
 def ascii_lower(c: Column) -> Column:
