@@ -41,11 +41,13 @@ def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here.
 
     The table survives the loss of executors. Python stages run once, unlike
-    with ``checkpoint()``, which evaluates its last stage twice.
+    with ``checkpoint()``, which evaluates its last stage twice. Spark drops the shuffle files of a
+    finished write when the driver collects garbage, which is asked for here.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
