@@ -65,7 +65,7 @@ def duck(text: str) -> str:
     for n in names(text):
         need(n)
     plain = lambda s: re.sub(r"(?<!\w):([a-z_]+)", r"\1", s)
-    parts = [BASE[n][1] if n in BASE else f"{n} AS ({plain(DERIVED[n](DUCK))})" for n in order]
+    parts = [BASE[n][1] if n in BASE else f"{n} AS MATERIALIZED ({plain(DERIVED[n](DUCK))})" for n in order]
     body = plain(text).strip()
     if body.upper().startswith("WITH "):
         return "WITH " + ", ".join([*parts, body[5:]])
