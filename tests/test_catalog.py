@@ -84,3 +84,16 @@ def test_against_sql(spark, key):
 
 def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.ORACLE) and len(plans.QUERIES) >= 225
+
+
+def test_row_and_table_hash_see_every_column(spark):
+    schema = "security_id string, trade_date date, open double, high double, low double, close double, pre_close double, volume long, amount double, available_on date"
+    day = __import__("datetime").date(2026, 1, 5)
+    row = ("S1", day, 1.0, 2.0, 0.5, 1.5, 1.0, 10, 15.0, day)
+    other = [row[:i] + (v,) + row[i + 1 :] for i, v in [(2, 1.1), (5, 1.6), (7, None), (8, None), (9, None)]]
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    hashes = {r.row_hash for r in catalog.run(spark, "AG-19", bars=frame([row, *other])).collect()}
+    assert len(hashes) == 6
+    table = lambda rows: catalog.run(spark, "AG-20", bars=frame(rows)).first().table_hash
+    assert table([row, other[0]]) == table([other[0], row])
+    assert len({table([row, x]) for x in (row, *other)}) == 6

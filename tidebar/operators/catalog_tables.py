@@ -13,10 +13,28 @@ op("AG-17", "Earliest bar of each security.", "SELECT security_id, min(trade_dat
 op("AG-18", "Blocking quality flags by table: rows of each flag that blocks.", lambda d: f"""
 SELECT table_name, flag, count(*) AS n FROM (SELECT table_name, trim(flag) AS flag FROM (SELECT table_name, {d.words('quality_flags')} AS flag FROM :flagged) x) y
 WHERE flag IN ('MISSING_IDENTITY', 'SOURCE_CONFLICT', 'DUPLICATE_KEY', 'FUTURE_ROW', 'BAD_OHLC') GROUP BY table_name, flag""")
-ROW = "concat_ws('|', security_id, CAST(trade_date AS STRING), CAST(volume AS STRING))"
-op("AG-19", "Row identity hash over a canonical text of the row.", lambda d: f"SELECT security_id, trade_date, {d.sha(ROW)} AS row_hash FROM :bars")
-op("AG-20", "Order-free hash of a table: sums of the row hashes' eight 32-bit parts, hashed; partially aggregated, whatever the size.", lambda d: f"""
-SELECT {d.sha("concat_ws('|', " + ', '.join(d.text(f'p{i}') for i in range(8)) + ')')} AS table_hash, n FROM (SELECT count(*) AS n, {', '.join(f"CAST(sum({d.hex32(f'substr(h, {8 * i + 1}, 8)')}) AS BIGINT) AS p{i}" for i in range(8))} FROM (SELECT {d.sha(ROW)} AS h FROM :bars) x) y""")
+#: The row as JSON text, pairs of name and value: names in order, nulls spelled out, numbers in steps of 1/10,000.
+_TEXTS = ("available_on", "security_id", "trade_date")
+_NUMBERS = ("amount", "close", "high", "low", "open", "pre_close", "volume")
+
+
+def row_json(d) -> str:
+    """The text that a row's hash stands on: every column counts."""
+    value = {c: f"""coalesce('"' || {d.text(c)} || '"', 'null')""" for c in _TEXTS}
+    value |= {c: f"coalesce({d.text(f'CAST(round({c} * 10000) AS BIGINT)')}, 'null')" for c in _NUMBERS}
+    return "'[' || " + " || ',' || ".join(f"""'["{c}",' || {value[c]} || ']'""" for c in sorted(value)) + " || ']'"
+
+
+def table_hash(d) -> str:
+    """Sums of the row hashes' eight 32-bit parts, hashed."""
+    parts = ", ".join(d.text(f"p{i}") for i in range(8))
+    sums = ", ".join(f"CAST(sum({d.hex32(f'substr(h, {8 * i + 1}, 8)')}) AS BIGINT) AS p{i}" for i in range(8))
+    rows = f"SELECT {d.sha(row_json(d))} AS h FROM :bars"
+    return f"SELECT {d.sha(f"concat_ws('|', {parts})")} AS table_hash, n FROM (SELECT count(*) AS n, {sums} FROM ({rows}) x) y"
+
+
+op("AG-19", "Row identity hash over a canonical text of the whole row.", lambda d: f"SELECT security_id, trade_date, {d.sha(row_json(d))} AS row_hash FROM :bars")
+op("AG-20", "Order-free hash of a table, partially aggregated, whatever the size.", table_hash)
 op("AG-21", "Manifest hash of a set of components, by identity.", lambda d: f"SELECT publish_id, {d.sha(d.joined('component'))} AS manifest_hash, count(*) AS n FROM :components GROUP BY publish_id")
 op("AG-22", "Columns that are constant in a month.", """
 SELECT month, column_name, count(DISTINCT value) + max(CASE WHEN value IS NULL THEN 1 ELSE 0 END) = 1 AS is_constant FROM (SELECT date_trunc('month', trade_date) AS m, CAST(year(trade_date) * 100 + month(trade_date) AS INT) AS month, 'provider' AS column_name, 'vendor_a' AS value FROM :bars
