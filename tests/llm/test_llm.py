@@ -123,6 +123,22 @@ def test_similar_documents(spark):
     assert got == want
 
 
+def test_sketches_drop_no_pair_that_is_alike(spark):
+    rng = random.Random(21)
+    rows, alike = [], 0
+    for n in (1, 5, 63, 64, 65, 120, 128, 129, 500, 513):
+        for share in (0.0, 0.5, 0.75, 0.79, 0.8, 0.82, 0.9, 1.0):
+            common = [rng.getrandbits(63) for _ in range(n)]
+            lone = [[rng.getrandbits(63) for _ in range(rng.choice((0, round(n * (1 - share)))))] for _ in range(2)]
+            a, b = (common[: round(n * share)] + x + common[round(n * share) :] * (i == 0) for i, x in enumerate(lone))
+            if a and b:
+                j = len(set(a) & set(b)) / len(set(a) | set(b))
+                rows.append((j, len(a), len(b), simhash.parity_sketch(a), simhash.parity_sketch(b)))
+    got = spark.createDataFrame(rows, "j double, nu int, nv int, pu array<long>, pv array<long>").withColumn("ok", simhash._sketches_allow()).collect()
+    assert any(len(r.pu) != len(r.pv) and r.j >= 0.8 for r in got)
+    assert all(r.ok for r in got if r.j >= 0.8) and not any(r.ok for r in got if r.j < 0.3 and r.nu > 60 and r.nv > 60)
+
+
 def test_similar_documents_with_passages(spark):
     rng = random.Random(12)
     texts = []

@@ -68,31 +68,32 @@ def linked_components(
     """Components of ``(node, component)`` among ids that share a bucket and are alike.
 
     ``buckets(id, bucket)`` names candidates, ``close`` is a cheap condition on two id
-    columns, ``verify`` keeps the ``(u, v)`` of a frame of pairs that are alike.
+    columns, ``verify`` keeps the ``(u, v)`` of a frame of pairs that are alike, in a written table.
     No group is paired in full: each id is compared with the least and the
     greatest id of each of its buckets, which joins up nearly all of a large
     group with a few comparisons for each id. A bucket whose ids are then in one
     component holds no further news; in the others, ids of different components are
     compared, each pair of them.
     """
-    from .common import cut
+    from .common import cut, discard
 
     w = Window.partitionBy("bucket")
     ends = buckets.select(
         "bucket", "id", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), F.count(F.lit(1)).over(w).alias("m")
     ).where("m > 1")
     # Chance meetings of two are settled by one look at the pair; larger buckets may need another.
-    crowd = cut(ends.where((F.col("m") > 2) | (close("low", "high") & (F.col("id") == F.col("low")))))
+    met = cut(ends.where((F.col("m") > 2) | (close("low", "high") & (F.col("id") == F.col("low")))))
     near = cut(
-        crowd.select("id", F.explode(F.array("low", "high")).alias("end"))
+        met.select("id", F.explode(F.array("low", "high")).alias("end"))
         .where((F.col("id") != F.col("end")) & close("id", "end"))
         .select(F.least("id", "end").alias("u"), F.greatest("id", "end").alias("v"))
         .distinct()
     )
-    crowd = crowd.where("m > 2")
-    links = cut(verify(near))
+    links = verify(near)
     labels = connected_components(links)
+    crowd = met.where("m > 2")
     named = cut(crowd.join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("class")))
+    discard(met)
     mixed = named.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
     left = named.join(mixed.select("bucket"), "bucket", "left_semi")
     rest = cut(
@@ -105,5 +106,7 @@ def linked_components(
         .distinct()
         .join(near, ["u", "v"], "left_anti")  # compared above
     )
-    more = cut(verify(rest))
+    discard(near, named)
+    more = verify(rest)
+    discard(rest)
     return labels if more.isEmpty() else connected_components(links.unionByName(more))

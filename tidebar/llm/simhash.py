@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut, map_texts
+from .common import LOWER, UPPER, cut, discard, map_texts
 from .components import connected_components, linked_components
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -211,10 +211,37 @@ def least_shingles(shingles: list[int], ranks: np.ndarray) -> list[int]:
     return s[np.lexsort((s, ranks[s % TABLE]))][: n - (4 * n + 4) // 5 + 1].tolist()
 
 
+def parity_sketch(shingles: list[int]) -> list[int]:
+    """Parities of the shingles by hash, at least as many bits as shingles and a power of two, as longs.
+
+    A shingle that one of two texts lacks changes one bit at most, so texts whose sketches differ in more bits
+    than the similarity allows shingles to differ are not alike. The halves of a sketch add up to one of half the bits.
+    """
+    n = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount(np.array(shingles, np.int64) & (n - 1), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+def _sketches_allow() -> Column:
+    """Whether sketches ``pu`` and ``pv`` of ``nu`` and ``nv`` shingles leave a similarity of 0.8 possible.
+
+    Then (nu + nv) / 9 shingles at most are in one of the texts only.
+    """
+
+    def folded(p: str, other: str) -> Column:
+        n = F.size(other)
+        halves = F.zip_with(F.slice(p, F.lit(1), n), F.slice(p, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(p) > n, halves).otherwise(F.col(p))
+
+    bits = F.zip_with(folded("pu", "pv"), folded("pv", "pu"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda a, x: a + x) * 9 <= F.col("nu") + F.col("nv")
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(<id_col>, component_id)``: documents whose five-word shingles have a Jaccard similarity of 0.8.
 
-    Documents meet on their rarest shingles, so many that no such pair is missed; pairs that meet are verified by
+    Documents meet on their rarest shingles, so many that no such pair is missed; pairs that meet are cut by
+    their sizes and parity sketches, neither of which drops a pair that is alike, and verified by
     the similarity itself. The order of the shingles comes from a sample and changes only how many meet by
     chance. Texts of equal words are one node; texts without words are copies of each other.
     """
@@ -222,34 +249,36 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def kernel(ids, texts):
         sets = [shingle_set(t) for t in texts]
-        return [ids, list(map(words_hash, texts)), list(map(len, sets)), [least_shingles(s, ranks.value) for s in sets]]
+        keys = [least_shingles(s, ranks.value) for s in sets]
+        return [ids, list(map(words_hash, texts)), list(map(len, sets)), keys, list(map(parity_sketch, sets))]
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = cut(map_texts(docs, [id_col, text_col], kernel, f"{id_col} {kind}, sig long, n int, keys array<long>"))
-    nodes = cut(found.groupBy("sig").agg(F.min(id_col).alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    every = cut(map_texts(docs, [id_col, text_col], kernel, f"{id_col} {kind}, sig long, n int, keys array<long>, sketch array<long>"))
+    first = [F.first(c).alias(c) for c in ("n", "keys", "sketch")]
+    nodes = cut(every.groupBy("sig").agg(F.min(id_col).alias("least"), *first))
+    found = cut(every.select(id_col, "sig"))
+    discard(every)
     buckets = nodes.select(F.col("sig").alias("id"), F.explode("keys").alias("bucket"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        sizes = nodes.select("sig", "n")
-        near = cut(
-            pairs.join(sizes.select(F.col("sig").alias("u"), F.col("n").alias("nu")), "u")
-            .join(sizes.select(F.col("sig").alias("v"), F.col("n").alias("nv")), "v")
-            .where(F.least("nu", "nv") * 5 >= F.greatest("nu", "nv") * 4)
-            .select("u", "v")
-        )
+        u, v = (nodes.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"p{x}")) for x in "uv")
+        alike_size = F.least("nu", "nv") * 5 >= F.greatest("nu", "nv") * 4
+        near = cut(pairs.join(u, "u").join(v, "v").where(alike_size).where(_sketches_allow()).select("u", "v"))
         wanted = near.select(F.explode(F.array("u", "v")).alias("sig")).distinct().join(nodes.select("sig", "least"), "sig")
         texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted, "least").select("sig", "text")
         # Rows that repeat an id may have other words: only the text that the node stands for counts.
         sets = cut(map_texts(texts, ["sig", "text"], lambda s, t: [s, list(map(words_hash, t)), list(map(shingle_set, t))], "sig long, own long, s array<long>"))
-        sets = sets.where("sig = own").dropDuplicates(["sig"])
-        both = near.join(sets.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(
-            sets.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v"
+        one = sets.where("sig = own").dropDuplicates(["sig"])
+        both = near.join(one.select(F.col("sig").alias("u"), F.col("s").alias("su")), "u").join(
+            one.select(F.col("sig").alias("v"), F.col("s").alias("sv")), "v"
         )
         common = F.size(F.array_intersect("su", "sv"))
-        return both.where(common * 5 >= 4 * (F.size("su") + F.size("sv") - common)).select("u", "v")
+        links = cut(both.where(common * 5 >= 4 * (F.size("su") + F.size("sv") - common)).select("u", "v"))
+        discard(near, sets)
+        return links
 
     labels = linked_components(buckets, verify)
-    named = nodes.join(labels, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("component", "sig").alias("component"))
+    named = nodes.select("sig", "least").join(labels, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("component", "sig").alias("component"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return found.join(named.join(ids, "component").select("sig", "component_id"), "sig").select(id_col, "component_id")
 
