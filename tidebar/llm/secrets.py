@@ -2,13 +2,16 @@
 
 Edge cases: a null text is empty; a text without spans has the digest of the
 empty string; an empty table gives no rows; repeated rows each give a row;
-further columns of the input are ignored.
+further columns of the input are ignored; a very long text takes time linear in
+its length. The models learn from whole texts of a bounded sample of rows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,15 +29,15 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: What the models judge: unbroken runs of the characters of keys.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
-#: Bounds of the labelled sample that the models learn from.
+#: Rows of the labelled sample that the models learn from, whole texts each.
 SAMPLE_DOCS = 4000
-SAMPLE_CHARS = 20_000
 #: Mean log-likelihood ratio in nats for each character from which a run is a secret.
 THRESHOLD = 0.5
 
 _CLASS = np.full(128, 64, np.int64)
 for _i, _c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
     _CLASS[ord(_c)] = _i
+_CLASS[ord("\n")] = 65
 _N = 66  # the 64 above, any other one, and the start
 
 
@@ -43,18 +46,22 @@ def _codes(run: str) -> np.ndarray:
     return np.concatenate([[65], _CLASS[b & 127]])
 
 
+def steps(runs: list[str]) -> np.ndarray:
+    """How often each class follows each other one in the runs, the start included; flat."""
+    c = _CLASS[np.frombuffer("".join("\n" + r for r in runs).encode("ascii", "replace"), np.uint8) & 127]
+    pairs = c[:-1] * _N + c[1:]
+    return np.bincount(pairs[c[1:] != 65], minlength=_N * _N)
+
+
 class MarkovPair:
-    """First-order character models of random strings and of ordinary identifiers."""
+    """First-order character models of random strings and of ordinary identifiers, from the counts of their steps."""
 
-    def __init__(self, random_runs: list[str], plain_runs: list[str]):
-        self.ratio = self._table(random_runs) - self._table(plain_runs)
+    def __init__(self, random_steps: np.ndarray, plain_steps: np.ndarray):
+        self.ratio = self._table(random_steps) - self._table(plain_steps)
 
     @staticmethod
-    def _table(runs: list[str]) -> np.ndarray:
-        counts = np.full((_N, _N), 0.5)
-        for r in runs:
-            c = _codes(r)
-            np.add.at(counts, (c[:-1], c[1:]), 1)
+    def _table(counts: np.ndarray) -> np.ndarray:
+        counts = counts.reshape(_N, _N) + 0.5
         return np.log(counts / counts.sum(1, keepdims=True))
 
     def score(self, run: str) -> float:
@@ -71,15 +78,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+class _Touched:
+    """Whether a stretch of the text meets one of the sorted spans."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [s for s, _, _ in spans]
+        self.ends = list(accumulate((e for _, _, e in spans), max))
+
+    def __call__(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def find(text: str, models: MarkovPair | None, threshold: float = THRESHOLD) -> tuple[list, list]:
     """(base spans, all spans); the models add runs that no base span touches."""
     base = base_spans(text)
     more = []
     if models is not None:
+        touched = _Touched(base)
         for m in CANDIDATE.finditer(text):
             if not any(c.isdigit() for c in m[0]) and (m[0].islower() or m[0].istitle() or m[0].isupper()):
                 continue  # one word
-            if all(m.end() <= s or m.start() >= e for s, _, e in base) and models.score(m[0]) > threshold:
+            if not touched(m.start(), m.end()) and models.score(m[0]) > threshold:
                 more.append((m.start(), 3, m.end()))
     return base, sorted(base + more)
 
@@ -91,35 +111,45 @@ def _join(spans) -> str:
 _WORD = re.compile(r"[A-Za-z0-9_+/=-]{4,}")
 
 
+def labelled(text: str) -> tuple[list[str], list[str]]:
+    """(random strings, ordinary identifiers) of a text: what the fixed patterns find, and the words around it.
+
+    Identifiers also come joined: camelCase, snake_case, paths and numbered names.
+    """
+    spans = base_spans(text)
+    touched = _Touched(spans)
+    plain = [m[0] for m in _WORD.finditer(text) if not touched(m.start(), m.end())]
+    joined = []
+    for a, b, c in zip(plain[::3], plain[1::3], plain[2::3]):
+        joined += [f"{a}_{b}_{c}".lower(), a.lower() + b.title() + c.title(), f"{a}/{b}-{c}", f"{a.upper()}_{b.upper()}", f"{a}{b}{len(c)}"]
+    return [text[s:e].split("=")[-1].strip(" \"'") for s, _, e in spans], plain + joined
+
+
 def train(docs: DataFrame, id_col: str, text_col: str, n_docs: int = SAMPLE_DOCS) -> MarkovPair:
-    """Learns both models from a bounded sample of rows.
+    """Learns both models from the whole texts of at most ``n_docs`` rows.
 
-    Labels come from the fixed patterns: the values they find are random
-    strings, the words around them are ordinary identifiers. Seeded strings over the usual
-    key alphabets join the first group, so that kinds of keys that the sample
-    lacks are known too. At most ``n_docs`` texts of ``SAMPLE_CHARS``
-    characters reach the driver.
+    Labels come from the fixed patterns. Seeded strings over the usual
+    key alphabets join the random ones, so that kinds of keys that the sample
+    lacks are known too. Steps between characters are counted in the tasks; only their sums reach the driver.
     """
     rng = np.random.default_rng(11)
     lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
     alphabets = (lower + lower.upper() + digits, lower + lower.upper() + digits + "+/", lower.upper() + digits, lower + digits)
-    random_runs = ["".join(rng.choice(list(a), 40)) for a in alphabets for _ in range(400)]
-    plain: list[str] = []
-    for row in bounded_sample(docs.select(id_col, text_col), id_col, n_docs, 5).select(
-        F.substring(text_col, 1, SAMPLE_CHARS).alias("t")
-    ).collect():
-        text = row.t or ""
-        spans = base_spans(text)
-        random_runs += [text[s:e].split("=")[-1].strip(" \"'") for s, _, e in spans]
-        for m in list(_WORD.finditer(text))[:200]:
-            if all(m.end() <= s or m.start() >= e for s, _, e in spans):
-                plain.append(m[0])
-    # Identifiers also come joined: camelCase, snake_case, paths and numbered names.
-    for a, b, c in zip(plain[::3], plain[1::3], plain[2::3]):
-        plain += [f"{a}_{b}_{c}".lower(), a.lower() + b.title() + c.title(), f"{a}/{b}-{c}", f"{a.upper()}_{b.upper()}", f"{a}{b}{len(c)}"]
-        if len(plain) > 200_000:
-            break
-    return MarkovPair(random_runs, plain)
+    seeded = steps(["".join(rng.choice(list(a), 40)) for a in alphabets for _ in range(400)])
+
+    def kernel(texts):
+        counts = np.zeros((2, _N * _N), np.int64)
+        for t in texts:
+            for kind, runs in enumerate(labelled(t or "")):
+                counts[kind] += steps(runs) if runs else 0
+        kind, at = np.nonzero(counts)
+        return [kind.tolist(), at.tolist(), counts[kind, at].tolist()]
+
+    sample = bounded_sample(docs.select(id_col, text_col), id_col, n_docs, 5)
+    counts = np.stack([seeded, np.zeros_like(seeded)])
+    for r in map_texts(sample, [text_col], kernel, "kind int, step int, n long").groupBy("kind", "step").agg(F.sum("n").alias("n")).collect():
+        counts[r.kind, r.step] += r.n
+    return MarkovPair(*counts)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models: MarkovPair | None = None) -> DataFrame:
