@@ -2,7 +2,8 @@
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; with
 nothing to learn from, every text is ``und``; an empty table gives no rows;
-repeated rows each give a row; further columns of the input are ignored.
+repeated rows each give a row; further columns of the input are ignored; of languages that
+need equally many phrases the first by name wins; a very long text is parsed whole.
 """
 
 from __future__ import annotations
@@ -13,18 +14,18 @@ from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, table
 
-#: Bounds of the labelled sample: rows a language, their characters, and the
-#: characters of a language that its automaton is built from.
-SAMPLE_DOCS = 60
-ROW_CHARS = 2_000
-MODEL_CHARS = 24_000
+#: Labelled texts are cut into passages of this many characters, and so many passages of
+#: each language, chosen by hash from all passages of all its texts, are learned from.
+PASSAGE_CHARS = 400
+SAMPLE_PASSAGES = 60
 #: Texts are parsed in pieces of this many characters, all pieces in step.
 PIECE = 512
+#: Columns of the dense table of steps; further characters have their steps in a sorted one.
 ALPHABET = 96
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -77,6 +78,8 @@ class CrossParser:
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.langs = [lang for lang, _ in samples]
+        # By Ziv and Merhav a phrase that is parsed against n characters costs log(n): short samples break phrases sooner.
+        self.cost = np.log([len(t) + 2 for _, t in samples])
         common = Counter("".join(t for _, t in samples)).most_common(ALPHABET - 2)
         code = {c: i + 2 for i, (c, _) in enumerate(common)}  # 0 fills pieces up, 1 is any other character
         others = sorted({c for _, t in samples for c in t} - code.keys())
@@ -152,12 +155,12 @@ class CrossParser:
         return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language with fewest phrases, and how far it is ahead of the next one (0 to 1)."""
+        """Language with fewest normalised phrases, and how far it is ahead of the next one (0 to 1)."""
         langs, scores = ["und"] * len(texts), [0.0] * len(texts)
         ok = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
         for lo, hi in _ranges([len(texts[i]) for i in ok], 2_000_000):
             group = ok[lo:hi]
-            n = self.phrases([normal(texts[i]) for i in group]) if self.langs else np.zeros((len(group), 0))
+            n = self.phrases([normal(texts[i]) for i in group]) * self.cost if self.langs else np.zeros((len(group), 0))
             for i, row in zip(group, n):
                 if len(row):
                     best = int(row.argmin())
@@ -186,34 +189,35 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[tuple[str, str], ...]:
-    """(language, text) of a bounded sample of labelled rows that are not held out.
+    """(language, text) of a bounded sample of passages of the labelled rows that are not held out.
 
-    Rows of a language are ranked by a seeded hash of the id; ids alone are ranked,
-    and the ranks' texts follow by a join on at most ``SAMPLE_DOCS`` ids a language.
+    Whole texts are cut into passages, each with a seeded hash. The number of a language's passages gives a
+    limit of the hash under which about four times ``SAMPLE_PASSAGES`` fall; only these are ranked, so
+    neither a task nor the driver holds more of a language.
     """
-    known = docs.select(id_col, text_col, lang_col).where(
-        F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.crc32(F.col(id_col).cast("string")) % 4 != 2)
-    )
-    # A range of the hash is enough for frequent languages; the aggregate keeps the least hashes of each.
-    ranked = known.select(F.col(lang_col).alias("__g"), F.col(id_col).alias("__i"), F.xxhash64(F.lit(17), F.col(id_col)).alias("__h"))
-    chosen = (
-        ranked.groupBy("__g", F.pmod("__h", F.lit(64)).alias("__s"))
-        .agg(F.slice(F.array_sort(F.collect_set(F.struct("__h", "__i"))), 1, SAMPLE_DOCS).alias("__a"))
-        .groupBy("__g")
-        .agg(F.slice(F.array_sort(F.flatten(F.collect_list("__a"))), 1, SAMPLE_DOCS).alias("__a"))
-        .select("__g", F.explode("__a").alias("__x"))
-        .select("__g", F.col("__x.__i").alias("__i"), F.col("__x.__h").alias("__h"))
-    )
-    rows = (
-        known.join(F.broadcast(chosen), (F.col(id_col) == F.col("__i")) & (F.col(lang_col) == F.col("__g")))
-        .select("__g", "__h", F.substring(text_col, 1, ROW_CHARS).alias("t"))
-        .collect()
-    )
+    held_out = F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out).select(
+        F.col(lang_col).alias("__g"), F.col(id_col).alias("__i"), F.col(text_col).alias("__t"),
+        F.ceil(F.length(text_col) / PASSAGE_CHARS).cast("int").alias("__n"),
+    ).where("__n > 0")
+    share = (4 * SAMPLE_PASSAGES / F.sum("__n")).alias("__share")
+    hashed = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda k: F.struct(k.alias("k"), F.xxhash64(F.lit(17), "__i", k).alias("h")))
+    under = F.filter("__x", lambda x: F.pmod(x["h"], F.lit(1 << 30)) < F.col("__share") * (1 << 30))
+    passages = (
+        known.join(F.broadcast(known.groupBy("__g").agg(share)), "__g")  # a row for each language, less than its automaton takes
+        .withColumn("__x", hashed)
+        .select("__g", "__i", F.explode(F.transform(under, lambda x: F.struct(
+            F.pmod(x["h"], F.lit(1 << 30)).alias("r"), x["h"].alias("h"), F.substring("__t", x["k"] * PASSAGE_CHARS + 1, F.lit(PASSAGE_CHARS)).alias("t")
+        ))).alias("__x"))
+        .select("__g", "__i", "__x.*")
+    )
+    rank = F.row_number().over(Window.partitionBy("__g").orderBy("r", "h", "__i", "t"))
+    rows = passages.withColumn("__k", rank).where(F.col("__k") <= SAMPLE_PASSAGES).select("__g", "__k", "t").collect()
     found: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r["__g"], r["__h"], r["t"] or "")):
-        text = normal(r.t or "")
-        if len(found.get(r["__g"], "")) < MODEL_CHARS and text.strip():
-            found[r["__g"]] = (found.get(r["__g"], "") + " " + text)[:MODEL_CHARS]
+    for r in sorted(rows, key=lambda r: (r["__g"], r["__k"])):
+        text = normal(r["t"])
+        if text.strip():
+            found[r["__g"]] = found.get(r["__g"], "") + " " + text
     return tuple(sorted(found.items()))
 
 
