@@ -280,10 +280,29 @@ def test_forward_backward_is_exact():
     assert np.allclose(m.marginals([x, x[:1]])[0], want)
 
 
+def test_long_chains_beside_short_ones():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    m = line_crf.LineCrf(3)
+    m.w, m.t = rng.normal(size=3), rng.normal(size=(2, 2))
+    xs = [rng.normal(size=(n, 3)) for n in (1, 40_000, 7, 0, 300, 7)]
+    for got, x in zip(m.marginals(xs), xs):
+        assert np.allclose(got, m.marginals([x])[0])
+    # Labels at the end of a long text are learned from as well.
+    x = np.zeros((2000, 2))
+    x[:, 1] = 1
+    late = x.copy()
+    late[1500:, 0] = 5
+    fitted = line_crf.LineCrf(2).fit([x, late], np.array([0, 1]))
+    assert np.all(fitted.marginals([late])[0][1500:] > 0.5) and np.all(fitted.marginals([x])[0] < 0.5)
+
+
 def test_language_id(spark):
     d = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet")
     samples = lang_id.learn(d)
-    assert [s for s, _ in samples] == ["de", "en", "es", "fr"] and all(len(t) <= lang_id.MODEL_CHARS for _, t in samples)
+    assert [s for s, _ in samples] == ["de", "en", "es", "fr"] and all(5000 < len(t) < lang_id.SAMPLE_PASSAGES * (lang_id.PASSAGE_CHARS + 100) for _, t in samples)
+    assert samples == lang_id.learn(d.repartition(5))
     out = lang_id.identify(d, samples).join(d, "doc_id").where("held_out and length(text) > 40").collect()
     assert sum(r.lang_pred == r.lang for r in out) / len(out) > 0.97
     odd = {r.doc_id: r for r in lang_id.identify(docs(spark, [*AWKWARD, "12 34 !!"]), samples).collect()}
@@ -308,6 +327,27 @@ def test_cross_parse_is_exact():
         assert parser.phrases([probe])[0, 0] == pytest.approx(n, abs=len(pieces))
 
 
+def test_a_language_of_a_short_sample_is_found(spark):
+    d = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet")
+    samples = dict(lang_id.learn(d))
+    texts = [r.text for r in d.where("lang = 'en' and length(text) > 200").orderBy("doc_id").limit(60).collect()]
+    samples["en"] = samples["en"][:300]
+    parser = lang_id.CrossParser(tuple(sorted(samples.items())))
+    assert parser.predict(texts)[0].count("en") >= 55
+    others = [(r.lang, r.text) for r in d.where("lang <> 'en' and length(text) > 200").orderBy("doc_id").limit(120).collect()]
+    got = parser.predict([t for _, t in others])[0]
+    assert sum(g == lang for g, (lang, _) in zip(got, others)) >= 110
+
+
+def test_passages_come_from_whole_texts(spark):
+    text = "".join(chr(0x4E00 + k) * lang_id.PASSAGE_CHARS for k in range(300))  # each passage has a letter of its own
+    d = docs(spark, [text, None, "", "kurz"], lang=["x", "x", "x", "y"])
+    seen = dict(lang_id.learn(d.withColumn("doc_id", F.col("doc_id") + 3)))  # ids that are not held out
+    found = {ord(c) - 0x4E00 for c in seen["x"] if c != " "}
+    assert len(found) == lang_id.SAMPLE_PASSAGES and max(found) > 200
+    assert lang_id.learn(docs(spark, [])) == () and lang_id.identify(docs(spark, []), ()).count() == 0
+
+
 def test_many_scripts_have_codes():
     rng = random.Random(13)
 
@@ -495,6 +535,27 @@ def test_secrets(spark):
     assert got[10**6 + 11].spans == "markov:4:44" and got[10**6 + 12].spans == ""
 
 
+def test_secret_models_on_labelled_strings(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    models = secrets.train(d, "doc_id", "text", 100)
+    unseen = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet").where("length(text) > 200").orderBy("doc_id").collect()
+    strings, names = zip(*(secrets.labelled(r.text) for r in unseen))
+    strings = [x for s in strings for x in s if len(x) >= 20]
+    names = [x for s in names for x in s if len(x) >= 20]
+    assert len(names) > 1000 and sum(models.score(x) <= secrets.THRESHOLD for x in names) / len(names) > 0.99
+    assert len(strings) > 10 and sum(models.score(x) > secrets.THRESHOLD for x in strings) / len(strings) > 0.9
+    # The models' counts against a plain loop over the same runs, and spans against every pair.
+    runs = ["abC9", "x", "a-b"]
+    want = Counter(p for r in runs for p in zip(secrets._codes(r)[:-1], secrets._codes(r)[1:]))
+    assert {divmod(i, secrets._N): n for i, n in enumerate(secrets.steps(runs)) if n} == want
+    rng = random.Random(5)
+    spans = sorted((s := rng.randrange(200), 0, s + rng.randrange(1, 30)) for _ in range(12))
+    touched = secrets._Touched(spans)
+    for s in range(220):
+        assert touched(s, s + 7) == any(s < b and s + 7 > a for a, _, b in spans)
+    assert secrets.scan(docs(spark, [])).count() == 0
+
+
 # ---- op9 --------------------------------------------------------------------
 
 

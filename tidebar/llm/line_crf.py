@@ -2,7 +2,8 @@
 
 Edge cases: null and empty texts have no lines and get the score of the
 model's prior; an empty table gives no rows; repeated rows each give a row; further columns of
-the input are ignored; with no labelled rows all scores are 0.5.
+the input are ignored; with no labelled rows all scores are 0.5; a very long text is one
+chain, whose time and memory are linear in its lines.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, map_texts, table
 
-#: Bounds of the labelled sample: rows, and characters of each row's text.
+#: Rows of the labelled sample, whole texts each.
 SAMPLE_DOCS = 4000
-SAMPLE_CHARS = 40_000
+#: Texts run in step while their lines, filled up to the longest, are at most so many; a longer one runs alone.
+CELLS = 1 << 18
+#: Longer texts are learned from in stretches of at most this many lines. Scores come from the whole chain.
+STRETCH = 128
 
 _SENTENCE = re.compile(r"[.!?…。][\"')\]»”’]*$")
 N_OWN = 21
@@ -105,8 +109,10 @@ class LineCrf:
         for i in range(len(xs)):
             if not len(xs[i]):
                 out[i] = (np.zeros(0), np.zeros((2, 2)))
-        for at in range(0, len(order), 256):
-            group = order[at : at + 256]
+        at = 0
+        while at < len(order):
+            group = order[at : at + max(1, CELLS // len(xs[order[at]]))]
+            at += len(group)
             n = [len(xs[i]) for i in group]
             top, m = n[0], len(group)
             emit = np.zeros((top, m, 2))
@@ -135,6 +141,7 @@ class LineCrf:
         """Gradient ascent (Adam) on the log-likelihood; each line carries its document's label.
 
         Each text weighs the same however long it is, and both classes weigh the same together.
+        All lines of a long text are learned from, in stretches.
         """
         keep = [i for i in range(len(xs)) if len(xs[i])]
         xs, y = [xs[i] for i in keep], labels[keep]
@@ -143,20 +150,21 @@ class LineCrf:
         every = np.vstack(xs)
         self.mean, self.scale = every.mean(0), every.std(0) + 1e-6
         self.mean[-1], self.scale[-1] = 0.0, 1.0
-        zs = [(x - self.mean) / self.scale for x in xs]
         self.prior = float((y.sum() + 1) / (len(y) + 2))
-        share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+        lengths = np.array([len(x) for x in xs])
+        share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / lengths
+        parts = [x[k : k + STRETCH] for x in xs for k in range(0, len(x), STRETCH)]
+        owner = np.repeat(np.arange(len(xs)), -(-lengths // STRETCH))
+        z = (every - self.mean) / self.scale
+        line_share, line_label = np.repeat(share, lengths), np.repeat(y, lengths)
+        inner = np.array([len(x) - 1 for x in parts]) * share[owner]
+        true = np.diag([inner[y[owner] == 0].sum(), inner[y[owner] == 1].sum()])
         m = [np.zeros_like(self.w), np.zeros_like(self.t)]
         v = [np.zeros_like(self.w), np.zeros_like(self.t)]
-        lengths = np.array([len(x) for x in xs])
         for step in range(1, rounds + 1):
-            got = self._pass(xs)
-            gw, gt = -ridge * self.w, -ridge * self.t
-            for z, label, s, n, (good, pair) in zip(zs, y, share / lengths, lengths, got):
-                gw = gw + s * (z.T @ (label - good))
-                true = np.zeros((2, 2))
-                true[label, label] = n - 1
-                gt = gt + s * (true - pair)
+            good, pairs = zip(*self._pass(parts))
+            gw = z.T @ (line_share * (line_label - np.concatenate(good))) - ridge * self.w
+            gt = true - np.tensordot(share[owner], np.array(pairs), 1) - ridge * self.t
             for p, g, m_, v_ in zip((self.w, self.t), (gw, gt), m, v):
                 m_ *= 0.9
                 m_ += 0.1 * g
@@ -184,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most n_docs rows: the bound of the broadcast.
     rows = (
         docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__l"))
-        .select("__l", "__q", F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
+        .select("__l", "__q", F.col(text_col).alias("t"))
         .collect()
     )
     rows.sort(key=lambda r: (r["__l"], r["t"] or ""))
