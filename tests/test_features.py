@@ -107,3 +107,24 @@ def test_states(spark, mean, median, valid, adv, dec, above, positive, expected)
     )
     r = mk.states(row).first()
     assert (r.return_center_state, r.daily_participation_state, r.trend_participation_state, r.market_structure_state) == expected
+
+
+def test_exact_mean(spark):
+    import math
+    import random
+
+    from tidebar.functions.exact import exact_mean
+
+    rng = random.Random(9)
+    groups = {
+        "mixed": [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-300, 300) for _ in range(500)],
+        "cancels": [1e16, 1.0, -1e16, 3.0], "tiny": [5e-324, 1e-310, -2.5e-320], "great": [1.7e308, 1e300, -1.7e308],
+        "powers": [2.0**k for k in range(-60, 60)], "zeros": [0.0, -0.0], "some": [None, 0.1, 0.2, None], "none": [None],
+    }
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("nan", math.nan), ("nan", 1.0), ("inf", math.inf), ("inf", 2.0)]
+    rng.shuffle(rows)
+    got = {r.k: r.exact_mean for r in exact_mean(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    for k, vs in groups.items():
+        known = [v for v in vs if v is not None]
+        assert got[k] == (math.fsum(known) / len(known) if known else None), k
+    assert math.isnan(got["nan"]) and got["inf"] == math.inf

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,46 @@ from pyspark.sql.types import DoubleType
 
 
 @F.pandas_udf(DoubleType())
-def exact_mean(x: pd.Series) -> float:
-    """Mean from an exactly rounded sum: the same in any order. Strict mode only; avg is faster."""
-    x = x.dropna()
-    return math.fsum(x) / len(x) if len(x) else None
+def _joined(parts: pd.Series) -> pd.Series:
+    """The mean of each array of ``(e, total, n)``: exact sums of mantissas by exponent, of finite values."""
+
+    def mean(row) -> float | None:
+        total = sum((Fraction(int(p["total"])) * Fraction(2) ** p["e"] for p in row), Fraction(0))
+        n = sum(p["n"] for p in row)
+        return _float(total) / n if n else None
+
+    return parts.map(mean)
+
+
+def _float(x: Fraction) -> float:
+    try:
+        return float(x)
+    except OverflowError:
+        return math.inf if x > 0 else -math.inf
+
+
+def exact_mean(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys`` and ``exact_mean``: the mean from an exactly rounded sum, the same in any order.
+
+    A value is a mantissa, a whole number below 2**56, times a power of two. Mantissas of one key and exponent are summed
+    as decimals, in partial aggregates; what comes together for a key is a row for each exponent, at most
+    2,200. Nulls don't count, a key without values has a null; NaN and infinities give what ``avg`` gives.
+    """
+    x = F.col(value).cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) != math.inf)
+    top = F.when(x == 0, 0).otherwise(F.floor(F.log2(F.abs(x)))).cast("int")
+    up = 53 - top  # in two steps, as one power could overflow; a logarithm that is one off changes nothing
+    half = F.floor(up / 2).cast("int")
+    scaled = x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), up - half)
+    parts = (
+        rows.select(*keys, F.when(finite, -up).alias("e"), F.when(finite, scaled.cast("long").cast("decimal(20,0)")).alias("m"), F.when(~finite, x).alias("odd"), x.alias("x"))
+        .groupBy(*keys, "e")
+        .agg(F.sum("m").alias("total"), F.count("x").alias("n"), F.sum("odd").alias("odd"))
+    )
+    whole = parts.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col("e").isNotNull(), F.struct("e", F.col("total").cast("string").alias("total"), "n"))).alias("parts"), F.sum("odd").alias("odd")
+    )
+    return whole.select(*keys, F.when(F.col("odd").isNotNull(), F.col("odd")).otherwise(_joined("parts")).alias("exact_mean"))
 
 
 #: (name, kind, inputs, window, denominator)

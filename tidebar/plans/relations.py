@@ -158,12 +158,12 @@ rel("candidates", lambda d: f"""SELECT b.security_id, b.trade_date, p.provider,
 rel("bars_dup", lambda d: f"SELECT * FROM :bars UNION ALL SELECT * FROM :bars WHERE {D(d)} % 109 = 0")
 rel("publish_log", lambda d: f"SELECT 'p' || {d.text('o_custkey')} AS publish_id, CAST(o_orderdate AS DATE) AS trade_date, o_orderkey AS version, CASE WHEN o_orderkey % 6 = 0 THEN 'FAILED' ELSE 'PUBLISHED' END AS state FROM :orders")
 rel("violations", "SELECT case_type AS verdict, lpad(CAST(case_id AS STRING), 8, '0') AS case_text FROM :cases WHERE result = 'FAIL'")
-rel("sessions", "SELECT trade_date FROM :calendar WHERE year(trade_date) = 1995 AND month(trade_date) IN (5, 6)")
+rel("sessions", "SELECT trade_date FROM :calendar")
 rel("universe", f"SELECT m.security_id, s.trade_date FROM :master m CROSS JOIN :sessions s WHERE {K.replace('security_id', 'm.security_id')} % 10 <> 9")
 rel("status_part", lambda d: f"SELECT u.security_id, u.trade_date, CASE WHEN {D(d, 'u.trade_date')} % 8 = 0 THEN '1' ELSE '0' END AS IS_SUSP_SEC FROM :universe u WHERE {K.replace('security_id', 'u.security_id')} % 6 <> 0 OR {D(d, 'u.trade_date')} % 4 <> 0")
-rel("suspensions", f"SELECT security_id, DATE '1995-05-10' AS suspended_from, DATE '1995-05-25' AS resumes_on FROM :master WHERE {K} % 12 = 0")
+rel("suspensions", lambda d: f"SELECT m.security_id, y.first_day AS suspended_from, {d.plus('y.first_day', '15')} AS resumes_on FROM :master m CROSS JOIN (SELECT min(trade_date) AS first_day FROM :calendar WHERE month(trade_date) = 5 GROUP BY year(trade_date)) y WHERE {K} % 12 = 0")
 rel("trades", f"SELECT security_id, trade_date, volume AS num_trades FROM :bars WHERE {K} % 6 = 0")
-rel("returned", "SELECT DISTINCT security_id, trade_date FROM :bars WHERE year(trade_date) = 1995 AND month(trade_date) IN (5, 6)")
+rel("returned", "SELECT DISTINCT security_id, trade_date FROM :bars")
 values("classes", "class", *[(f"'{c}'",) for c in ("suspended", "required", "unresolved", "missing", "extra")])
 values("windows", "split, first_day, last_day", ("'development'", "DATE '2020-01-01'", "DATE '2023-12-31'"), ("'validation_a'", "DATE '2024-01-01'", "DATE '2025-12-31'"), ("'holdout'", "DATE '2026-01-01'", "DATE '2026-06-30'"))
 rel("month_old", lambda d: f"SELECT {MONTH} AS month, count(*) AS n, sum(volume) AS content FROM :bars WHERE NOT (year(trade_date) = 1998 AND month(trade_date) > 6) GROUP BY {MONTH}")

@@ -160,7 +160,8 @@ def row_outputs(spark, sf_dir):
 
 @query("UD-02", duck("SELECT security_id, CAST(CAST(avg(close) AS FLOAT) AS DOUBLE) AS exact_mean FROM :bars GROUP BY security_id"))
 def exact(spark, sf_dir):
-    return dv.bars(spark, sf_dir).groupBy("security_id").agg(exact_mean("close").cast("float").cast("double").alias("exact_mean"))
+    means = exact_mean(dv.bars(spark, sf_dir), ["security_id"], "close")
+    return means.select("security_id", F.col("exact_mean").cast("float").cast("double").alias("exact_mean"))
 
 
 @query("UD-03", f"WITH {FEATURES_SQL} " + " UNION ALL ".join(f"SELECT '{v}' AS name, count({v}) AS n FROM features" for v in ft.VALUES))
