@@ -71,6 +71,7 @@ _CUE = r"""CASE WHEN before rlike '(?i)\\b(tel|phone|fax|call|mobile|cell|dial)'
 _BEFORE = r"CASE WHEN before = '' OR before rlike '[\\s(+]$' THEN 0 WHEN before rlike '[A-Za-z0-9]$' THEN 1 ELSE 2 END"
 _AFTER = r"CASE WHEN after = '' OR after rlike '^\\s' THEN 0 WHEN after rlike '^[.,;:!?)]' THEN 1 WHEN after rlike '^[A-Za-z0-9]' THEN 2 ELSE 3 END"
 _PLAIN = r"regexp_replace(regexp_replace(lower(m), '\\x20?[\\[({]?\\x20?\\bat\\b\\x20?[\\])}]?\\x20?|\\x20?@\\x20?', '@'), '\\x20?[\\[({]?\\x20?\\bdot\\b\\x20?[\\])}]?\\x20?', '.')"
+_FIRST = "regexp_extract(m, '^[0-9]{13,19}', 0)"  # cards may stand side by side
 #: Features of each generator: (expression over m, before, after; number of values).
 FEATURES = {
     "mail": [
@@ -87,7 +88,7 @@ FEATURES = {
         (_bin(r"length(regexp_extract(m, '[0-9]+', 0))", 1, 2, 3, 4, 6, 12), 7),
         (_bin(r"length(regexp_extract(m, '[0-9]+$', 0))", 1, 2, 3, 4, 6, 12), 7),
         (r"CASE WHEN m rlike '[()]' THEN 1 WHEN m rlike '\\.' THEN 2 WHEN m rlike '-' THEN 3 WHEN m rlike '\\x20' THEN 4 ELSE 0 END", 5),
-        (f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 AND luhn_check({_DIGITS}) THEN 1 ELSE 0 END", 2),
+        (f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 AND luhn_check({_DIGITS}) OR {_FIRST} <> '' AND luhn_check({_FIRST}) THEN 1 ELSE 0 END", 2),
         (_CUE, 4), (_BEFORE, 3), (_AFTER, 4),
     ],
 }
