@@ -128,3 +128,50 @@ def test_exact_mean(spark):
         known = [v for v in vs if v is not None]
         assert got[k] == (math.fsum(known) / len(known) if known else None), k
     assert math.isnan(got["nan"]) and got["inf"] == math.inf
+
+
+def brute_members(rows, i):
+    """Indices of the inputs of row i: the last 61, and the last 20 with an amount and with a return."""
+    amounts = [k for k in range(i + 1) if rows[k][8] is not None][-20:]
+    returns = [k for k in range(i + 1) if rows[k][6]][-20:]
+    return set(range(max(0, i - 60), i + 1)) | set(amounts) | set(returns)
+
+
+def test_lineage_follows_its_members_and_no_others(spark):
+    holes = dict(amount=lambda i, v: None if 5 <= i < 120 and i % 9 else v, pre_close=lambda i, v: 0.0 if i > 15 and i % 4 else v)
+    rows = ramp(170, **holes)
+    base = run(spark, rows)
+    sets = {i: brute_members(rows, i) for i in range(170)}
+    assert all(at(base, i).lineage_size == len(sets[i]) for i in sets)
+    for k in (0, 7, 14, 20, 63, 118):
+        changed = rows[:k] + [rows[k][:2] + (rows[k][2] + 2**-40,) + rows[k][3:]] + rows[k + 1 :]  # the open of one row, by a few bits
+        got = run(spark, changed)
+        for i in range(170):
+            same = at(got, i).input_lineage_hash == at(base, i).input_lineage_hash
+            assert same == (k not in sets[i]), (k, i)
+
+
+def test_first_bad_input_gives_the_reason(spark):
+    nan, inf = float("nan"), float("inf")
+    out = run(spark, ramp(30, close=lambda i, v: {7: nan, 9: None, 20: None, 22: inf}.get(i, v)))
+    reason = lambda i: at(out, i).ma_close_obs_5_reason
+    assert [reason(i) for i in (3, 6, 8, 9, 11, 12, 13, 14)] == ["INSUFFICIENT_HISTORY", None, "NON_FINITE_RESULT", "NON_FINITE_RESULT", "NON_FINITE_RESULT", "INPUT_NULL", "INPUT_NULL", None]
+    assert [reason(i) for i in (22, 24, 25, 26, 27)] == ["INPUT_NULL", "INPUT_NULL", "NON_FINITE_RESULT", "NON_FINITE_RESULT", None]
+    assert at(out, 9).close_to_ma_obs_5_reason == "NON_FINITE_RESULT" and at(out, 12).return_lag_obs_5_reason == "NON_FINITE_RESULT"
+    den = run(spark, ramp(3, pre_close=lambda i, v: (inf, None, -1.0)[i]))
+    assert [at(den, i).raw_return_1_reason for i in range(3)] == ["NON_FINITE_RESULT", "UNSAFE_DENOMINATOR", "UNSAFE_DENOMINATOR"]
+
+
+def test_stored_tables_have_all_columns(spark):
+    f = ft.security_features(spark.createDataFrame(ramp(25), SCHEMA))
+    r = ft.Run("s1", "c1")
+    table = ft.security_table(f, r)
+    assert len(table.columns) == 24 and table.first().feature_run_id == r.feature_run_id != ft.Run("s2", "c1").feature_run_id
+    market = mk.market_table(mk.breadth(f), r)
+    assert len(market.columns) == 20 and market.count() == 25
+    foreign = spark.createDataFrame(ramp(2), SCHEMA).selectExpr("*", "concat(security_id, trade_date) AS canonical_key", "'s1' AS snapshot_id", "if(trade_date > '2026-01-01', 'c2', 'c1') AS canonical_run_id")
+    import pyspark.sql.functions as F
+
+    twice = foreign.unionByName(foreign.limit(1).withColumn("trade_date", F.lit(DAY + dt.timedelta(9))))
+    got = sorted((r.violation, str(r.trade_date)) for r in ft.guard(twice, F.lit("2027-01-01").cast("date"), r).collect())
+    assert got == [("DUPLICATE_CANONICAL_KEY", "2026-01-01"), ("DUPLICATE_CANONICAL_KEY", "2026-01-10"), ("FOREIGN_CANONICAL_RUN", "2026-01-02")]

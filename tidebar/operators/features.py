@@ -2,29 +2,31 @@
 
 All windows count bars of the security in date order. One window specification
 (``PARTITION BY security_id ORDER BY trade_date``) serves every frame, so the
-whole table takes one shuffle; the two last-N-valid features add frames that
-are partitioned by validity as well.
+whole table takes one shuffle; the two last-N-valid features add frames in the same
+partitions that range over the number of valid rows so far.
+
+Lineage is a digest of the set of input rows: sums of lanes of their hashes. A span's
+sum is the difference of two running sums, so no row holds a list of its inputs.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from dataclasses import dataclass
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import canonical as cj
+
 WINDOWS = (5, 20, 60)
 N_VALID = 20
 
 
 def valid(c: Column) -> Column:
     """Present and finite."""
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-
-
-def reason_of(*steps: tuple[Column, str]) -> Column:
-    """The first step whose condition holds names the reason."""
-    return reduce(lambda rest, s: F.when(s[0], s[1]).otherwise(rest), reversed(steps), F.lit(None).cast("string"))
+    return F.coalesce(cj.finite(c), F.lit(False))
 
 
 def _w(rows: int | None = None):
@@ -36,12 +38,26 @@ def add(df: DataFrame, name: str, value: Column, why: Column) -> DataFrame:
     return df.withColumns({name: value, name + "_reason": why})
 
 
+def absent(c: Column) -> Column:
+    """Why ``c`` is no input: null or not finite; else null."""
+    return F.when(c.isNull(), "INPUT_NULL").when(~cj.finite(c), "NON_FINITE_RESULT")
+
+
+def divided(value: Column, num: list[Column], den: Column) -> tuple[Column, Column]:
+    """``value``, a quotient by ``den``, and its reason: the denominator's counts first, then those of what is divided in order.
+
+    Conditions are spelled out over columns; built from one another they would grow beyond what is compiled.
+    """
+    good = (den > 0) & (den < cj.INF) & valid(value)
+    why = F.when(good, None).when(den.isNull(), "UNSAFE_DENOMINATOR").when(~cj.finite(den), "NON_FINITE_RESULT").when(den <= 0, "UNSAFE_DENOMINATOR")
+    for c in num:
+        why = why.when(c.isNull(), "INPUT_NULL").when(~cj.finite(c), "NON_FINITE_RESULT")
+    return F.when(good, value), why.otherwise("NON_FINITE_RESULT")
+
+
 def change(num: Column, den: Column) -> tuple[Column, Column]:
-    """num / den - 1 and its reason: an absent or non-positive denominator counts first."""
-    unsafe = ~valid(den) | (den <= 0)
-    value = F.try_divide(num, den) - 1
-    why = reason_of((unsafe, "UNSAFE_DENOMINATOR"), (num.isNull(), "INPUT_NULL"), (~valid(value), "NON_FINITE_RESULT"))
-    return F.when(why.isNull(), value), why
+    """num / den - 1 and its reason."""
+    return divided(F.try_divide(num, den) - 1, [num], den)
 
 
 def ratios(bars: DataFrame) -> DataFrame:
@@ -50,97 +66,124 @@ def ratios(bars: DataFrame) -> DataFrame:
     out = add(bars, "raw_return_1", *change(c("close"), c("pre_close")))
     out = add(out, "gap_open_raw", *change(c("open"), c("pre_close")))
     out = add(out, "intraday_return_raw", *change(c("close"), c("open")))
-    unsafe = ~valid(c("pre_close")) | (c("pre_close") <= 0)
     span = F.try_divide(c("high") - c("low"), c("pre_close"))
-    why = reason_of((unsafe, "UNSAFE_DENOMINATOR"), (c("high").isNull() | c("low").isNull(), "INPUT_NULL"), (~valid(span), "NON_FINITE_RESULT"))
-    return add(out, "amplitude_preclose_raw", F.when(why.isNull(), span), why)
+    return add(out, "amplitude_preclose_raw", *divided(span, [c("high"), c("low")], c("pre_close")))
 
 
 def averages(bars: DataFrame, windows=WINDOWS) -> DataFrame:
-    """Moving means of close over exactly n bars, and the close's distance from each."""
+    """Moving means of close over exactly n bars, and the close's distance from each.
+
+    A mean is missing for the reason of the first bar in its window that has no close.
+    """
     close = F.col("close")
-    out = bars
+    out = bars.withColumns({"__close": F.when(valid(close), close), "__bad": absent(close)})
+    frames = {"__number": F.row_number().over(_w())}
     for n in windows:
-        w = _w(n - 1)
-        rows, good = F.count(F.lit(1)).over(w), F.count(F.when(valid(close), 1)).over(w)
-        why = reason_of((rows < n, "INSUFFICIENT_HISTORY"), (good < n, "INPUT_NULL"))
-        out = add(out, f"ma_close_obs_{n}", F.when(why.isNull(), F.avg("close").over(w)), why)
+        frames |= {f"__first{n}": F.first("__bad", ignorenulls=True).over(_w(n - 1)), f"__mean{n}": F.avg("__close").over(_w(n - 1))}
+    out = out.withColumns(frames)
+    new = {}
     for n in windows:
-        ma, why = F.col(f"ma_close_obs_{n}"), F.col(f"ma_close_obs_{n}_reason")
-        unsafe = why.isNull() & (ma <= 0)
-        value = F.try_divide(close, ma) - 1
-        out = add(out, f"close_to_ma_obs_{n}", F.when(why.isNull() & ~unsafe, value), F.when(unsafe, "UNSAFE_DENOMINATOR").otherwise(why))
-    return out
+        mean, first, short = F.col(f"__mean{n}"), F.col(f"__first{n}"), F.col("__number") < n
+        full = ~short & first.isNull() & valid(mean)
+        why = F.when(short, "INSUFFICIENT_HISTORY").when(first.isNotNull(), first).when(~valid(mean), "NON_FINITE_RESULT")
+        value = F.try_divide(close, mean) - 1
+        new |= {
+            f"ma_close_obs_{n}": F.when(full, mean), f"ma_close_obs_{n}_reason": why,
+            f"close_to_ma_obs_{n}": F.when(full & (mean > 0) & valid(value), value),
+            f"close_to_ma_obs_{n}_reason": why.when(mean <= 0, "UNSAFE_DENOMINATOR").when(~valid(value), "NON_FINITE_RESULT"),
+        }
+    return out.withColumns(new)
 
 
 def lag_returns(bars: DataFrame, lags=WINDOWS) -> DataFrame:
     """close / close n bars ago - 1."""
-    out = bars
+    out = bars.withColumns({"__number": F.row_number().over(_w())} | {f"__ago{n}": F.lag("close", n).over(_w()) for n in lags})
     for n in lags:
-        den = F.lag("close", n).over(_w())
-        value, why = change(F.col("close"), den)
-        short = F.row_number().over(_w()) <= n
+        value, why = change(F.col("close"), F.col(f"__ago{n}"))
+        short = F.col("__number") <= n
         out = add(out, f"return_lag_obs_{n}", F.when(~short, value), F.when(short, "INSUFFICIENT_HISTORY").otherwise(why))
     return out
 
 
-def last_valid(bars: DataFrame, n: int = N_VALID) -> DataFrame:
-    """amount_to_mean_obs_20, vol_raw_return_obs_20 and how many rows each skipped.
+#: Running sums: over all rows so far, over rows with a valid amount, with a valid return, and with both.
+FAMILIES = ("t", "a", "r", "b")
+_PARTS = [f"{i}" for i in range(cj.LANES)]
 
-    The last n valid rows are a frame over valid rows only
-    (``PARTITION BY security_id, is_valid``); its values are carried forward
-    to every row by ``last(ignoreNulls)``.
-    """
-    out = bars.withColumns({
-        "__i": F.row_number().over(_w()),
-        "__av": valid(F.col("amount")),
-        "__rv": F.col("raw_return_1").isNotNull(),
-    })
-    for flag, source, agg, name in (("__av", "amount", F.avg, "a"), ("__rv", "raw_return_1", F.stddev_pop, "r")):
-        v = Window.partitionBy("security_id", flag).orderBy("trade_date").rowsBetween(-(n - 1), 0)
-        own = F.col(flag)
-        out = out.withColumns({
-            f"__{name}k": F.when(own, F.count(F.lit(1)).over(v)),
-            f"__{name}s": F.when(own, F.min("__i").over(v)),
-            f"__{name}m": F.when(own, agg(source).over(v)),
-            f"__{name}t": F.when(own, F.max("available_on").over(v)),
-        })
-    run = _w().rowsBetween(Window.unboundedPreceding, 0)
-    carry = {f"__{x}": F.last(f"__{x}", ignorenulls=True).over(run) for x in ("ak", "as", "at", "rk", "rs", "rm", "rt")}
-    out = out.withColumns(carry | {"__valid_r": F.count(F.when(F.col("__rv"), 1)).over(run)})
-    full_a, full_r = F.coalesce(F.col("__ak"), F.lit(0)) >= n, F.coalesce(F.col("__rk"), F.lit(0)) >= n
-    mean = F.col("__am")
-    why = reason_of((F.col("amount").isNull(), "INPUT_NULL"), (~F.col("__av"), "NON_FINITE_RESULT"), (~full_a, "INSUFFICIENT_HISTORY"), (mean <= 0, "UNSAFE_DENOMINATOR"))
-    out = add(out, "amount_to_mean_obs_20", F.when(why.isNull(), F.try_divide(F.col("amount"), mean)), why)
-    out = add(out, "vol_raw_return_obs_20", F.when(full_r, F.col("__rm")), F.when(~full_r, "INSUFFICIENT_HISTORY"))
-    return out.withColumns({
-        "amount_skipped": F.when(full_a, F.col("__i") - F.col("__as") + 1 - n).otherwise(0).cast("long"),
-        "vol_skipped": F.when(full_r, F.col("__i") - F.col("__rs") + 1 - n).otherwise(F.col("__i") - F.col("__valid_r")).cast("long"),
-    })
+
+def identified(bars: DataFrame) -> DataFrame:
+    """Bars with ``canonical_key`` and ``source_row_identity_hash``; those that are there already stay."""
+    own = [c for c in bars.columns if not c.startswith("__")]
+    new = {"canonical_key": cj.key_json(F.col("security_id"), F.date_format("trade_date", "yyyy-MM-dd")), "source_row_identity_hash": cj.row_hash(bars, own, strict=False)}
+    return bars.withColumns({k: v for k, v in new.items() if k not in bars.columns})
 
 
-def lineage(features: DataFrame, n: int = N_VALID, span: int = 60) -> DataFrame:
-    """Rows that a feature row stands on, their hash, and when all of them were available.
+def member_lanes(bars: DataFrame) -> DataFrame:
+    """Lanes ``__h0`` and so on of what a row is as an input: its key, its identity and when it was available."""
+    one = F.sha2(F.concat_ws("|", "canonical_key", "source_row_identity_hash", F.date_format("available_on", "yyyy-MM-dd")), 256)
+    return bars.withColumn("__h", one).withColumns({f"__h{i}": c for i, c in enumerate(cj.lanes(F.col("__h")))}).drop("__h")
 
-    The set is the last ``span`` + 1 bars with the last n valid amounts and returns;
-    while fewer than n are valid these are all valid ones. Its size is bounded
-    by span + 1 + 2n, so the lists stay small. Skipped rows are not members.
+
+def last_valid(bars: DataFrame, n: int = N_VALID, span: int = 60) -> DataFrame:
+    """amount_to_mean_obs_20, vol_raw_return_obs_20, how many rows each skipped, and the lineage.
+
+    Rows carry the number of valid ones so far. The last n valid rows are then the range of
+    the last n of these numbers, over values that are null where not valid, so
+    each feature takes one frame more and no row is moved.
+
+    Inputs of a row are the last ``span`` + 1 bars with the last n valid amounts and returns;
+    while fewer than n are valid these are all valid ones. Skipped rows are not members. Of the
+    valid ones only those before the span count on their own: running sums up to there less those up to
+    the first of them, and what amounts and returns have in common once.
     """
-    out = features
-    for flag, name in (("__av", "la"), ("__rv", "lr")):
-        v = Window.partitionBy("security_id", flag).orderBy("trade_date").rowsBetween(-(n - 1), 0)
-        out = out.withColumn(f"__{name}", F.when(F.col(flag), F.collect_list("__i").over(v)))
     run = _w().rowsBetween(Window.unboundedPreceding, 0)
-    none = F.array().cast("array<int>")
-    members = F.array_sort(F.array_distinct(F.concat(
-        F.collect_list("__i").over(_w(span)),
-        *[F.coalesce(F.last(f"__{x}", ignorenulls=True).over(run), none) for x in ("la", "lr")],
-    )))
-    out = out.withColumn("__members", members)
+    out = bars.withColumns({"__av": valid(F.col("amount")), "__rv": F.col("raw_return_1").isNotNull()})
+    member = {"t": F.lit(True), "a": F.col("__av"), "r": F.col("__rv"), "b": F.col("__av") & F.col("__rv")}
+    sums = {f"__{f}n": F.sum(F.when(m, 1).otherwise(0)).over(run) for f, m in member.items()}
+    sums |= {f"__{f}{i}": F.sum(F.when(m, F.col(f"__h{i}")).otherwise(0)).over(run) for f, m in member.items() for i in _PARTS}
+    out = out.withColumns(sums)
+    parts = ["n", *_PARTS]
+    out = out.withColumns({
+        "__old": F.lag(F.struct(*[f"__{f}{p}" for f in FAMILIES for p in parts]), span + 1).over(_w()),
+        "__near_at": F.max("available_on").over(_w(span)),
+    })
+    for f, source, agg in (("a", "amount", F.avg), ("r", "raw_return_1", F.stddev_pop)):
+        own = F.col(f"__{f}v")
+        w = Window.partitionBy("security_id").orderBy(f"__{f}n").rangeBetween(-(n - 1), 0)
+        less = lambda g, p: F.col(f"__{g}{p}") - (F.lit(1) if p == "n" else F.col(f"__h{p}"))
+        # sums before the row, of its own family and of both; a row that is not in both takes nothing from the latter
+        before = [less(f, p).alias(f"o{p}") for p in parts]
+        before += [(F.col(f"__b{p}") - F.when(member["b"], F.lit(1) if p == "n" else F.col(f"__h{p}")).otherwise(0)).alias(f"b{p}") for p in parts]
+        out = out.withColumns({
+            f"__{f}first": F.min(F.when(own, F.struct(F.col("__tn").alias("i"), *before))).over(w),
+            f"__{f}m": agg(F.when(own, F.col(source))).over(w),
+            f"__{f}at": F.max(F.when(own, F.col("available_on"))).over(w),
+        })
+    full_a, full_r, i = F.col("__an") >= n, F.col("__rn") >= n, F.col("__tn")
+    mean = F.col("__am")
+    amount, deviation = F.col("amount"), F.col("__rm")
+    why = F.when(amount.isNull(), "INPUT_NULL").when(~F.col("__av"), "NON_FINITE_RESULT").when(~full_a, "INSUFFICIENT_HISTORY")
+    why = why.when(~valid(mean), "NON_FINITE_RESULT").when(mean <= 0, "UNSAFE_DENOMINATOR")
+    out = add(out, "amount_to_mean_obs_20", F.when(F.col("__av") & full_a & valid(mean) & (mean > 0), F.try_divide(amount, mean)), why)
+    why = F.when(~full_r, "INSUFFICIENT_HISTORY").when(~valid(deviation), "NON_FINITE_RESULT")
+    out = add(out, "vol_raw_return_obs_20", F.when(full_r & valid(deviation), deviation), why)
+    old = lambda f, p: F.col(f"__old.__{f}{p}")
+    none = F.lit(0).cast("long")
+
+    def total(p: str) -> Column:
+        near = F.col(f"__t{p}") - F.coalesce(old("t", p), none)
+        amounts = F.greatest(old("a", p) - F.col(f"__afirst.o{p}"), none)
+        returns = F.greatest(old("r", p) - F.col(f"__rfirst.o{p}"), none)
+        both = F.greatest(old("b", p) - F.greatest(F.col(f"__afirst.b{p}"), F.col(f"__rfirst.b{p}")), none)
+        common = F.when(F.col("__afirst").isNotNull() & F.col("__rfirst").isNotNull(), both)
+        return near + F.coalesce(amounts, none) + F.coalesce(returns, none) - F.coalesce(common, none)
+
+    size = total("n")
     return out.withColumns({
-        "lineage_size": F.size("__members").cast("long"),
-        "input_lineage_hash": F.sha2(F.concat_ws(":", "security_id", F.array_join("__members", ",")), 256),
-        "feature_available_on": F.greatest(F.max("available_on").over(_w(span)), "__at", "__rt"),
+        "amount_skipped": F.when(full_a, i - F.col("__afirst.i") + 1 - n).otherwise(0).cast("long"),
+        "vol_skipped": F.when(full_r, i - F.col("__rfirst.i") + 1 - n).otherwise(i - F.col("__rn")).cast("long"),
+        "lineage_size": size,
+        "input_lineage_hash": cj.sums_hash(size, *[total(p) for p in _PARTS]),
+        "feature_available_on": F.greatest("__near_at", "__aat", "__rat"),
     })
 
 
@@ -153,7 +196,35 @@ VALUES = (
 
 def security_features(bars: DataFrame) -> DataFrame:
     """All fifteen features with reasons, skipped counts, lineage and availability."""
-    return lineage(last_valid(lag_returns(averages(ratios(bars)))))
+    return last_valid(lag_returns(averages(ratios(member_lanes(identified(bars))))))
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a feature run stands on and the version of what it computes."""
+
+    snapshot_id: str
+    canonical_run_id: str
+    feature_set_id: str = "daily-features-1"
+    contract_version: str = "1"
+    universe_rule_id: str = "observed-bars"
+
+    @property
+    def feature_run_id(self) -> str:
+        """The same inputs and versions give the same id."""
+        parts = [self.snapshot_id, self.canonical_run_id, self.feature_set_id, self.contract_version, self.universe_rule_id]
+        return sha256(json.dumps(parts, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+
+
+def security_table(features: DataFrame, run: Run) -> DataFrame:
+    """The stored security table: nine columns of identity and the fifteen features, in fixed order."""
+    ids = {
+        "source_snapshot_id": run.snapshot_id, "source_canonical_run_id": run.canonical_run_id, "feature_run_id": run.feature_run_id,
+        "feature_set_id": run.feature_set_id, "feature_contract_version": run.contract_version,
+    }
+    return features.select(
+        "security_id", "trade_date", *[F.lit(v).alias(k) for k, v in ids.items()], F.col("feature_available_on").alias("feature_available_at"), "input_lineage_hash", *VALUES
+    )
 
 
 def findings(features: DataFrame) -> DataFrame:
@@ -170,13 +241,18 @@ def findings(features: DataFrame) -> DataFrame:
     )
 
 
-def guard(bars: DataFrame, as_of: Column) -> DataFrame:
-    """Violations: duplicate (security, date), and rows available after ``as_of``."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("security_id", "trade_date"))
-    return (
-        bars.withColumn("n", n)
-        .select("security_id", "trade_date", F.explode(F.array(
-            F.when(F.col("n") > 1, "DUPLICATE_SECURITY_DATE"), F.when(F.col("available_on") > as_of, "AVAILABLE_AFTER_AS_OF"),
-        )).alias("violation"))
-        .where("violation is not null")
-    )
+def guard(bars: DataFrame, as_of: Column, run: Run | None = None) -> DataFrame:
+    """Violations by row: a (security, date) or a canonical key that comes twice, rows available after ``as_of``, rows of another snapshot or run.
+
+    Identities are compared where ``run`` is given and the bars carry ``snapshot_id`` and ``canonical_run_id``.
+    """
+    twice = lambda *keys: F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    checks = [F.when(F.col("__day"), "DUPLICATE_SECURITY_DATE"), F.when(F.col("available_on") > as_of, "AVAILABLE_AFTER_AS_OF")]
+    out = bars.withColumn("__day", twice("security_id", "trade_date"))
+    if "canonical_key" in bars.columns:
+        out = out.withColumn("__key", twice("canonical_key"))
+        checks.append(F.when(F.col("__key"), "DUPLICATE_CANONICAL_KEY"))
+    if run is not None:
+        for c, own, name in (("snapshot_id", run.snapshot_id, "FOREIGN_SNAPSHOT"), ("canonical_run_id", run.canonical_run_id, "FOREIGN_CANONICAL_RUN")):
+            checks.append(F.when(~F.col(c).eqNullSafe(own), name))
+    return out.select("security_id", "trade_date", F.explode(F.array(*checks)).alias("violation")).where("violation is not null")

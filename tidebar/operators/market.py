@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import canonical as cj
+from .features import Run
 
 RATIOS = (
     ("advancer_ratio_observed", "advancer_count", "valid_raw_return_count"),
@@ -16,11 +20,14 @@ def breadth(features: DataFrame) -> DataFrame:
     """Counts, ratios, mean, median and total over all observed securities of a date.
 
     One partially aggregated shuffle by trade_date. The exact median needs the
-    date's returns in one place: one number for each security and date.
+    date's returns in one place: one number for each security and date. The lineage is a
+    digest of the set of the date's securities with their own lineages, from sums.
     """
     r = F.col("raw_return_1")
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    out = features.groupBy("trade_date").agg(
+    member = F.sha2(F.concat_ws("|", "security_id", "input_lineage_hash"), 256)
+    sums = [F.sum(c.cast("decimal(20,0)")) for c in cj.lanes(F.col("__m"))]
+    out = features.withColumn("__m", member).groupBy("trade_date").agg(
         F.count("*").alias("observed_security_count"), F.count(r).alias("valid_raw_return_count"),
         count(r > 0).alias("advancer_count"), count(r < 0).alias("decliner_count"), count(r == 0).alias("unchanged_count"),
         F.avg(r).alias("mean_raw_return_observed"), F.median(r).alias("median_raw_return_observed"),
@@ -28,11 +35,27 @@ def breadth(features: DataFrame) -> DataFrame:
         F.count("return_lag_obs_20").alias("valid_mom20_count"), count(F.col("return_lag_obs_20") > 0).alias("positive_mom20_count"),
         F.sum("amount").alias("total_amount_observed"), F.count("amount").alias("valid_amount_count"),
         F.max("feature_available_on").alias("feature_available_on"),
-        F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("input_lineage_hash"))), 256).alias("input_lineage_hash"),
+        cj.sums_hash(F.count("*"), *sums).alias("input_lineage_hash"),
     )
     return out.withColumns({n: F.try_divide(F.col(a), F.col(b)) for n, a, b in RATIOS})
 
 
+MARKET = (
+    "observed_security_count", "valid_raw_return_count", "advancer_count", "decliner_count", "unchanged_count", "advancer_ratio_observed",
+    "mean_raw_return_observed", "median_raw_return_observed", "valid_ma20_count", "pct_above_ma20_observed", "valid_mom20_count",
+    "pct_positive_mom20_observed", "total_amount_observed",
+)
+
+
+def market_table(market: DataFrame, run: Run) -> DataFrame:
+    """The stored market table: seven columns of identity and the thirteen features, in fixed order."""
+    ids = {"source_snapshot_id": run.snapshot_id, "feature_run_id": run.feature_run_id, "feature_set_id": run.feature_set_id}
+    return market.select(
+        "trade_date", *[F.lit(v).alias(k) for k, v in ids.items()], F.col("feature_available_on").alias("feature_available_at"), "input_lineage_hash",
+        F.lit(run.universe_rule_id).alias("universe_rule_id"), *MARKET,
+    )
+
+
 def market_findings(market: DataFrame) -> DataFrame:
     """UNSAFE_DENOMINATOR for each empty denominator, OPTIONAL_INPUT_MISSING for absent amounts."""
     items = [F.struct(F.lit(n).alias("feature_name"), F.when(F.col(b) == 0, "UNSAFE_DENOMINATOR").alias("finding_class"), F.lit(0).cast("long").alias("missing")) for n, _, b in RATIOS]
@@ -92,6 +115,23 @@ def states(market: DataFrame) -> DataFrame:
     return out.withColumn("market_structure_state", structure(c("return_center_state"), c("daily_participation_state"), c("trend_participation_state")))
 
 
+#: Fixed order of the rules that states come from.
+RULES = ("return-center-1", "daily-participation-1", "trend-participation-1", "market-structure-1")
+
+
+def state_lineage(states_: DataFrame, run: Run, rules: tuple = RULES) -> Column:
+    """SHA-256 of the canonical JSON of all that a state row stands on: the feature run, the market row's lineage and availability, twelve
+    evidence values and the rules' ids. Means come in steps of 1e-9, as their last bits depend on the order of summing."""
+    kinds = {f.name: f.dataType for f in states_.schema.fields}
+    evidence = {n: (F.round(n, 9) if n == "mean_raw_return_observed" else F.col(n), kinds[n]) for n in EVIDENCE}
+    text = T.StringType()
+    return F.sha2(cj.struct_json(evidence | {
+        "feature_run_id": (F.lit(run.feature_run_id), text), "trade_date": (F.col("trade_date"), T.DateType()),
+        "source_lineage_hash": (F.col("input_lineage_hash"), text), "source_available_on": (F.col("feature_available_on"), T.DateType()),
+        "rules": (F.array(*map(F.lit, rules)), T.ArrayType(text)),
+    }), 256)
+
+
 def state_findings(states_: DataFrame) -> DataFrame:
     """Why a state is UNKNOWN: a null input, or an empty denominator."""
     inputs = {

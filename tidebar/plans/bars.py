@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import features as ft
 from ..operators import market as mk
 from ..sources.derived import BARS_SQL, bars
+from . import json_sql as js
 from .base import query
 
 R = 6  # decimals of compared values
@@ -63,7 +64,14 @@ features AS (SELECT *,
     CAST(CASE WHEN c_rk >= 20 THEN i - c_rs + 1 - 20 ELSE i - n_r END AS BIGINT) AS vol_skipped,
     list_sort(list_distinct(list_concat(near, coalesce(c_la, []), coalesce(c_lr, [])))) AS members,
     greatest(near_t, c_at, c_rt) AS feature_available_on FROM f4),
-lineage AS (SELECT *, CAST(len(members) AS BIGINT) AS lineage_size, sha256(security_id || ':' || array_to_string(members, ',')) AS input_lineage_hash FROM features)"""
+members AS (SELECT security_id, i, sha256('["' || security_id || '","' || strftime(trade_date, '%Y-%m-%d') || '"]|' || sha256({js.BARS_ROW}) || '|' || strftime(available_on, '%Y-%m-%d')) AS h FROM f1),
+numbers AS (SELECT security_id, i, {', '.join(f"{x} AS h{k}" for k, x in enumerate(js.lanes("h")))} FROM members),
+digests AS (SELECT f.security_id, f.i, count(*) AS lineage_size, sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {', '.join(f"CAST(sum(n.h{k}) AS VARCHAR)" for k in range(4))})) AS input_lineage_hash
+  FROM (SELECT security_id, i, unnest(members) AS m FROM features) f JOIN numbers n ON f.security_id = n.security_id AND f.m = n.i GROUP BY f.security_id, f.i),
+lineage AS (SELECT f.*, d.lineage_size, d.input_lineage_hash FROM features f JOIN digests d ON f.security_id = d.security_id AND f.i = d.i)"""
+
+#: What the test tables' feature run stands on.
+RUN = ft.Run("snapshot-star-1", "canonical-star-1")
 
 KEY = ["security_id", "trade_date"]
 
@@ -107,21 +115,43 @@ def security_findings(spark, sf_dir):
     return ft.findings(_features(spark, sf_dir))
 
 
-@query("WN-20", f"""WITH {BARS_SQL}, b AS (SELECT * FROM bars UNION ALL SELECT * FROM bars WHERE open > 1900),
-n AS (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM b)
-SELECT security_id, trade_date, 'DUPLICATE_SECURITY_DATE' AS violation FROM n WHERE n > 1
-UNION ALL SELECT security_id, trade_date, 'AVAILABLE_AFTER_AS_OF' FROM n WHERE available_on > DATE '1998-06-01'""")
+_WRONG = {"snapshot_id": ("snapshot-star-1", "close > 1950", "snapshot-star-0"), "canonical_run_id": ("canonical-star-1", "low < 950", "canonical-star-0")}
+
+
+@query("WN-20", f"""WITH {BARS_SQL}, b AS (SELECT security_id, trade_date, available_on, open, close, low, security_id || '/' || CASE WHEN high > 2000 THEN 'x' ELSE strftime(trade_date, '%Y-%m-%d') END AS canonical_key FROM bars),
+d AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE open > 1900),
+k1 AS (SELECT security_id, trade_date FROM d GROUP BY ALL HAVING count(*) > 1), k2 AS (SELECT canonical_key FROM d GROUP BY ALL HAVING count(*) > 1)
+SELECT d.security_id, d.trade_date, 'DUPLICATE_SECURITY_DATE' AS violation FROM d JOIN k1 ON d.security_id = k1.security_id AND d.trade_date = k1.trade_date
+UNION ALL SELECT d.security_id, d.trade_date, 'DUPLICATE_CANONICAL_KEY' FROM d JOIN k2 ON d.canonical_key = k2.canonical_key
+UNION ALL SELECT security_id, trade_date, 'AVAILABLE_AFTER_AS_OF' FROM d WHERE available_on > DATE '1998-06-01'
+UNION ALL SELECT security_id, trade_date, 'FOREIGN_SNAPSHOT' FROM d WHERE close > 1950
+UNION ALL SELECT security_id, trade_date, 'FOREIGN_CANONICAL_RUN' FROM d WHERE low < 950""")
 def guards(spark, sf_dir):
     b = bars(spark, sf_dir)
-    return ft.guard(b.unionByName(b.where("open > 1900")), F.lit("1998-06-01").cast("date"))
+    key = F.concat_ws("/", "security_id", F.when(F.col("high") > 2000, "x").otherwise(F.date_format("trade_date", "yyyy-MM-dd")))
+    b = b.withColumns({"canonical_key": key, **{c: F.when(F.expr(odd), other).otherwise(own) for c, (own, odd, other) in _WRONG.items()}})
+    return ft.guard(b.unionByName(b.where("open > 1900")), F.lit("1998-06-01").cast("date"), RUN)
+
+
+_IDS = {
+    "source_snapshot_id": RUN.snapshot_id, "source_canonical_run_id": RUN.canonical_run_id, "feature_run_id": RUN.feature_run_id,
+    "feature_set_id": RUN.feature_set_id, "feature_contract_version": RUN.contract_version, "universe_rule_id": RUN.universe_rule_id,
+}
+_SECURITY = [*KEY, *list(_IDS)[:5], "feature_available_at", "input_lineage_hash"]
+#: Stored columns as they are compared.
+WIDE = [*_SECURITY, *[f"{shown(v)} AS {v}" for v in ft.VALUES]]
+
+
+def ids_sql(*names: str) -> str:
+    return ", ".join(f"'{_IDS[n]}' AS {n}" for n in names)
 
 
-WIDE = [*KEY, *[f"{shown(v)} AS {v}" for v in ft.VALUES], "amount_skipped", "vol_skipped", "lineage_size", "input_lineage_hash", "feature_available_on"]
+SECURITY_SQL = FEATURES_SQL + f", security_table AS (SELECT *, {ids_sql(*list(_IDS)[:5])}, feature_available_on AS feature_available_at FROM lineage)"
 
 
-@query("WN-28", f"WITH {FEATURES_SQL} SELECT {', '.join(WIDE)} FROM lineage")
+@query("WN-28", f"WITH {SECURITY_SQL} SELECT {', '.join(WIDE)} FROM security_table")
 def wide(spark, sf_dir):
-    return _features(spark, sf_dir).selectExpr(*WIDE)
+    return ft.security_table(_features(spark, sf_dir), RUN).selectExpr(*WIDE)
 
 
 MARKET_SQL = FEATURES_SQL + """,
@@ -130,7 +160,7 @@ market0 AS (SELECT trade_date, count(*) AS observed_security_count, count(raw_re
     avg(raw_return_1) AS mean_raw_return_observed, median(raw_return_1) AS median_raw_return_observed, count(ma_close_obs_20) AS valid_ma20_count,
     count(*) FILTER (close_to_ma_obs_20 > 0) AS above_ma20_count, count(return_lag_obs_20) AS valid_mom20_count, count(*) FILTER (return_lag_obs_20 > 0) AS positive_mom20_count,
     sum(amount) AS total_amount_observed, count(amount) AS valid_amount_count, max(feature_available_on) AS feature_available_on,
-    sha256(string_agg(input_lineage_hash, ',' ORDER BY input_lineage_hash)) AS input_lineage_hash FROM lineage GROUP BY trade_date),
+    sha256(concat_ws('|', CAST(count(*) AS VARCHAR), """ + ", ".join(f"CAST(sum({x}) AS VARCHAR)" for x in js.lanes("sha256(security_id || '|' || input_lineage_hash)")) + """)) AS input_lineage_hash FROM lineage GROUP BY trade_date),
 market AS (SELECT *, advancer_count / nullif(valid_raw_return_count, 0) AS advancer_ratio_observed, above_ma20_count / nullif(valid_ma20_count, 0) AS pct_above_ma20_observed,
     positive_mom20_count / nullif(valid_mom20_count, 0) AS pct_positive_mom20_observed FROM market0)"""
 
@@ -146,18 +176,11 @@ def _shown(name: str) -> str:
     return f"round({name}, {_ROUND[name]}) AS {name}" if name in _ROUND else name
 
 
-MARKET = (
-    "observed_security_count", "valid_raw_return_count", "advancer_count", "decliner_count", "unchanged_count", "advancer_ratio_observed",
-    "mean_raw_return_observed", "median_raw_return_observed", "valid_ma20_count", "pct_above_ma20_observed", "valid_mom20_count",
-    "pct_positive_mom20_observed", "total_amount_observed",
-)
-
-
 def _market_one(name, spark, sf_dir):
     return _market(spark, sf_dir).selectExpr("trade_date", _shown(name))
 
 
-for _k, _name in enumerate(MARKET, 1):
+for _k, _name in enumerate(mk.MARKET, 1):
     query(f"AG-{_k:02d}", f"WITH {MARKET_SQL} SELECT trade_date, {_shown(_name)} FROM market")(partial(_market_one, _name))
 
 
@@ -176,12 +199,13 @@ def market_findings(spark, sf_dir):
     return mk.market_findings(_market(spark, sf_dir))
 
 
-MARKET_WIDE = ["trade_date", *map(_shown, MARKET), "above_ma20_count", "positive_mom20_count", "valid_amount_count", "feature_available_on", "input_lineage_hash"]
+MARKET_WIDE = ["trade_date", "source_snapshot_id", "feature_run_id", "feature_set_id", "feature_available_at", "input_lineage_hash", "universe_rule_id", *map(_shown, mk.MARKET)]
+MARKET_TABLE_SQL = MARKET_SQL + f", market_table AS (SELECT *, {ids_sql('source_snapshot_id', 'feature_run_id', 'feature_set_id', 'universe_rule_id')}, feature_available_on AS feature_available_at FROM market)"
 
 
-@query("WN-29", f"WITH {MARKET_SQL} SELECT {', '.join(MARKET_WIDE)} FROM market")
+@query("WN-29", f"WITH {MARKET_TABLE_SQL} SELECT {', '.join(MARKET_WIDE)} FROM market_table")
 def market_wide(spark, sf_dir):
-    return _market(spark, sf_dir).selectExpr(*MARKET_WIDE)
+    return mk.market_table(_market(spark, sf_dir), RUN).selectExpr(*MARKET_WIDE)
 
 
 STATES_SQL = MARKET_SQL + """,
@@ -229,11 +253,17 @@ def state_table(spark, sf_dir):
     return _states(spark, sf_dir).selectExpr(*STATE_COLUMNS)
 
 
-@query("RS-07", f"""WITH {STATES_SQL} SELECT trade_date, sha256(concat_ws('|', 'market-states-1', CAST(advancer_count AS VARCHAR), CAST(decliner_count AS VARCHAR), CAST(unchanged_count AS VARCHAR),
-  return_center_state, daily_participation_state, trend_participation_state, market_structure_state, input_lineage_hash)) AS state_lineage_hash FROM states""")
+_EVIDENCE = {n: js.double(f"round({n}, 9)" if n.startswith("mean") else n) if n.split("_")[0] in ("advancer", "mean", "median", "pct") and not n.endswith("count") else js.whole(n) for n in mk.EVIDENCE}
+_STATE_ROW = js.row(
+    **_EVIDENCE, feature_run_id=f"'\"{RUN.feature_run_id}\"'", trade_date=js.date("trade_date"), source_lineage_hash=js.text("input_lineage_hash"),
+    source_available_on=js.date("feature_available_on"), rules="'[" + ",".join(f'"{r}"' for r in mk.RULES) + "]'",
+)
+
+
+@query("RS-07", f"WITH {STATES_SQL} SELECT trade_date, sha256({_STATE_ROW}) AS state_lineage_hash FROM states")
 def state_lineage(spark, sf_dir):
-    parts = ["advancer_count", "decliner_count", "unchanged_count", "return_center_state", "daily_participation_state", "trend_participation_state", "market_structure_state", "input_lineage_hash"]
-    return _states(spark, sf_dir).select("trade_date", F.sha2(F.concat_ws("|", F.lit("market-states-1"), *[F.col(p).cast("string") for p in parts]), 256).alias("state_lineage_hash"))
+    states = _states(spark, sf_dir)
+    return states.select("trade_date", mk.state_lineage(states, RUN).alias("state_lineage_hash"))
 
 
 @query("RS-08", f"""WITH {MARKET_SQL}, bad AS (SELECT * REPLACE (CASE WHEN day(trade_date) = 3 THEN advancer_count + 1 ELSE advancer_count END AS advancer_count) FROM market)

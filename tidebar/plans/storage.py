@@ -12,7 +12,7 @@ from ..operators import market as mk
 from ..sources import derived as dv
 from ..sources import storage as st
 from ..streaming import feed as fd
-from .bars import FEATURES_SQL, FINDINGS_SQL, MARKET_SQL, STATE_COLUMNS, STATES_SQL, WIDE, MARKET_WIDE
+from .bars import FEATURES_SQL, FINDINGS_SQL, MARKET_TABLE_SQL, MARKET_WIDE, RUN, SECURITY_SQL, STATE_COLUMNS, STATES_SQL, WIDE
 from .base import query
 from .relations import duck, frame
 
@@ -47,7 +47,7 @@ def _features(spark, sf_dir):
 query("SRC-12", f"WITH {FINDINGS_SQL} SELECT security_id, trade_date, feature_name, finding_class, skipped FROM findings")(
     partial(_stored, "findings", ["security_id", "trade_date", "feature_name", "finding_class", "skipped"], lambda s, d: ft.findings(_features(s, d)))
 )
-query("TB-03", f"WITH {FEATURES_SQL} SELECT {', '.join(WIDE)} FROM lineage")(partial(_stored, "features", WIDE, _features))
+query("TB-03", f"WITH {SECURITY_SQL} SELECT {', '.join(WIDE)} FROM security_table")(partial(_stored, "features", WIDE, lambda s, d: ft.security_table(_features(s, d), RUN)))
 
 
 @query("TB-04", f"WITH {STATES_SQL} SELECT {', '.join(STATE_COLUMNS)} FROM states")
@@ -105,12 +105,13 @@ def aligned_union(spark, sf_dir):
     return a.unionByName(dv.status(spark, sf_dir).select("security_id", "trade_date", "IS_ST_SEC"), allowMissingColumns=True)
 
 
-@query("TB-16", f"WITH {MARKET_SQL} SELECT {', '.join(MARKET_WIDE)} FROM market WHERE year(trade_date) = 1996")
+@query("TB-16", f"WITH {MARKET_TABLE_SQL} SELECT {', '.join(MARKET_WIDE)} FROM market_table WHERE year(trade_date) = 1996")
 def slice_pipeline(spark, sf_dir):
     """Bars to month files, read back, features, breadth, one year published."""
     at = st.scratch(spark, "months")
     st.write_months(dv.bars(spark, sf_dir), at)
-    return mk.breadth(ft.security_features(st.read_months(spark, at).drop("month"))).where(F.year("trade_date") == 1996).selectExpr(*MARKET_WIDE)
+    market = mk.breadth(ft.security_features(st.read_months(spark, at).drop("month")))
+    return mk.market_table(market.where(F.year("trade_date") == 1996), RUN).selectExpr(*MARKET_WIDE)
 
 
 @query("SS-01", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, user_id AS feed, count(*) AS events, max(CASE WHEN event_id % 10 = 0 THEN 90 ELSE event_id % 60 END) AS max_latency, count(*) FILTER (WHERE event_id % 10 = 0) AS late_events FROM events GROUP BY ALL")
