@@ -86,14 +86,18 @@ def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.ORACLE) and len(plans.QUERIES) >= 225
 
 
-def test_row_and_table_hash_see_every_column(spark):
-    schema = "security_id string, trade_date date, open double, high double, low double, close double, pre_close double, volume long, amount double, available_on date"
-    day = __import__("datetime").date(2026, 1, 5)
-    row = ("S1", day, 1.0, 2.0, 0.5, 1.5, 1.0, 10, 15.0, day)
-    other = [row[:i] + (v,) + row[i + 1 :] for i, v in [(2, 1.1), (5, 1.6), (7, None), (8, None), (9, None)]]
-    frame = lambda rows: spark.createDataFrame(rows, schema)
-    hashes = {r.row_hash for r in catalog.run(spark, "AG-19", bars=frame([row, *other])).collect()}
-    assert len(hashes) == 6
-    table = lambda rows: catalog.run(spark, "AG-20", bars=frame(rows)).first().table_hash
-    assert table([row, other[0]]) == table([other[0], row])
-    assert len({table([row, x]) for x in (row, *other)}) == 6
+def test_symbols_lose_one_end_only(spark):
+    codes = ["000001", "000001.SZ", "SZ000001", "SZ000001.SZ", "sh600000", "SZ00001", "BJ830000.XX", " 000002.sh "]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "row_id int, raw_code string")
+    got = [r.symbol for r in catalog.run(spark, "PRJ-02", vendor=rows).orderBy("row_id").collect()]
+    assert got == ["000001", "000001", "000001", None, "600000", None, None, "000002"]
+
+
+def test_eligibility_order(spark):
+    nan, inf = float("nan"), float("inf")
+    base = dict(security_id="A", trade_date=d("2021-01-01"), split="development", upstream=None, identity_conflict=False, resolved_id="A", open=1.0, high=2.0, low=1.0, close=1.5, pre_close=1.0, volume=1, amount=1.0, exchange="SZ")
+    cases = [({}, None), ({"high": inf}, "non_finite_value"), ({"pre_close": nan}, "non_finite_value"), ({"pre_close": None}, None), ({"open": -1.0, "close": nan}, "invalid_ohlc"), ({"open": nan, "low": -1.0}, "non_finite_value"), ({"low": 1.2}, "invalid_ohlc"), ({"amount": None, "open": nan}, "missing_required_value"), ({"exchange": "BJ"}, "bse_identity_boundary_unresolved")]
+    schema = "security_id string, trade_date date, split string, upstream string, identity_conflict boolean, resolved_id string, open double, high double, low double, close double, pre_close double, volume long, amount double, exchange string"
+    rows = spark.createDataFrame([tuple((base | c | {"security_id": str(i)}).values()) for i, (c, _) in enumerate(cases)], schema)
+    got = {int(r.security_id): r.reason for r in catalog.run(spark, "PRJ-32", panel_input=rows).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]

@@ -131,8 +131,9 @@ def row_hash(df: DataFrame, columns: list[str] | None = None, strict: bool = Tru
 
 
 def key_json(*parts: Column) -> Column:
-    """A natural key: a JSON array of its parts as texts."""
-    return F.concat(F.lit("["), F.concat_ws(",", *[text_json(p.cast("string")) for p in parts]), F.lit("]"))
+    """A natural key: a JSON array of its parts as texts; null if one is null."""
+    texts = [x for p in parts for x in (F.lit(","), text_json(p.cast("string")))][1:]
+    return F.concat(F.lit("["), *texts, F.lit("]"))
 
 
 # ---- hashes of many rows -----------------------------------------------------

@@ -44,9 +44,11 @@ def run(spark: SparkSession, key: str, **frames: DataFrame) -> DataFrame:
 op("PRJ-01", "Provider symbol: bare digits take the market's suffix, suffixed input is validated, anything else is rejected.", lambda d: f"""
 SELECT row_id, raw_code, raw_market, CASE WHEN {d.like('raw_code', '^[0-9]+[.](SH|SZ|BJ)$')} THEN raw_code
   WHEN {d.like('raw_code', '^[0-9]+$')} THEN raw_code || CASE raw_market WHEN 1 THEN '.SH' WHEN 2 THEN '.SZ' WHEN 3 THEN '.BJ' END END AS symbol FROM :vendor""")
-op("PRJ-02", "Internal symbol: suffix or exchange prefix off, exactly six digits left.", lambda d: f"""
-SELECT row_id, raw_code, CASE WHEN {d.like(d.strip('upper(trim(raw_code))', '^(SZ|SH|BJ)|[.](SZ|SH|BJ)$'), '^[0-9][0-9][0-9][0-9][0-9][0-9]$')}
-  THEN {d.strip('upper(trim(raw_code))', '^(SZ|SH|BJ)|[.](SZ|SH|BJ)$')} END AS symbol FROM :vendor""")
+_UP = "upper(trim(raw_code))"
+op("PRJ-02", "Internal symbol: a suffix off, else the exchange prefix of a text of eight; exactly six digits left.", lambda d: f"""
+SELECT row_id, raw_code, CASE WHEN {d.like('bare', '^[0-9][0-9][0-9][0-9][0-9][0-9]$')} THEN bare END AS symbol FROM (
+  SELECT row_id, raw_code, CASE WHEN {d.like(_UP, '[.](SZ|SH|BJ)$')} THEN {d.strip(_UP, '[.](SZ|SH|BJ)$')}
+    WHEN length({_UP}) = 8 THEN {d.strip(_UP, '^(SZ|SH|BJ)')} ELSE {_UP} END AS bare FROM :vendor) q""")
 op("PRJ-03", "First present value: zero and the empty string count as present.", "SELECT row_id, coalesce(a, b, c) AS first_text, coalesce(x, y) AS first_number FROM :vendor")
 op("PRJ-04", "Alias columns under one canonical name, the first present one wins.", "SELECT row_id, coalesce(SECURITY_CODE, sec_code, code) AS security_code, coalesce(MARKET_CODE, market) AS market_code FROM :aliases")
 op("PRJ-05", "Lenient date: the first eight digits as yyyymmdd, else null.", lambda d: f"SELECT row_id, {d.date('substr(' + d.strip('raw_date', '[^0-9]') + ', 1, 8)')} AS parsed FROM :vendor")
@@ -84,11 +86,6 @@ op("PRJ-23", "Surface routing by exact match of provider, surface, dataset and e
 SELECT r.request_id, CASE WHEN d.handler IS NULL THEN 'BLOCKED' WHEN d.handler = 'none' THEN 'NOT_APPLICABLE' ELSE d.handler END AS route FROM :requests r
 LEFT JOIN :routing d ON r.provider = d.provider AND r.surface = d.surface AND r.dataset = d.dataset AND r.endpoint = d.endpoint""")
 op("PRJ-24", "Calendar expansion: a row for each market and day.", lambda d: f"SELECT {d.each(*[chr(39) + m + chr(39) for m in ('SH', 'SZ', 'BJ')])} AS market, trade_date FROM :calendar")
-op("PRJ-25", "Natural key as a canonical JSON array, of two or three parts by domain.", lambda d: f"""
-SELECT domain, security_id, trade_date, '["' || security_id || '","' || {d.text('trade_date')} || CASE WHEN domain = 'adjustment_factor' THEN '","SINGLE' ELSE '' END || '"]' AS canonical_key FROM :domain_rows""")
-op("PRJ-26", "Key validation: arity, non-empty parts, equal to the typed columns.", lambda d: f"""
-SELECT canonical_key, security_id, trade_date, CASE WHEN substr(canonical_key, 1, 2) <> '["' OR substr(canonical_key, length(canonical_key) - 1, 2) <> '"]' THEN 'NOT_AN_ARRAY' WHEN instr(canonical_key, '""') > 0 THEN 'EMPTY_PART'
-  WHEN canonical_key <> '["' || security_id || '","' || {d.text('trade_date')} || '"]' THEN 'PARTS_DISAGREE' ELSE 'VALID' END AS verdict FROM :keyed""")
 op("PRJ-27", "Strict typed projection: a text that its type does not hold is a violation.", lambda d: f"""
 SELECT row_id, {d.number('raw_price')} AS price, {d.date('raw_date')} AS day, ({d.number('raw_price')} IS NULL AND raw_price IS NOT NULL) OR ({d.date('raw_date')} IS NULL AND raw_date IS NOT NULL) AS violation FROM :vendor""")
 op("PRJ-28", "Availability is the receipt, for the supported domains.", "SELECT r.domain, r.security_id, r.trade_date, CASE WHEN m.eligibility = 'SUPPORTED' THEN r.received_on END AS available_on FROM :domain_rows r JOIN :domain_matrix m ON r.domain = m.domain")
@@ -97,11 +94,18 @@ op("PRJ-30", "Session close at 15:00 in Shanghai; eligible from then on, equalit
 SELECT trade_date, exchange, {d.shanghai('trade_date', '15:00:00')} AS closes_at_utc, {d.shanghai('trade_date', '15:00:00')} <= '1998-06-01 07:00:00' AND (exchange <> 'BJ' OR trade_date >= DATE '2021-11-15') AS eligible FROM :market_days""")
 op("PRJ-31", "Research split of a date.", "SELECT trade_date, " + (SPLIT := """CASE WHEN trade_date < DATE '2020-01-01' THEN 'warmup' WHEN trade_date <= DATE '2023-12-31' THEN 'development' WHEN trade_date <= DATE '2025-12-31' THEN 'validation_a'
   WHEN trade_date <= DATE '2026-06-30' THEN 'holdout' ELSE 'outside_window' END""") + " AS split FROM :shifted_days")
-ELIGIBILITY = """CASE WHEN split IN ('warmup', 'outside_window') THEN 'outside_research_window' WHEN upstream IS NOT NULL AND upstream <> 'RESEARCH_ENABLED' THEN 'upstream_unresolved'
+_INF = "CAST('Infinity' AS DOUBLE)"
+#: The first of these values that is no finite number, or below zero, decides.
+_FAULTS = ", ".join(
+    f"CASE WHEN isnan(CAST({c} AS DOUBLE)) OR abs({c}) = {_INF} THEN 'non_finite_value' WHEN {c} < 0 THEN 'invalid_ohlc' END"
+    for c in ("open", "high", "low", "close", "pre_close", "volume", "amount")
+)
+_FAULT = f"coalesce({_FAULTS})"
+ELIGIBILITY = f"""CASE WHEN split IN ('warmup', 'outside_window') THEN 'outside_research_window' WHEN upstream IS NOT NULL AND upstream <> 'RESEARCH_ENABLED' THEN 'upstream_unresolved'
   WHEN identity_conflict THEN 'identity_conflict' WHEN resolved_id IS NULL THEN 'identity_unresolved'
   WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL OR amount IS NULL THEN 'missing_required_value'
-  WHEN isnan(open) OR isnan(high) OR isnan(low) OR isnan(close) OR isnan(amount) THEN 'non_finite_value'
-  WHEN open < 0 OR high < 0 OR low < 0 OR close < 0 OR amount < 0 OR volume < 0 OR high < greatest(open, close) OR low > least(open, close) THEN 'invalid_ohlc'
+  WHEN {_FAULT} IS NOT NULL THEN {_FAULT}
+  WHEN high < greatest(open, close) OR low > least(open, close) OR low > high THEN 'invalid_ohlc'
   WHEN exchange = 'BJ' THEN 'bse_identity_boundary_unresolved' END"""
 op("PRJ-32", "Eligibility in a fixed order of checks, with reason and quality state.", f"""
 SELECT security_id, trade_date, split, reason, CASE WHEN reason IS NULL THEN 'RESEARCH_ENABLED' WHEN upstream = 'RESEARCH_EXPERIMENTAL' AND reason = 'upstream_unresolved' THEN 'RESEARCH_EXPERIMENTAL' ELSE 'RESEARCH_DISABLED_UNRESOLVED' END AS eligibility,
@@ -128,7 +132,6 @@ op("PRJ-43", "Context scrub: keys that look secret go.", lambda d: f"SELECT row_
 op("PRJ-44", "Publishable identities: not the fallback ones.", "SELECT security_id FROM :identities WHERE known_list_date IS NOT NULL")
 op("PRJ-45", "Domain matrix: a blocked domain that is asked for is an error.", "SELECT r.domain, count(*) AS n, max(coalesce(m.eligibility, 'UNKNOWN')) AS eligibility, max(CASE WHEN coalesce(m.eligibility, 'UNKNOWN') NOT IN ('SUPPORTED', 'AUXILIARY') THEN 1 ELSE 0 END) AS is_error FROM :domain_rows r LEFT JOIN :domain_matrix m ON r.domain = m.domain GROUP BY r.domain")
 op("PRJ-46", "Structural events: a valid date, and the subtype and symbol that their class needs.", lambda d: f"SELECT event_id, CASE WHEN {d.date('date_text')} IS NULL THEN 'BAD_DATE' WHEN event_class = 'ST' AND subtype IS NULL THEN 'MISSING_SUBTYPE' WHEN symbol IS NULL THEN 'MISSING_SYMBOL' ELSE 'VALID' END AS verdict FROM :market_events")
-op("PRJ-47", "Fact hash over the statement's fields only; versions do not count.", lambda d: f"SELECT event_id, {d.sha('concat_ws(' + chr(39) + '|' + chr(39) + ', event_class, subtype, symbol, date_text)')} AS fact_hash FROM :market_events")
 
 # ---- joins ------------------------------------------------------------------
 

@@ -13,32 +13,7 @@ op("AG-17", "Earliest bar of each security.", "SELECT security_id, min(trade_dat
 op("AG-18", "Blocking quality flags by table: rows of each flag that blocks.", lambda d: f"""
 SELECT table_name, flag, count(*) AS n FROM (SELECT table_name, trim(flag) AS flag FROM (SELECT table_name, {d.words('quality_flags')} AS flag FROM :flagged) x) y
 WHERE flag IN ('MISSING_IDENTITY', 'SOURCE_CONFLICT', 'DUPLICATE_KEY', 'FUTURE_ROW', 'BAD_OHLC') GROUP BY table_name, flag""")
-#: The row as JSON text, pairs of name and value: names in order, nulls spelled out, numbers in steps of 1/10,000.
-_TEXTS = ("available_on", "security_id", "trade_date")
-_NUMBERS = ("amount", "close", "high", "low", "open", "pre_close", "volume")
-
-
-def row_json(d) -> str:
-    """The text that a row's hash stands on: every column counts."""
-    value = {c: f"""coalesce('"' || {d.text(c)} || '"', 'null')""" for c in _TEXTS}
-    value |= {c: f"coalesce({d.text(f'CAST(round({c} * 10000) AS BIGINT)')}, 'null')" for c in _NUMBERS}
-    return "'[' || " + " || ',' || ".join(f"""'["{c}",' || {value[c]} || ']'""" for c in sorted(value)) + " || ']'"
-
-
-def table_hash(d) -> str:
-    """Sums of the row hashes' eight 32-bit parts, hashed."""
-    parts = ", ".join(d.text(f"p{i}") for i in range(8))
-    sums = ", ".join(f"CAST(sum({d.hex32(f'substr(h, {8 * i + 1}, 8)')}) AS BIGINT) AS p{i}" for i in range(8))
-    rows = f"SELECT {d.sha(row_json(d))} AS h FROM :bars"
-    return f"SELECT {d.sha(f"concat_ws('|', {parts})")} AS table_hash, n FROM (SELECT count(*) AS n, {sums} FROM ({rows}) x) y"
-
-
-op("AG-19", "Row identity hash over a canonical text of the whole row.", lambda d: f"SELECT security_id, trade_date, {d.sha(row_json(d))} AS row_hash FROM :bars")
-op("AG-20", "Order-free hash of a table, partially aggregated, whatever the size.", table_hash)
 op("AG-21", "Manifest hash of a set of components, by identity.", lambda d: f"SELECT publish_id, {d.sha(d.joined('component'))} AS manifest_hash, count(*) AS n FROM :components GROUP BY publish_id")
-op("AG-22", "Columns that are constant in a month.", """
-SELECT month, column_name, count(DISTINCT value) + max(CASE WHEN value IS NULL THEN 1 ELSE 0 END) = 1 AS is_constant FROM (SELECT date_trunc('month', trade_date) AS m, CAST(year(trade_date) * 100 + month(trade_date) AS INT) AS month, 'provider' AS column_name, 'vendor_a' AS value FROM :bars
-  UNION ALL SELECT date_trunc('month', trade_date), CAST(year(trade_date) * 100 + month(trade_date) AS INT), 'security_id', security_id FROM :bars) q GROUP BY month, column_name""")
 op("AG-23", "Structural event statistics: distinct ST events, delists and ids of each class.", "SELECT event_class, count(*) AS n, count(DISTINCT concat_ws('|', symbol, date_text, subtype)) AS distinct_events, count(DISTINCT symbol) AS distinct_symbols FROM :market_events GROUP BY event_class")
 op("AG-24", "Manifest statistics: cases by type and review status, with totals of each type.", "SELECT case_type, review_status, count(*) AS n FROM :cases GROUP BY GROUPING SETS ((case_type, review_status), (case_type), ())")
 op("AG-25", "Quantity gates: cases of each required type against its minimum.", "SELECT m.case_type, m.minimum, count(c.case_id) AS n, count(c.case_id) >= m.minimum AS is_met FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.case_type, m.minimum")
@@ -113,7 +88,7 @@ op("ST-07", "Pairs that do not apply: symbols by sessions, less the applicable o
 op("ST-08", "Counts of every class, zeros kept, with the verdict.", f"""WITH {REQUIRED}, counts AS (SELECT class, count(*) AS n FROM classed GROUP BY class UNION ALL SELECT 'missing', count(*) FROM (SELECT security_id, trade_date FROM required EXCEPT SELECT security_id, trade_date FROM :returned) a
   UNION ALL SELECT 'extra', count(*) FROM (SELECT security_id, trade_date FROM :returned EXCEPT SELECT security_id, trade_date FROM required) b)
 SELECT s.class, coalesce(c.n, 0) AS n, CASE WHEN (SELECT coalesce(sum(n), 0) FROM counts WHERE class IN ('missing', 'extra', 'unresolved')) = 0 THEN 'PASS' ELSE 'FAIL_CLOSED' END AS verdict FROM :classes s LEFT JOIN counts c ON s.class = c.class""")
-op("ST-09", "Returned bars: code equals member, finite numbers, dates in scope and once.", "SELECT member_key, trade_date, CASE WHEN embedded_code <> member_key THEN 'CODE' WHEN close IS NULL OR isnan(close) THEN 'NUMBER' WHEN trade_date NOT BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' THEN 'SCOPE' WHEN count(*) OVER (PARTITION BY member_key, trade_date) > 1 THEN 'DUPLICATE' ELSE 'VALID' END AS verdict FROM :members")
+op("ST-09", "Returned bars: code equals member, finite numbers, dates in scope and once.", "SELECT member_key, trade_date, CASE WHEN embedded_code <> member_key THEN 'CODE' WHEN close IS NULL OR isnan(close) OR abs(close) = CAST('Infinity' AS DOUBLE) THEN 'NUMBER' WHEN trade_date NOT BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' THEN 'SCOPE' WHEN count(*) OVER (PARTITION BY member_key, trade_date) > 1 THEN 'DUPLICATE' ELSE 'VALID' END AS verdict FROM :members")
 op("ST-10", "Status validity: a date that comes twice voids all rows of its member.", "SELECT security_id, count(*) AS n FROM (SELECT security_id, trade_date, max(n) OVER (PARTITION BY security_id) AS worst FROM (SELECT security_id, trade_date, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :status_dup) a) b WHERE worst = 1 GROUP BY security_id")
 op("ST-11", "Monthly spine of the split windows, with the rows of each month.", lambda d: f"SELECT s.split, s.y, s.m, count(r.security_id) AS n FROM (SELECT split, CAST(year(m) AS INT) AS y, CAST(month(m) AS INT) AS m FROM (SELECT split, {d.months('first_day', 'last_day')} AS m FROM :windows) q) s LEFT JOIN :routed r ON r.month = s.y * 100 + s.m GROUP BY s.split, s.y, s.m")
 op("ST-12", "Coverage of each month: enabled rows and a descriptor, or a reason.", "SELECT s.month, CASE WHEN s.enabled = 0 THEN 'NO_ENABLED_ROWS' WHEN count(c.month) = 0 THEN 'NO_DESCRIPTOR' WHEN count(c.month) > 1 THEN 'DUPLICATE_DESCRIPTOR' ELSE 'OBSERVED' END AS coverage FROM (SELECT month, count(*) FILTER (WHERE route = 'enabled') AS enabled FROM :routed GROUP BY month) s LEFT JOIN :descriptors c ON s.month = c.month GROUP BY s.month, s.enabled")
@@ -146,8 +121,7 @@ UNION ALL SELECT 'IN_TIME', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WHEN max(
 UNION ALL SELECT 'SCAN_PROOF', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' ELSE 'PASS' END FROM :flagged WHERE table_name = 'scan_proof'""")
 op("TB-13", "Universe activation: the same rule hash is a no-op, another is rejected.", "SELECT n.id, CASE WHEN o.id IS NULL THEN 'ACTIVATED' WHEN o.payload = n.payload THEN 'NO_OP' ELSE 'REJECTED' END AS outcome FROM :new_version n LEFT JOIN :old_version o ON n.id = o.id")
 op("TB-14", "Definition hash of a set from its ordered members.", lambda d: f"SELECT CAST(floor(case_id / 50) AS BIGINT) AS set_id, {d.sha(d.joined(d.text('case_id')))} AS definition_hash FROM :cases GROUP BY CAST(floor(case_id / 50) AS BIGINT)")
-op("TB-15", "Partition sets: counts and contents against the manifest.", "SELECT coalesce(o.month, n.month) AS month, o.n IS NOT DISTINCT FROM n.n AND o.content IS NOT DISTINCT FROM n.content AS is_equal FROM :month_old o FULL OUTER JOIN :month_new n ON o.month = n.month")
-op("TB-17", "Validity of stored feature rows: keys, hashes, finite or null values, in time.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_KEY' END", "CASE WHEN isnan(pre_close) THEN 'NON_FINITE' END", "CASE WHEN available_on > DATE '1998-06-01' THEN 'FUTURE' END", "CASE WHEN length(security_id) <> 7 THEN 'BAD_ID' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :bars_dup) q) v WHERE violation IS NOT NULL GROUP BY violation")
+op("TB-17", "Validity of stored feature rows: keys, hashes, finite or null values, in time.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_KEY' END", "CASE WHEN isnan(pre_close) OR abs(pre_close) = CAST('Infinity' AS DOUBLE) THEN 'NON_FINITE' END", "CASE WHEN available_on > DATE '1998-06-01' THEN 'FUTURE' END", "CASE WHEN length(security_id) <> 7 THEN 'BAD_ID' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :bars_dup) q) v WHERE violation IS NOT NULL GROUP BY violation")
 op("TB-18", "Validity of stored state rows: known values, strict date order, evidence that agrees.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN state NOT IN ('POSITIVE_CENTER', 'NEGATIVE_CENTER', 'MIXED_CENTER', 'UNKNOWN') THEN 'UNKNOWN_VALUE' END", "CASE WHEN before >= trade_date THEN 'ORDER' END", "CASE WHEN adv + dec > n THEN 'EVIDENCE' END") + " AS violation FROM (SELECT *, lag(trade_date) OVER (PARTITION BY state ORDER BY trade_date) AS before FROM :stored_states) q) v WHERE violation IS NOT NULL GROUP BY violation")
 
 # ---- scans ------------------------------------------------------------------

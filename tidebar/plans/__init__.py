@@ -1,6 +1,6 @@
 """The library's operators applied to the test tables, by id, with SQL for each."""
 
-from . import bars, catalog, storage  # noqa: F401
+from . import bars, catalog, keys, storage  # noqa: F401
 from .base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

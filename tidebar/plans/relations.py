@@ -97,12 +97,14 @@ rel("requests", "SELECT event_id AS request_id, CASE WHEN user_id % 2 = 0 THEN '
 rel("routing", "SELECT 'vendor_a' AS provider, 'history' AS surface, event_type AS dataset, 'get_' || event_type AS endpoint, CASE WHEN event_type < 'd' THEN 'none' ELSE 'load_' || event_type END AS handler FROM (SELECT DISTINCT event_type FROM :events) t")
 rel("domain_rows", lambda d: f"SELECT CASE {K} % 5 WHEN 0 THEN 'daily_bar' WHEN 1 THEN 'security_status' WHEN 2 THEN 'limit_price' WHEN 3 THEN 'adjustment_factor' ELSE 'industry' END AS domain, CASE WHEN {K} % 5 <> 2 OR {D(d)} % 19 <> 0 THEN security_id END AS security_id, trade_date, available_on AS received_on, {K} % 5 = 1 AND {D(d)} % 59 = 0 AS damaged FROM :bars")
 values("domain_matrix", "domain, eligibility", ("'daily_bar'", "'SUPPORTED'"), ("'security_status'", "'SUPPORTED'"), ("'limit_price'", "'SUPPORTED'"), ("'adjustment_factor'", "'SUPPORTED'"), ("'trade_calendar'", "'SUPPORTED'"), ("'industry'", "'BLOCKED'"))
-rel("keyed", lambda d: f"""SELECT CASE {D(d)} % 50 WHEN 0 THEN '["' || security_id || '",""]' WHEN 1 THEN security_id WHEN 2 THEN '["S","' || {d.text('trade_date')} || '"]' ELSE '["' || security_id || '","' || {d.text('trade_date')} || '"]' END AS canonical_key, security_id, trade_date FROM :bars""")
+rel("keyed", lambda d: f"""SELECT CASE {D(d)} % 25 WHEN 0 THEN '["' || security_id || '",""]' WHEN 1 THEN security_id WHEN 2 THEN '["S","' || {d.text('trade_date')} || '"' || tail || ']' WHEN 3 THEN '"17"' WHEN 4 THEN '["' || security_id || '"]'
+  WHEN 5 THEN '["' || security_id || '",5' || tail || ']' WHEN 6 THEN '["' || security_id || '", "' || {d.text('trade_date')} || '"' || tail || ']' ELSE '["' || security_id || '","' || {d.text('trade_date')} || '"' || tail || ']' END AS canonical_key, security_id, trade_date, domain
+  FROM (SELECT security_id, trade_date, CASE WHEN {K} % 3 = 0 THEN 'adjustment_factor' ELSE 'daily_bar' END AS domain, CASE WHEN {K} % 3 = 0 THEN ',"SINGLE"' ELSE '' END AS tail FROM :bars) q""")
 rel("market_days", "SELECT c.trade_date, m.exchange FROM :calendar c CROSS JOIN (SELECT DISTINCT exchange FROM :master) m")
 SHIFT = lambda d: d.plus("trade_date", "9500")  # noqa: E731  the years 1992 to 1998 become 2018 to 2024
 rel("shifted_days", lambda d: f"SELECT {SHIFT(d)} AS trade_date FROM :calendar UNION ALL SELECT {d.plus('trade_date', '10800')} FROM :calendar")
 SPLIT = "CASE WHEN trade_date < DATE '2020-01-01' THEN 'warmup' WHEN trade_date <= DATE '2023-12-31' THEN 'development' WHEN trade_date <= DATE '2025-12-31' THEN 'validation_a' WHEN trade_date <= DATE '2026-06-30' THEN 'holdout' ELSE 'outside_window' END"
-rel("panel_input", lambda d: f"""SELECT p.*, {SPLIT} AS split FROM (SELECT b.security_id, {d.plus('b.trade_date', '9500')} AS trade_date, b.open, CASE WHEN {D(d, 'b.trade_date')} % 71 = 0 THEN b.low - 1 ELSE b.high END AS high, b.low, b.close, b.volume, b.amount, m.exchange, i.symbol,
+rel("panel_input", lambda d: f"""SELECT p.*, {SPLIT} AS split FROM (SELECT b.security_id, {d.plus('b.trade_date', '9500')} AS trade_date, b.open, CASE WHEN {D(d, 'b.trade_date')} % 71 = 0 THEN b.low - 1 ELSE b.high END AS high, b.low, CASE WHEN {D(d, 'b.trade_date')} % 73 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE b.close END AS close, CASE WHEN {D(d, 'b.trade_date')} % 79 = 0 THEN CAST('NaN' AS DOUBLE) ELSE b.pre_close END AS pre_close, b.volume, b.amount, m.exchange, i.symbol,
   CASE WHEN {D(d, 'b.trade_date')} % 97 = 0 THEN 'RESEARCH_EXPERIMENTAL' WHEN {D(d, 'b.trade_date')} % 89 = 0 THEN 'RESEARCH_DISABLED_UNRESOLVED' END AS upstream, {D(d, 'b.trade_date')} % 83 = 0 AS identity_conflict, i.security_id AS resolved_id
   FROM :bars b JOIN :master m ON b.security_id = m.security_id LEFT JOIN :identity i ON b.security_id = i.security_id AND b.trade_date >= i.valid_from AND (i.valid_to IS NULL OR b.trade_date < i.valid_to)) p""")
 rel("current_symbols", "SELECT security_id, max(symbol) AS symbol FROM :identity WHERE valid_to IS NULL GROUP BY security_id HAVING count(*) = 1")
