@@ -118,7 +118,6 @@ op("PRJ-35", "Panel invariants: assigned split, a reason exactly when not enable
 op("PRJ-36", "Limit prices: pre_close by 1 +- rate, half up to the tick; zero rates mean no limit.", lambda d: f"""
 SELECT security_id, trade_date, CASE WHEN up_rate = 0 THEN NULL ELSE {d.decimal2('CAST(pre_close AS DECIMAL(18, 4)) * CAST(1 + up_rate AS DECIMAL(6, 2))')} END AS limit_up,
   CASE WHEN down_rate = 0 THEN NULL ELSE {d.decimal2('CAST(pre_close AS DECIMAL(18, 4)) * CAST(1 - down_rate AS DECIMAL(6, 2))')} END AS limit_down FROM :rated""")
-op("PRJ-37", "Code patterns: equal length, x stands for any digit.", lambda d: "SELECT m.code, p.pattern FROM :master m JOIN :patterns p ON length(m.code) = length(p.pattern) AND " + (f"regexp_like(m.code, concat('^', replace(p.pattern, 'x', '[0-9]'), '$'))" if d is SPARK else "regexp_matches(m.code, concat('^', replace(p.pattern, 'x', '[0-9]'), '$'))"))
 op("PRJ-38", "Quality flags: split, trimmed, empty ones dropped, sorted, joined.", lambda d: f"SELECT row_id, {d.joined('flag')} AS flags FROM (SELECT row_id, trim(flag) AS flag FROM (SELECT row_id, {d.words('raw_flags')} AS flag FROM :vendor) x) y WHERE flag <> '' GROUP BY row_id")
 op("PRJ-39", "Event time from digits: 13 are epoch milliseconds, 16 microseconds, 14 a local date and time.", lambda d: f"""
 SELECT event_id, CASE length(digits) WHEN 13 THEN {d.from_ms('CAST(digits AS BIGINT)')} WHEN 16 THEN {d.from_ms('CAST(floor(CAST(digits AS BIGINT) / 1000) AS BIGINT)')}
@@ -146,33 +145,6 @@ UNION ALL SELECT security_id, new_symbol, effective, CAST(NULL AS DATE), list_da
 op("JN-04", "Current symbol of an id: its open interval, if it has one only.", "SELECT security_id, CASE WHEN count(DISTINCT symbol) = 1 THEN max_by(symbol, valid_from) END AS current_symbol FROM :identity WHERE valid_to IS NULL GROUP BY security_id")
 op("JN-05", "Research identity by id: exactly one interval in force.", f"SELECT b.security_id, b.trade_date, CASE WHEN count(i.symbol) = 1 THEN max(i.symbol) END AS symbol FROM :bars b LEFT JOIN :identity i ON b.security_id = i.security_id AND {IN_FORCE.format(t='b')} GROUP BY b.security_id, b.trade_date")
 op("JN-06", "Identity conflict: the supplied symbol differs from the resolved one.", f"SELECT s.security_id, s.trade_date, s.symbol IS DISTINCT FROM i.symbol AS conflict FROM :supplied s LEFT JOIN :identity i ON s.security_id = i.security_id AND {IN_FORCE.format(t='s')}")
-CANDIDATES = lambda d: f"""cand AS (SELECT s.security_id, s.trade_date, s.is_st, s.age, r.* FROM :rule_days s JOIN :rules r ON s.exchange = r.exchange AND s.board = r.board AND s.trade_date BETWEEN r.effective_from AND r.effective_to AND (r.st_state IS NULL OR r.st_state = s.is_st)),
-best AS (SELECT *, max(CASE WHEN st_state IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY security_id, trade_date, age_rule) AS has_specific FROM cand),
-kept AS (SELECT * FROM best WHERE (st_state IS NOT NULL) = (has_specific = 1)),
-aged AS (SELECT *, CASE WHEN age = 0 AND max(CASE WHEN age_rule = 'IPO_DAY' THEN 1 ELSE 0 END) OVER (PARTITION BY security_id, trade_date) = 1 THEN 'IPO_DAY'
-  WHEN age < 5 AND max(CASE WHEN age_rule = 'FIRST_5' THEN 1 ELSE 0 END) OVER (PARTITION BY security_id, trade_date) = 1 THEN 'FIRST_5' ELSE 'NONE' END AS wanted FROM kept),
-hits AS (SELECT security_id, trade_date, count(*) AS n, max(rule_id) AS rule_id, max(up_rate) AS up_rate, max(down_rate) AS down_rate FROM aged WHERE age_rule = wanted GROUP BY security_id, trade_date)"""
-op("JN-07", "Trading rule of a day: ST-specific beats any within a listing-age regime, then the age decides; none or several is unresolved.", lambda d: f"WITH {CANDIDATES(d)} SELECT s.security_id, s.trade_date, CASE WHEN h.n = 1 THEN h.rule_id ELSE 'UNRESOLVED' END AS rule_id FROM :rule_days s LEFT JOIN hits h ON s.security_id = h.security_id AND s.trade_date = h.trade_date")
-op("JN-08", "Limit regime: rules without a listing age only.", """
-WITH c AS (SELECT s.security_id, s.trade_date, r.rule_id, r.st_state, max(CASE WHEN r.st_state IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY s.security_id, s.trade_date) AS sp FROM :rule_days s
-  JOIN :rules r ON s.exchange = r.exchange AND s.board = r.board AND s.trade_date BETWEEN r.effective_from AND r.effective_to AND (r.st_state IS NULL OR r.st_state = s.is_st) AND r.age_rule = 'NONE')
-SELECT security_id, trade_date, CASE WHEN count(*) = 1 THEN max(rule_id) ELSE 'UNRESOLVED' END AS regime FROM c WHERE (st_state IS NOT NULL) = (sp = 1) GROUP BY security_id, trade_date""")
-op("JN-09", "Within the first five sessions since listing, by session number.", """
-WITH n AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS k FROM :calendar), f AS (SELECT m.security_id, min(n.k) AS first_k FROM :master m JOIN n ON n.trade_date >= m.list_date GROUP BY m.security_id)
-SELECT b.security_id, b.trade_date, n.k - f.first_k < 5 AND n.k >= f.first_k AS in_first_n FROM :bars b JOIN n ON b.trade_date = n.trade_date JOIN f ON b.security_id = f.security_id""")
-op("JN-10", "Limit regime check: the vendor's limits against the rule's within 0.011, and the close between them.", """
-SELECT s.security_id, s.trade_date, CASE WHEN r.up_rate IS NULL THEN 'UNRESOLVED' WHEN abs(s.HIGH_LIMITED - s.PRECLOSE * (1 + r.up_rate)) > 0.011 OR abs(s.LOW_LIMITED - s.PRECLOSE * (1 - r.down_rate)) > 0.011 THEN 'LIMIT_MISMATCH'
-  WHEN s.close > s.HIGH_LIMITED OR s.close < s.LOW_LIMITED THEN 'CLOSE_OUTSIDE' ELSE 'PASS' END AS verdict FROM :status s LEFT JOIN :rates r ON s.security_id = r.security_id""")
-op("JN-11", "Adjustment continuity: last close before the ex-date by the factor against the first one from it, within two hundredths.", """
-SELECT f.security_id, f.ex_date, CASE WHEN f.factor < 0 THEN 'NEGATIVE_FACTOR' WHEN p.last_close IS NULL OR n.first_close IS NULL THEN 'MISSING_BAR' WHEN abs(p.last_close * f.factor / n.first_close - 1) <= 0.02 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM :factors f
-LEFT JOIN (SELECT g.security_id, g.ex_date, max_by(b.close, b.trade_date) AS last_close FROM :factors g JOIN :bars b ON g.security_id = b.security_id AND b.trade_date < g.ex_date GROUP BY g.security_id, g.ex_date) p ON f.security_id = p.security_id AND f.ex_date = p.ex_date
-LEFT JOIN (SELECT g.security_id, g.ex_date, min_by(b.close, b.trade_date) AS first_close FROM :factors g JOIN :bars b ON g.security_id = b.security_id AND b.trade_date >= g.ex_date GROUP BY g.security_id, g.ex_date) n ON f.security_id = n.security_id AND f.ex_date = n.ex_date""")
-op("JN-12", "Corporate action at T: bars at the sessions around it, a factor change, a bounded adjusted return.", """
-WITH c AS (SELECT trade_date, lag(trade_date) OVER (ORDER BY trade_date) AS before, lead(trade_date) OVER (ORDER BY trade_date) AS after FROM :calendar)
-SELECT f.security_id, f.ex_date, CASE WHEN c.trade_date IS NULL THEN 'NOT_A_SESSION' WHEN b0.close IS NULL THEN 'MISSING_PREVIOUS_BAR' WHEN b1.close IS NULL THEN 'MISSING_BAR' WHEN b2.close IS NULL THEN 'MISSING_NEXT_BAR' WHEN f.factor = 1 THEN 'FACTOR_UNCHANGED'
-  WHEN abs(b1.close / (b0.close * f.factor) - 1) > 0.35 THEN 'RETURN_TOO_LARGE' ELSE 'PASS' END AS reason
-FROM :factors f LEFT JOIN c ON f.ex_date = c.trade_date LEFT JOIN :bars b0 ON b0.security_id = f.security_id AND b0.trade_date = c.before LEFT JOIN :bars b1 ON b1.security_id = f.security_id AND b1.trade_date = c.trade_date
-LEFT JOIN :bars b2 ON b2.security_id = f.security_id AND b2.trade_date = c.after""")
 FLAG = "CASE WHEN {x} IN ('1', '1.0', 'true', 'True') THEN true WHEN {x} IN ('0', '0.0', 'false', 'False') THEN false END"
 op("JN-13", "Golden fact compare: by symbol and date, else by bare code; a missing row fails.", f"""
 SELECT g.case_id, CASE WHEN coalesce(a.IS_ST_SEC, b.IS_ST_SEC) IS NULL THEN 'FAIL_MISSING' WHEN {FLAG.format(x='coalesce(a.IS_ST_SEC, b.IS_ST_SEC)')} IS NOT DISTINCT FROM g.expected THEN 'PASS' ELSE 'FAIL_VALUE' END AS verdict FROM :golden g
@@ -180,14 +152,7 @@ LEFT JOIN :status a ON g.symbol = a.security_id AND g.trade_date = a.trade_date
 op("JN-14", "ST and suspension facts: flags must be 0 or 1, then the facts; without facts a row is observed.", f"""
 SELECT s.security_id, s.trade_date, CASE WHEN {FLAG.format(x='s.IS_ST_SEC')} IS NULL OR {FLAG.format(x='s.IS_SUSP_SEC')} IS NULL THEN 'BAD_FLAG' WHEN g.case_id IS NULL THEN 'OBSERVED' WHEN {FLAG.format(x='s.IS_ST_SEC')} = g.expected THEN 'PASS' ELSE 'FAIL' END AS verdict
 FROM :status s LEFT JOIN :golden g ON g.symbol = s.security_id AND g.trade_date = s.trade_date""")
-op("JN-15", "Point-in-time limit case: exactly one status row, a rate, and the price within one tick.", """
-SELECT g.case_id, CASE WHEN coalesce(n.n, 0) <> 1 THEN 'STATUS_ROWS' WHEN r.up_rate IS NULL THEN 'NO_RULE' WHEN abs(n.up - n.pre * (1 + r.up_rate)) <= 0.01 THEN 'PASS' ELSE 'PRICE' END AS reason FROM :golden g
-LEFT JOIN (SELECT security_id, trade_date, count(*) AS n, max(HIGH_LIMITED) AS up, max(PRECLOSE) AS pre FROM :status GROUP BY security_id, trade_date) n ON g.symbol = n.security_id AND g.trade_date = n.trade_date LEFT JOIN :rates r ON g.symbol = r.security_id""")
-op("JN-16", "BSE mapping case: a member of the history, and a regime in force.", "SELECT m.security_id, CASE WHEN h.security_id IS NULL THEN 'NO_HISTORY' WHEN r.up_rate IS NULL THEN 'NO_REGIME' ELSE 'PASS' END AS verdict FROM :master m LEFT JOIN (SELECT DISTINCT security_id FROM :bars) h ON m.security_id = h.security_id LEFT JOIN :rates r ON m.security_id = r.security_id WHERE m.exchange = 'BJ'")
 op("JN-17", "Delisted check: a delisting date passes, membership alone is missing evidence, absence is survivorship.", "SELECT m.security_id, CASE WHEN h.security_id IS NULL THEN 'FAIL_SURVIVORSHIP' WHEN m.delist_date IS NOT NULL THEN 'PASS' ELSE 'MISSING' END AS verdict FROM :master m LEFT JOIN (SELECT DISTINCT security_id FROM :bars) h ON m.security_id = h.security_id WHERE m.is_st OR m.delist_date IS NOT NULL")
-op("JN-18", "History coverage: the earliest bar is no later than the first session from the bound.", """
-SELECT m.security_id, e.first_bar, min(c.trade_date) AS first_session, CASE WHEN e.first_bar IS NULL THEN 'NO_BARS' WHEN e.first_bar <= min(c.trade_date) THEN 'PASS' ELSE 'LATE' END AS verdict FROM :master m
-LEFT JOIN (SELECT security_id, min(trade_date) AS first_bar FROM :bars GROUP BY security_id) e ON m.security_id = e.security_id LEFT JOIN :calendar c ON c.trade_date >= greatest(m.list_date, DATE '1993-01-01') GROUP BY m.security_id, e.first_bar""")
 op("JN-19", "Identity quality: ids of facts that the dimension lacks, or holds as fallback only.", "SELECT f.security_id, CASE WHEN i.security_id IS NULL THEN 'MISSING' ELSE 'FALLBACK' END AS finding FROM (SELECT DISTINCT security_id FROM :fact_ids) f LEFT JOIN :identities i ON f.security_id = i.security_id WHERE i.security_id IS NULL OR i.known_list_date IS NULL")
 op("JN-20", "ST transitions: one audit row for each event, ADD turns the flag on, REMOVE off.", "SELECT coalesce(e.event_id, a.event_id) AS event_id, CASE WHEN e.event_id IS NULL THEN 'EXTRA_AUDIT' WHEN a.event_id IS NULL THEN 'MISSING_AUDIT' WHEN e.subtype = 'ADD' AND NOT (a.flag_before = 0 AND a.flag_after = 1) THEN 'NOT_PROVEN' WHEN e.subtype = 'REMOVE' AND NOT (a.flag_before = 1 AND a.flag_after = 0) THEN 'NOT_PROVEN' ELSE 'PASS' END AS verdict FROM :st_events e FULL OUTER JOIN :st_audit a ON e.event_id = a.event_id")
 op("JN-21", "Identity join and group of minute bars.", "SELECT d.sector_id, count(*) AS n, sum(m.volume) AS volume FROM :minutes m JOIN :minute_dim d ON m.security_key = d.security_key GROUP BY d.sector_id")

@@ -66,7 +66,6 @@ op("WN-27", "Ex-date order breaks in arrival order.", "SELECT security_id, ex_da
 # ---- sorts and top-k --------------------------------------------------------
 
 op("SO-01", "Canonical order of a table.", "SELECT security_id, trade_date, row_number() OVER (PARTITION BY security_id ORDER BY trade_date) AS place FROM :bars")
-op("SO-02", "First session from a lower bound on.", "SELECT m.security_id, min(c.trade_date) AS first_session FROM :master m JOIN :calendar c ON c.trade_date >= m.list_date GROUP BY m.security_id")
 op("SO-03", "The last five sessions up to a date.", "SELECT trade_date FROM :calendar WHERE trade_date <= DATE '1997-03-01' ORDER BY trade_date DESC LIMIT 5")
 op("SO-04", "Latest published row of each trade date.", "SELECT trade_date, max_by(publish_id, version) AS publish_id, max(version) AS version FROM :publish_log WHERE state = 'PUBLISHED' GROUP BY trade_date")
 op("SO-05", "First violations of each check, as text.", lambda d: f"SELECT verdict, {d.joined('case_text')} AS first_cases FROM (SELECT verdict, case_text, row_number() OVER (PARTITION BY verdict ORDER BY case_text) AS k FROM :violations) q WHERE k <= 3 GROUP BY verdict")

@@ -86,15 +86,15 @@ def natural_keys(spark, sf_dir):
     return frame(spark, sf_dir, "domain_rows").select("domain", "security_id", "trade_date", key.alias("canonical_key"))
 
 
-_TYPES = "list_transform(range(CAST(json_array_length(k) AS BIGINT)), i -> json_type(k, '$[' || i || ']'))"
-_PARTS = "list_transform(range(CAST(json_array_length(k) AS BIGINT)), i -> json_extract_string(k, '$[' || i || ']'))"
-_AGAIN = """'[' || list_aggregate(list_transform(parts, p -> '"' || p || '"'), 'string_agg', ',') || ']'"""
+_TYPES = "list_transform(range(CAST(json_array_length(k) AS BIGINT)), lambda i: json_type(k, '$[' || i || ']'))"
+_PARTS = "list_transform(range(CAST(json_array_length(k) AS BIGINT)), lambda i: json_extract_string(k, '$[' || i || ']'))"
+_AGAIN = """'[' || list_aggregate(list_transform(parts, lambda p: '"' || p || '"'), 'string_agg', ',') || ']'"""
 
 
 @query("PRJ-26", duck(f"""WITH j AS (SELECT *, CASE WHEN json_valid(canonical_key) AND json_type(canonical_key) = 'ARRAY' THEN CAST(canonical_key AS JSON) END AS k FROM :keyed),
 p AS (SELECT *, CASE WHEN k IS NOT NULL THEN {_TYPES} END AS types, CASE WHEN k IS NOT NULL THEN {_PARTS} END AS parts, CASE WHEN domain = 'adjustment_factor' THEN 3 ELSE 2 END AS arity FROM j)
 SELECT canonical_key, security_id, trade_date, CASE WHEN NOT json_valid(canonical_key) THEN 'NOT_JSON' WHEN k IS NULL THEN 'NOT_AN_ARRAY' WHEN len(parts) <> arity THEN 'ARITY'
-  WHEN len(list_filter(types, t -> t <> 'VARCHAR')) > 0 OR list_contains(parts, '') THEN 'BAD_PART' WHEN {_AGAIN} <> canonical_key THEN 'NOT_CANONICAL'
+  WHEN len(list_filter(types, lambda t: t <> 'VARCHAR')) > 0 OR list_contains(parts, '') THEN 'BAD_PART' WHEN {_AGAIN} <> canonical_key THEN 'NOT_CANONICAL'
   WHEN parts[1] <> security_id OR parts[2] <> strftime(trade_date, '%Y-%m-%d') THEN 'PARTS_DISAGREE' ELSE 'VALID' END AS verdict, CASE WHEN len(parts) = 3 THEN parts[3] END AS factor_type FROM p"""))
 def key_verdicts(spark, sf_dir):
     rows = frame(spark, sf_dir, "keyed")

@@ -87,6 +87,8 @@ rel("members", lambda d: f"SELECT substr(security_id, 2, 6) AS member_key, CASE
 rel("factors", lambda d: f"SELECT security_id, trade_date AS ex_date, CAST(CASE WHEN {K} % 4 = 0 THEN 1.0 ELSE round(1 + ({D(d)} % 50) / 100.0, 2) END AS DOUBLE) AS factor, CAST(round(1 + ({D(d)} % 30) / 10.0, 2) AS DOUBLE) AS cum_factor, row_number() OVER (PARTITION BY security_id ORDER BY {D(d)} % 7, trade_date) AS factor_no FROM :bars WHERE {D(d)} % 61 = 0")
 rel("dividends", "SELECT security_id, ex_date FROM :factors WHERE factor > 1.2")
 rel("rights", "SELECT CASE WHEN cum_factor < 1.5 THEN NULL ELSE security_id END AS security_id, ex_date FROM :factors WHERE factor <= 1.2")
+rel("action_factors", lambda d: f"SELECT security_id, ex_date, CASE WHEN {D(d, 'ex_date')} % 17 = 0 THEN -1.0 WHEN {D(d, 'ex_date')} % 5 = 0 THEN 1.0 ELSE factor END AS factor FROM :factors WHERE {D(d, 'ex_date')} % 13 <> 0")
+rel("action_cases", lambda d: f"SELECT security_id || '/' || {d.text('ex_date')} AS case_id, security_id, {d.plus('ex_date', f'CASE WHEN {D(d, "ex_date")} % 19 = 0 THEN 1 ELSE 0 END')} AS trade_date, CASE WHEN {D(d, 'ex_date')} % 29 = 0 THEN NULL WHEN factor > 1.2 OR {D(d, 'ex_date')} % 7 = 0 THEN 'DIVIDEND' ELSE 'RIGHT_ISSUE' END AS event_type FROM :factors")
 rel("market_events", lambda d: f"SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'ST' WHEN 1 THEN 'DELIST' WHEN 2 THEN 'DIVIDEND' ELSE 'OTHER' END AS event_class, CASE event_id % 5 WHEN 0 THEN 'st_add' WHEN 1 THEN 'delist' WHEN 2 THEN 'xd' WHEN 3 THEN 'st_remove' ELSE 'huh' END AS alias, CASE WHEN event_id % 3 = 0 THEN 'ADD' WHEN event_id % 3 = 1 THEN 'REMOVE' END AS subtype, CASE WHEN event_id % 11 <> 0 THEN lpad(CAST(user_id AS STRING), 6, '0') END AS symbol, CASE WHEN event_id % 23 = 0 THEN '20231399' ELSE {d.ymd('ts')} END AS date_text FROM :events")
 values("alias_dim", "name, event_type", ("'st_add'", "'ST'"), ("'st_remove'", "'ST'"), ("'delist'", "'DELIST'"), ("'xd'", "'DIVIDEND'"))
 values("class_dim", "name, event_type", ("'ST'", "'ST'"), ("'DELIST'", "'DELIST'"), ("'DIVIDEND'", "'DIVIDEND'"))
@@ -111,25 +113,23 @@ rel("current_symbols", "SELECT security_id, max(symbol) AS symbol FROM :identity
 rel("panel", "SELECT security_id, trade_date, split, exchange, reason, CASE WHEN reason IS NULL THEN 'RESEARCH_ENABLED' WHEN upstream = 'RESEARCH_EXPERIMENTAL' AND reason = 'upstream_unresolved' THEN 'RESEARCH_EXPERIMENTAL' ELSE 'RESEARCH_DISABLED_UNRESOLVED' END AS eligibility, CASE WHEN reason IS NULL THEN 'VERIFIED' WHEN reason IN ('non_finite_value', 'invalid_ohlc') THEN 'INVALID' ELSE 'UNRESOLVED' END AS quality_state FROM (SELECT *, " + __import__("tidebar.operators.catalog", fromlist=["ELIGIBILITY"]).ELIGIBILITY + " AS reason FROM :panel_input) q")
 rel("panel_claims", lambda d: f"SELECT split AS assigned_split, CASE WHEN {D(d)} % 101 = 0 THEN 'holdout' ELSE split END AS split, CASE WHEN {D(d)} % 103 = 0 THEN 'x' ELSE reason END AS reason, eligibility, CASE WHEN {D(d)} % 107 = 0 THEN 'INVALID' ELSE quality_state END AS quality_state FROM :panel")
 rel("rated", f"SELECT security_id, trade_date, floor(pre_close * 100) / 100 AS pre_close, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS down_rate FROM :bars WHERE pre_close > 0")
-values("patterns", "pattern", ("'0000xx'",), ("'00xxx1'",), ("'0xxxxx'",), ("'00001'",))
+values("patterns", "pattern", ("'0000xx'",), ("'00xxx1'",), ("'0xxxxx'",), ("'00001'",), ("'xxxx1x'",), ("'xxxxxx'",))
 rel("feed_times", lambda d: f"SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(floor({d.micros('ts')} / 1000) AS BIGINT) || '' WHEN 1 THEN {d.micros('ts')} || '' WHEN 2 THEN {d.ymd('ts')} || lpad(CAST(hour(ts) AS STRING), 2, '0') || lpad(CAST(minute(ts) AS STRING), 2, '0') || lpad(CAST(floor(second(ts)) AS INT) || '', 2, '0') ELSE '93000000' END AS digits FROM :events")
 rel("identities", lambda d: f"SELECT security_id, exchange, code, CASE WHEN {K} % 8 <> 0 THEN list_date END AS known_list_date, {d.plus('list_date', '3')} AS first_seen FROM :master")
 rel("contexts", "SELECT event_id AS row_id, CASE event_id % 5 WHEN 0 THEN 'api_token' WHEN 1 THEN 'PassWord' WHEN 2 THEN 'host' WHEN 3 THEN 'credential_id' ELSE 'dataset' END AS context_key, event_type AS context_value FROM :events")
 rel("symbol_days", "SELECT DISTINCT i.symbol, b.trade_date FROM :bars b JOIN :identity i ON b.security_id = i.security_id")
 rel("code_changes", f"SELECT security_id, code || '.' || exchange AS old_symbol, '9' || substr(code, 2, 5) || '.' || exchange AS new_symbol, list_date, DATE '1993-06-01' AS effective FROM :master WHERE {K} % 5 = 0")
 rel("supplied", lambda d: f"SELECT b.security_id, b.trade_date, CASE WHEN {D(d, 'b.trade_date')} % 67 = 0 THEN 'X' ELSE m.code || '.' || m.exchange END AS symbol FROM :bars b JOIN :master m ON b.security_id = m.security_id")
-rel("rule_days", lambda d: f"SELECT b.security_id, b.trade_date, m.exchange, CASE WHEN {K.replace('security_id', 'b.security_id')} % 3 = 0 THEN 'growth' ELSE 'main' END AS board, m.is_st, {d.days('b.trade_date', 'm.list_date')} AS age FROM :bars b JOIN :master m ON b.security_id = m.security_id")
-values("rules", "rule_id, exchange, board, effective_from, effective_to, st_state, age_rule, up_rate, down_rate",
-    ("'sh-main'", "'SH'", "'main'", "DATE '1990-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "0.10", "0.10"),
-    ("'sh-main-st'", "'SH'", "'main'", "DATE '1990-01-01'", "DATE '1999-12-31'", "true", "'NONE'", "0.05", "0.05"),
-    ("'sh-first5'", "'SH'", "'main'", "DATE '1993-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'FIRST_5'", "0.0", "0.0"),
-    ("'sz-main'", "'SZ'", "'main'", "DATE '1990-01-01'", "DATE '1995-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "0.10", "0.10"),
-    ("'sz-main-2'", "'SZ'", "'main'", "DATE '1995-06-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "0.10", "0.10"),
-    ("'sz-growth'", "'SZ'", "'growth'", "DATE '1994-01-01'", "DATE '1993-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "1.20", "0.20"),
-    ("'sh-growth'", "'SH'", "'growth'", "DATE '1992-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'NONE'", "0.20", "0.20"),
-    ("'sh-growth'", "'SH'", "'growth'", "DATE '1992-01-01'", "DATE '1999-12-31'", "CAST(NULL AS BOOLEAN)", "'IPO_DAY'", "0.44", "0.36"))
+# Codes of all boards, listed between 2018 and 2024; a few listing days are no session.
+_HEAD = f"CASE {K} % 8 WHEN 0 THEN '60' WHEN 1 THEN '000' WHEN 2 THEN '30' WHEN 3 THEN '688' WHEN 4 THEN '83' WHEN 5 THEN '43' WHEN 6 THEN '002' ELSE '99' END"
+rel("rule_securities", lambda d: f"SELECT security_id, head || substr(code, length(head) + 1, 6) AS code, CASE WHEN head IN ('60', '688', '99') THEN 'SH' WHEN head IN ('83', '43') THEN 'BJ' ELSE 'SZ' END AS exchange, is_st, CASE WHEN k % 31 <> 9 THEN {d.plus('list_date', '9500 + (k % 6) * 365')} END AS listing_date FROM (SELECT *, {K} AS k, {_HEAD} AS head FROM :master) q")
+rel("rule_calendar", lambda d: f"SELECT trade_date FROM (SELECT {d.plus('trade_date', '9500')} AS trade_date FROM :calendar) q WHERE day(trade_date) <> 17 AND weekofyear(trade_date) <> 40")
+rel("rule_days", lambda d: f"""SELECT s.security_id, s.exchange, s.code, {d.plus('b.trade_date', '9500')} AS trade_date, s.is_st, s.listing_date, b.close, CASE WHEN {D(d, 'b.trade_date')} % 37 <> 0 THEN b.pre_close END AS pre_close,
+  CASE WHEN {D(d, 'b.trade_date')} % 41 <> 0 THEN floor(b.pre_close * (110 + CASE WHEN {D(d, 'b.trade_date')} % 5 = 0 THEN 10 ELSE 0 END) + 0.5) / 100 END AS high_limit, floor(b.pre_close * (90 - CASE WHEN {D(d, 'b.trade_date')} % 5 = 0 THEN 10 ELSE 0 END) + 0.5) / 100 AS low_limit
+  FROM :bars b JOIN :rule_securities s ON b.security_id = s.security_id""")
+rel("rule_status", "SELECT exchange, code, trade_date, is_st, pre_close, CASE WHEN day(trade_date) % 3 = 0 THEN 0.0 ELSE high_limit END AS high_limit, low_limit FROM :rule_days WHERE day(trade_date) <> 11 UNION ALL SELECT exchange, code, trade_date, is_st, pre_close, high_limit, low_limit FROM :rule_days WHERE day(trade_date) = 13")
+rel("rule_cases", lambda d: f"SELECT security_id || '/' || {d.text('trade_date')} AS case_id, exchange, code, trade_date, CASE WHEN day(trade_date) % 2 = 0 THEN 0.1 ELSE 0.2 END AS expected_up, CAST(NULL AS DOUBLE) AS expected_down FROM :rule_days WHERE day(trade_date) % 2 = 1 OR day(trade_date) < 9")
 rel("security_rules", f"SELECT CASE WHEN {K} % 17 = 0 THEN 'r000001' ELSE 'r' || code END AS rule_id, list_date AS effective_from, coalesce(delist_date, DATE '1996-01-01') AS effective_to, CASE WHEN {K} % 13 = 0 THEN 1.2 WHEN is_st THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 19 = 0 THEN 'LATER' ELSE 'NONE' END AS age_rule FROM :master")
-rel("rates", f"SELECT security_id, CASE WHEN {K} % 9 = 0 THEN NULL WHEN is_st THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN is_st THEN 0.05 WHEN {K} % 12 = 0 THEN 0.2 ELSE 0.1 END AS down_rate FROM :master")
 rel("golden", lambda d: f"SELECT security_id || '/' || {d.text('trade_date')} AS case_id, CASE WHEN {D(d)} % 3 = 0 THEN substr(security_id, 2, 6) ELSE security_id END AS symbol, CASE WHEN {D(d)} % 11 = 0 THEN DATE '2001-01-01' ELSE trade_date END AS trade_date, {K} % 7 = 0 OR {D(d)} % 5 = 0 AS expected FROM :status WHERE {D(d)} % 13 = 0")
 rel("st_events", "SELECT event_id, subtype FROM :market_events WHERE event_class = 'ST' AND subtype IS NOT NULL AND event_id % 16 <> 0")
 rel("st_audit", "SELECT event_id, CASE WHEN subtype = 'ADD' THEN 0 ELSE 1 END AS flag_before, CASE WHEN subtype = 'ADD' AND event_id % 7 <> 0 THEN 1 ELSE 0 END AS flag_after FROM :market_events WHERE event_class = 'ST' AND subtype IS NOT NULL AND event_id % 20 <> 0")
