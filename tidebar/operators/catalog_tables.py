@@ -32,10 +32,6 @@ op("AG-33", "Partition inventory: months by route, empty ones kept.", """
 SELECT s.month, s.route, count(p.security_id) AS n, min(p.trade_date) AS first_day, max(p.trade_date) AS last_day FROM (SELECT m.month, r.route FROM (SELECT DISTINCT month FROM :routed) m CROSS JOIN (SELECT DISTINCT route FROM :routed) r) s
 LEFT JOIN :routed p ON s.month = p.month AND s.route = p.route GROUP BY s.month, s.route""")
 op("AG-34", "Exclusion reasons with counts.", "SELECT coalesce(reason, 'NONE') AS reason, count(*) AS n FROM :panel GROUP BY coalesce(reason, 'NONE')")
-op("AG-35", "One-minute slice of the whole market.", "SELECT count(*) AS n, count(DISTINCT bucket) AS buckets, round(avg(close), 6) AS avg_close FROM :bucketed WHERE bar_time = (SELECT min(bar_time) FROM :bucketed)")
-op("AG-36", "History of one security.", "SELECT count(*) AS n FROM :bucketed WHERE security_key = 7 AND bucket = 7")
-op("AG-37", "A list of keys over a range of days.", "SELECT security_key, count(*) AS n FROM :bucketed WHERE security_key IN (1, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47) AND trade_date BETWEEN DATE '1995-01-01' AND DATE '2030-01-01' GROUP BY security_key")
-op("AG-38", "Average close of each security, then the total over them.", "SELECT count(*) AS securities, round(sum(avg_close), 4) AS total FROM (SELECT security_key, avg(close) AS avg_close FROM :bucketed GROUP BY security_key) q")
 op("AG-39", "Seal checks of a table: rows, distinct keys, nulls.", "SELECT count(*) AS n, count(DISTINCT concat_ws('|', security_id, CAST(trade_date AS STRING))) AS distinct_keys, count(DISTINCT concat_ws('|', security_id, CAST(trade_date AS STRING))) = count(*) AS is_sealed FROM :bars")
 op("AG-40", "Run status from findings: one blocking finding blocks, with the classes.", lambda d: f"SELECT run_id, CASE WHEN bool_or(is_blocking) THEN 'BLOCKED' ELSE 'SUCCESS' END AS run_status, {d.joined_set('finding_class')} AS classes FROM :run_findings GROUP BY run_id")
 op("AG-41", "Required domains: missing before damaged before unavailable at the cutoff.", """
@@ -134,8 +130,4 @@ op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violati
 op("SRC-09", "Snapshot table of a domain in its typed form.", "SELECT security_id, trade_date, open, high, low, close, volume, amount FROM :bars")
 op("SRC-10", "Logical snapshot: one month for each source run, repeats rejected.", "SELECT run_id, month, CASE WHEN count(*) OVER (PARTITION BY run_id) > 1 THEN 'REPEATED_RUN' WHEN count(*) OVER (PARTITION BY month) > 1 THEN 'REPEATED_MONTH' ELSE 'OK' END AS verdict FROM :month_runs")
 op("SRC-11", "Read-model views with a row of facts on each.", "SELECT 'daily_bar' AS view_name, count(*) AS n FROM :bars UNION ALL SELECT 'status', count(*) FROM :status UNION ALL SELECT 'identity', count(*) FROM :identity")
-op("SRC-15", "Research read: one split window, exact ids, chosen columns; no ids give no rows.", "SELECT security_id, trade_date, close FROM :panel_input WHERE split = 'development' AND security_id IN ('S000001', 'S000002', 'S000003')")
-op("SRC-16", "Diagnostic read of disabled rows.", "SELECT security_id, trade_date, reason FROM :panel WHERE eligibility = 'RESEARCH_DISABLED_UNRESOLVED'")
-op("SRC-17", "History read over months of the committed scope.", "SELECT r.security_id, r.trade_date, r.route FROM :routed r WHERE r.month BETWEEN 202001 AND 202112 AND EXISTS (SELECT 1 FROM :descriptors d WHERE d.month = r.month)")
-op("SRC-18", "Projected daily batches: window, ids and columns pushed to the scan.", "SELECT security_id, trade_date, close, volume FROM :bars WHERE trade_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31' AND security_id IN ('S000004', 'S000005')")
 op("SRC-22", "Canonical projection: selected rows of the run with the partitions as one stream.", "SELECT security_id, trade_date, 'run' AS origin FROM :candidates WHERE provider = 'vendor_a' AND identity_status <> 'MISSING' UNION ALL SELECT security_id, trade_date, 'partition' FROM :bars WHERE year(trade_date) = 1995")

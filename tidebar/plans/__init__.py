@@ -1,6 +1,6 @@
 """The library's operators applied to the test tables, by id, with SQL for each."""
 
-from . import asof, bars, catalog, keys, rules, storage  # noqa: F401
+from . import asof, bars, catalog, keys, reads, rules, storage  # noqa: F401
 from .base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

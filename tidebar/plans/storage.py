@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from ..functions.dialect import DUCK, SPARK
 from ..functions.exact import exact_mean, registry_table
 from ..operators import features as ft
 from ..operators import market as mk
@@ -14,24 +15,36 @@ from ..sources import storage as st
 from ..streaming import feed as fd
 from .bars import FEATURES_SQL, FINDINGS_SQL, MARKET_TABLE_SQL, MARKET_WIDE, RUN, SECURITY_SQL, STATE_COLUMNS, STATES_SQL, WIDE
 from .base import query
+from .keys import PROVIDED_SQL, provided_bars
 from .relations import duck, frame
 
-_BARS = "SELECT {m} AS month, security_id, trade_date, open, high, low, close, pre_close, volume, amount, available_on FROM :bars".format(m="CAST(year(trade_date) * 100 + month(trade_date) AS INT)")
+LINEAGE = ("available_on", "provider", "run_id", "quality")
+_PROVIDED = f"SELECT *, {DUCK.uuid5('security_id')} AS security_uuid FROM ({PROVIDED_SQL}) q"
 
 
-@query("SRC-07", duck("SELECT CAST(year(trade_date) * 100 + month(trade_date) AS INT) AS month, count(*) AS facts, count(*) AS lineages, min(trade_date) AS first_day, max(trade_date) AS last_day FROM :bars GROUP BY 1"))
+def _months(spark, sf_dir):
+    bars = provided_bars(spark, sf_dir).drop("month").selectExpr("*", f"{SPARK.uuid5('security_id')} AS security_uuid")
+    return st.stored(spark, f"months {sf_dir}", lambda path: st.write_months(bars, path, LINEAGE))
+
+
+_FLAGS = ", ".join(f"count(DISTINCT coalesce(CAST({c} AS VARCHAR), '?')) = 1 AS {c}_constant" for c in LINEAGE)
+
+
+@query("SRC-07", duck(f"""WITH p AS ({_PROVIDED}), m AS (SELECT month, count(*) AS facts, min(trade_date) AS first_day, max(trade_date) AS last_day, {_FLAGS} FROM p GROUP BY month)
+SELECT *, CASE WHEN {' AND '.join(f'{c}_constant' for c in LINEAGE)} THEN 0 ELSE facts END AS sidecar_rows FROM m"""))
 def month_write(spark, sf_dir):
-    at = st.scratch(spark, "months")
-    st.write_months(dv.bars(spark, sf_dir), at)
+    """What the written files hold: facts, sidecar rows (none where nothing varies) and the columns that were lifted out."""
+    at = _months(spark, sf_dir)
     facts = spark.read.parquet(f"{at}/facts").groupBy("month").agg(F.count("*").alias("facts"), F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
-    return facts.join(spark.read.parquet(f"{at}/lineage").groupBy("month").agg(F.count("*").alias("lineages")), "month")
+    sidecar = spark.read.parquet(f"{at}/lineage").groupBy("month").agg(F.count("*").alias("sidecar_rows"))
+    constants = spark.read.parquet(f"{at}/constants").select("month", *[F.col(f"{c}__constant").alias(f"{c}_constant") for c in LINEAGE])
+    return facts.join(constants, "month").join(sidecar, "month", "left").fillna(0, ["sidecar_rows"])
 
 
-@query("SRC-08", duck(f"SELECT * FROM ({_BARS}) q WHERE month BETWEEN 199501 AND 199512"))
+@query("SRC-08", duck(f"""SELECT *, '["' || security_uuid || '","' || strftime(trade_date, '%Y-%m-%d') || '"]' AS canonical_key FROM ({_PROVIDED}) p WHERE month BETWEEN 199501 AND 199512"""))
 def month_read(spark, sf_dir):
-    at = st.scratch(spark, "months")
-    st.write_months(dv.bars(spark, sf_dir), at)
-    return st.read_months(spark, at, 199501, 199512)
+    """All columns of a year, as they were before the split, with the key rebuilt."""
+    return st.read_months(spark, _months(spark, sf_dir), 199501, 199512)
 
 
 def _stored(name, columns, build, spark, sf_dir):
