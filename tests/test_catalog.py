@@ -49,20 +49,45 @@ def test_selection_merges_and_conflicts(spark):
     assert got == {1: "SELECTED", 2: "EQUIVALENT_MERGED", 3: "SOURCE_CONFLICT"}
 
 
-def test_storage_and_streams(spark):
-    from tidebar.plans.storage import feed_kinds
+def brute_subscriptions(rows):
+    out = {}
+    for feed, _, kind in sorted(rows, key=lambda r: (r[0], r[1])):
+        status, events, late, orphan = out.get(feed, ("NEW", 0, 0, 0))
+        if kind == "START":
+            status = "STARTED" if status == "NEW" else status
+        elif kind == "STOP":
+            status = "UNSUBSCRIBED"
+        elif status == "NEW":
+            orphan += 1
+        elif status == "UNSUBSCRIBED":
+            late += 1
+        else:
+            status, events = "ACTIVE", events + 1
+        out[feed] = (status, events, late, orphan)
+    return out
+
+
+def test_subscription_stream_keeps_its_state_over_batches_and_restarts(spark):
+    import random
+
     from tidebar.sources import storage as st
     from tidebar.streaming import feed as fd
 
-    events = spark.read.parquet(f"{SF}/events.parquet")
-    kinds = feed_kinds(events)
-    at = st.scratch(spark, "kinds")
-    kinds.coalesce(1).write.parquet(at)
-    q = fd.subscriptions(spark.readStream.schema(kinds.schema).parquet(at)).writeStream.outputMode("update").format("memory").queryName("subs").option(
-        "checkpointLocation", st.scratch(spark, "state")
-    ).trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert sorted(map(tuple, spark.table("subs").collect())) == sorted(map(tuple, fd.subscriptions_batch(kinds).collect()))
+    rng = random.Random(4)
+    rows = [(rng.randrange(30), i, rng.choices(["EVENT", "START", "STOP"], [20, 2, 1])[0]) for i in range(900)]
+    at, out, state = (st.scratch(spark, n) for n in ("landed", "out", "state"))
+    schema = "feed long, seq long, kind string"
+    land = lambda part: spark.createDataFrame(part, schema).repartition(2, "feed").write.mode("append").parquet(at)
+    want = brute_subscriptions(rows)
+    land(rows[:300])
+    land(rows[300:500])
+    like = spark.createDataFrame([], schema)
+    fd.drain(fd.subscriptions(fd.stream(spark, at, "*.parquet", like, 2)), ["feed"], out, state)
+    land(rows[500:])
+    got = fd.drain(fd.subscriptions(fd.stream(spark, at, "*.parquet", like, 2)), ["feed"], out, state)  # goes on from the checkpoint
+    assert {r.feed: (r.status, r.events, r.late, r.orphan) for r in got.collect()} == want
+    batch = fd.subscriptions_batch(spark.createDataFrame(rows, schema)).collect()
+    assert {r.feed: (r.status, r.events, r.late, r.orphan) for r in batch} == want
 
 
 def _norm(v):

@@ -143,8 +143,13 @@ op("JN-03", "Code-change bridge: the old code until the change, the new one from
 SELECT security_id, old_symbol AS symbol, list_date AS valid_from, effective AS valid_to, list_date >= effective AS is_error FROM :code_changes
 UNION ALL SELECT security_id, new_symbol, effective, CAST(NULL AS DATE), list_date >= effective FROM :code_changes""")
 op("JN-04", "Current symbol of an id: its open interval, if it has one only.", "SELECT security_id, CASE WHEN count(DISTINCT symbol) = 1 THEN max_by(symbol, valid_from) END AS current_symbol FROM :identity WHERE valid_to IS NULL GROUP BY security_id")
-op("JN-05", "Research identity by id: exactly one interval in force.", f"SELECT b.security_id, b.trade_date, CASE WHEN count(i.symbol) = 1 THEN max(i.symbol) END AS symbol FROM :bars b LEFT JOIN :identity i ON b.security_id = i.security_id AND {IN_FORCE.format(t='b')} GROUP BY b.security_id, b.trade_date")
-op("JN-06", "Identity conflict: the supplied symbol differs from the resolved one.", f"SELECT s.security_id, s.trade_date, s.symbol IS DISTINCT FROM i.symbol AS conflict FROM :supplied s LEFT JOIN :identity i ON s.security_id = i.security_id AND {IN_FORCE.format(t='s')}")
+op("JN-05", "Research identity by id, and by qualified symbol: exactly one in force.", f"""
+SELECT s.security_id, s.trade_date, CASE WHEN count(DISTINCT i.symbol) = 1 THEN max(i.symbol) END AS symbol, CASE WHEN count(DISTINCT j.security_id) = 1 THEN max(j.security_id) END AS id_of_symbol FROM :supplied s
+LEFT JOIN :identity i ON s.security_id = i.security_id AND {IN_FORCE.format(t='s')}
+LEFT JOIN :identity j ON upper(trim(s.symbol)) = j.symbol AND {IN_FORCE.format(t='s').replace('i.', 'j.')} GROUP BY s.security_id, s.trade_date""")
+op("JN-06", "Identity conflict: a supplied symbol or exchange differs from the resolved one; what is not supplied or not resolved is none.", f"""
+SELECT s.security_id, s.trade_date, i.symbol IS NOT NULL AND ((s.symbol IS NOT NULL AND trim(s.symbol) <> i.symbol) OR (s.exchange IS NOT NULL AND upper(trim(s.exchange)) <> i.exchange)) AS conflict
+FROM :supplied s LEFT JOIN :identity i ON s.security_id = i.security_id AND {IN_FORCE.format(t='s')}""")
 FLAG = "CASE WHEN {x} IN ('1', '1.0', 'true', 'True') THEN true WHEN {x} IN ('0', '0.0', 'false', 'False') THEN false END"
 op("JN-13", "Golden fact compare: by symbol and date, else by bare code; a missing row fails.", f"""
 SELECT g.case_id, CASE WHEN coalesce(a.IS_ST_SEC, b.IS_ST_SEC) IS NULL THEN 'FAIL_MISSING' WHEN {FLAG.format(x='coalesce(a.IS_ST_SEC, b.IS_ST_SEC)')} IS NOT DISTINCT FROM g.expected THEN 'PASS' ELSE 'FAIL_VALUE' END AS verdict FROM :golden g
@@ -152,7 +157,9 @@ LEFT JOIN :status a ON g.symbol = a.security_id AND g.trade_date = a.trade_date
 op("JN-14", "ST and suspension facts: flags must be 0 or 1, then the facts; without facts a row is observed.", f"""
 SELECT s.security_id, s.trade_date, CASE WHEN {FLAG.format(x='s.IS_ST_SEC')} IS NULL OR {FLAG.format(x='s.IS_SUSP_SEC')} IS NULL THEN 'BAD_FLAG' WHEN g.case_id IS NULL THEN 'OBSERVED' WHEN {FLAG.format(x='s.IS_ST_SEC')} = g.expected THEN 'PASS' ELSE 'FAIL' END AS verdict
 FROM :status s LEFT JOIN :golden g ON g.symbol = s.security_id AND g.trade_date = s.trade_date""")
-op("JN-17", "Delisted check: a delisting date passes, membership alone is missing evidence, absence is survivorship.", "SELECT m.security_id, CASE WHEN h.security_id IS NULL THEN 'FAIL_SURVIVORSHIP' WHEN m.delist_date IS NOT NULL THEN 'PASS' ELSE 'MISSING' END AS verdict FROM :master m LEFT JOIN (SELECT DISTINCT security_id FROM :bars) h ON m.security_id = h.security_id WHERE m.is_st OR m.delist_date IS NOT NULL")
+op("JN-17", "Delisted check: listing state 3 or a delisting date passes, membership alone is missing evidence, another state is a mismatch, absence is survivorship.", """
+SELECT m.security_id, CASE WHEN h.security_id IS NULL THEN 'FAIL_SURVIVORSHIP' WHEN trim(h.is_listed) = '3' OR h.delist_date IS NOT NULL THEN 'PASS' WHEN h.is_listed IS NULL THEN 'MISSING' ELSE 'FAIL_MISMATCH' END AS verdict
+FROM :master m LEFT JOIN :master_facts h ON m.security_id = h.security_id WHERE m.is_st OR m.delist_date IS NOT NULL""")
 op("JN-19", "Identity quality: ids of facts that the dimension lacks, or holds as fallback only.", "SELECT f.security_id, CASE WHEN i.security_id IS NULL THEN 'MISSING' ELSE 'FALLBACK' END AS finding FROM (SELECT DISTINCT security_id FROM :fact_ids) f LEFT JOIN :identities i ON f.security_id = i.security_id WHERE i.security_id IS NULL OR i.known_list_date IS NULL")
 op("JN-20", "ST transitions: one audit row for each event, ADD turns the flag on, REMOVE off.", "SELECT coalesce(e.event_id, a.event_id) AS event_id, CASE WHEN e.event_id IS NULL THEN 'EXTRA_AUDIT' WHEN a.event_id IS NULL THEN 'MISSING_AUDIT' WHEN e.subtype = 'ADD' AND NOT (a.flag_before = 0 AND a.flag_after = 1) THEN 'NOT_PROVEN' WHEN e.subtype = 'REMOVE' AND NOT (a.flag_before = 1 AND a.flag_after = 0) THEN 'NOT_PROVEN' ELSE 'PASS' END AS verdict FROM :st_events e FULL OUTER JOIN :st_audit a ON e.event_id = a.event_id")
 op("JN-21", "Identity join and group of minute bars.", "SELECT d.sector_id, count(*) AS n, sum(m.volume) AS volume FROM :minutes m JOIN :minute_dim d ON m.security_key = d.security_key GROUP BY d.sector_id")

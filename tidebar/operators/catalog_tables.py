@@ -80,9 +80,13 @@ op("ST-05", "Status outside the scope that exactly one code change explains.", f
 REQUIRED = CLASSED + ", required AS (SELECT security_id, trade_date FROM classed WHERE class = 'required')"
 op("ST-06", "Missing and extra pairs.", f"WITH {REQUIRED} SELECT 'missing' AS side, security_id, trade_date FROM (SELECT security_id, trade_date FROM required EXCEPT SELECT security_id, trade_date FROM :returned) a UNION ALL SELECT 'extra', security_id, trade_date FROM (SELECT security_id, trade_date FROM :returned EXCEPT SELECT security_id, trade_date FROM required) b")
 op("ST-07", "Pairs that do not apply: symbols by sessions, less the applicable ones.", f"WITH {APPLICABLE} SELECT g.security_id, count(*) AS n FROM (SELECT m.security_id, c.trade_date FROM :master m CROSS JOIN :sessions c) g WHERE NOT EXISTS (SELECT 1 FROM applicable a WHERE a.security_id = g.security_id AND a.trade_date = g.trade_date) GROUP BY g.security_id")
-op("ST-08", "Counts of every class, zeros kept, with the verdict.", f"""WITH {REQUIRED}, counts AS (SELECT class, count(*) AS n FROM classed GROUP BY class UNION ALL SELECT 'missing', count(*) FROM (SELECT security_id, trade_date FROM required EXCEPT SELECT security_id, trade_date FROM :returned) a
-  UNION ALL SELECT 'extra', count(*) FROM (SELECT security_id, trade_date FROM :returned EXCEPT SELECT security_id, trade_date FROM required) b)
-SELECT s.class, coalesce(c.n, 0) AS n, CASE WHEN (SELECT coalesce(sum(n), 0) FROM counts WHERE class IN ('missing', 'extra', 'unresolved')) = 0 THEN 'PASS' ELSE 'FAIL_CLOSED' END AS verdict FROM :classes s LEFT JOIN counts c ON s.class = c.class""")
+#: Required and returned pairs meet once; each class is a count over that one pass.
+_PAIRS = CLASSED + """, pairs AS (SELECT c.class, r.security_id IS NOT NULL AS is_returned FROM classed c FULL OUTER JOIN :returned r ON c.security_id = r.security_id AND c.trade_date = r.trade_date),
+totals AS (SELECT count(*) FILTER (WHERE class = 'suspended') AS suspended, count(*) FILTER (WHERE class = 'required') AS required, count(*) FILTER (WHERE class = 'unresolved') AS unresolved,
+  count(*) FILTER (WHERE class = 'required' AND NOT is_returned) AS missing, count(*) FILTER (WHERE is_returned AND class IS DISTINCT FROM 'required') AS extra FROM pairs)"""
+op("ST-08", "Counts of every class, zeros kept, with the verdict.", f"""WITH {_PAIRS}
+SELECT s.class, CASE s.class WHEN 'suspended' THEN t.suspended WHEN 'required' THEN t.required WHEN 'unresolved' THEN t.unresolved WHEN 'missing' THEN t.missing ELSE t.extra END AS n,
+  CASE WHEN t.missing + t.extra + t.unresolved = 0 THEN 'PASS' ELSE 'FAIL_CLOSED' END AS verdict FROM :classes s CROSS JOIN totals t""")
 op("ST-09", "Returned bars: code equals member, finite numbers, dates in scope and once.", "SELECT member_key, trade_date, CASE WHEN embedded_code <> member_key THEN 'CODE' WHEN close IS NULL OR isnan(close) OR abs(close) = CAST('Infinity' AS DOUBLE) THEN 'NUMBER' WHEN trade_date NOT BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' THEN 'SCOPE' WHEN count(*) OVER (PARTITION BY member_key, trade_date) > 1 THEN 'DUPLICATE' ELSE 'VALID' END AS verdict FROM :members")
 op("ST-10", "Status validity: a date that comes twice voids all rows of its member.", "SELECT security_id, count(*) AS n FROM (SELECT security_id, trade_date, max(n) OVER (PARTITION BY security_id) AS worst FROM (SELECT security_id, trade_date, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :status_dup) a) b WHERE worst = 1 GROUP BY security_id")
 op("ST-11", "Monthly spine of the split windows, with the rows of each month.", lambda d: f"SELECT s.split, s.y, s.m, count(r.security_id) AS n FROM (SELECT split, CAST(year(m) AS INT) AS y, CAST(month(m) AS INT) AS m FROM (SELECT split, {d.months('first_day', 'last_day')} AS m FROM :windows) q) s LEFT JOIN :routed r ON r.month = s.y * 100 + s.m GROUP BY s.split, s.y, s.m")
@@ -107,13 +111,7 @@ op("TB-06", "History plan: months by route with rows, in the chosen scope.", "SE
 op("TB-07", "Replay: the same identity is a no-op, another content an error.", "SELECT n.id, CASE WHEN o.id IS NULL THEN 'NEW' WHEN o.payload IS NOT DISTINCT FROM n.payload THEN 'NO_OP' ELSE 'ERROR' END AS outcome FROM :new_version n LEFT JOIN :old_version o ON n.id = o.id")
 op("TB-08", "Run identity: a hash of all input hashes and versions.", lambda d: f"SELECT run_id, {d.sha(d.joined(d.text('ordinal')))} AS run_identity FROM (SELECT DISTINCT run_id, ordinal % 97 AS ordinal FROM :candidates) q GROUP BY run_id")
 op("TB-09", "Closed months: earlier than the current one may not change; the open month gets a revision.", "SELECT n.month, CASE WHEN o.month IS NULL THEN 'CREATE' WHEN o.content = n.content THEN 'NO_OP' WHEN n.month < 199806 THEN 'ERROR_CLOSED' ELSE 'NEW_REVISION' END AS outcome FROM :month_new n LEFT JOIN :month_old o ON n.month = o.month")
-op("TB-10", "Publish: prior rows of a date are superseded, one stays published.", "SELECT trade_date, publish_id, version, CASE WHEN row_number() OVER (PARTITION BY trade_date ORDER BY version DESC) = 1 THEN 'PUBLISHED' ELSE 'SUPERSEDED' END AS state FROM :publish_log WHERE state = 'PUBLISHED'")
 op("TB-11", "Files of any publish, superseded ones too.", "SELECT p.publish_id, p.trade_date, count(c.component) AS files FROM :publish_log p LEFT JOIN :components c ON p.publish_id = c.publish_id GROUP BY p.publish_id, p.trade_date")
-op("TB-12", "Artifact validation: named checks with their verdicts; nothing to test is not a pass.", """
-SELECT 'UNIQUE_KEYS' AS check_name, CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WHEN count(*) = count(DISTINCT concat_ws('|', security_id, CAST(trade_date AS STRING))) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM :bars_dup
-UNION ALL SELECT 'PRICES_PRESENT', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WHEN count(*) = count(close) THEN 'PASS' ELSE 'FAIL' END FROM :bars_dup
-UNION ALL SELECT 'IN_TIME', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' WHEN max(available_on) <= DATE '1998-06-01' THEN 'PASS' ELSE 'FAIL' END FROM :bars_dup
-UNION ALL SELECT 'SCAN_PROOF', CASE WHEN count(*) = 0 THEN 'NOT_TESTABLE' ELSE 'PASS' END FROM :flagged WHERE table_name = 'scan_proof'""")
 op("TB-13", "Universe activation: the same rule hash is a no-op, another is rejected.", "SELECT n.id, CASE WHEN o.id IS NULL THEN 'ACTIVATED' WHEN o.payload = n.payload THEN 'NO_OP' ELSE 'REJECTED' END AS outcome FROM :new_version n LEFT JOIN :old_version o ON n.id = o.id")
 op("TB-14", "Definition hash of a set from its ordered members.", lambda d: f"SELECT CAST(floor(case_id / 50) AS BIGINT) AS set_id, {d.sha(d.joined(d.text('case_id')))} AS definition_hash FROM :cases GROUP BY CAST(floor(case_id / 50) AS BIGINT)")
 op("TB-17", "Validity of stored feature rows: keys, hashes, finite or null values, in time.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_KEY' END", "CASE WHEN isnan(pre_close) OR abs(pre_close) = CAST('Infinity' AS DOUBLE) THEN 'NON_FINITE' END", "CASE WHEN available_on > DATE '1998-06-01' THEN 'FUTURE' END", "CASE WHEN length(security_id) <> 7 THEN 'BAD_ID' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :bars_dup) q) v WHERE violation IS NOT NULL GROUP BY violation")

@@ -25,7 +25,7 @@ def _panel(spark, sf_dir):
     return st.stored(spark, f"panel {sf_dir}", build)
 
 
-def _minutes(spark, sf_dir, layout="L1"):
+def minutes(spark, sf_dir, layout="L1"):
     return st.stored(spark, f"minutes {layout} {sf_dir}", lambda path: st.write_minutes(dv.minute_bars(spark, sf_dir), path, layout))
 
 
@@ -61,7 +61,7 @@ def projected_read(spark, sf_dir):
 @query("AG-35", duck("SELECT count(*) AS n, count(DISTINCT security_key % 16) AS files, round(avg(close), 6) AS avg_close FROM :minutes WHERE bar_time = (SELECT min(bar_time) FROM :minutes)"))
 def one_minute(spark, sf_dir):
     """W4 on the bucketed, time-first layout: a minute's rows lie in one file of each bucket."""
-    path = _minutes(spark, sf_dir)
+    path = minutes(spark, sf_dir)
     first_month = min(int(r.month) for r in spark.read.parquet(path).select("month").distinct().collect())  # folder names
     minute = spark.read.parquet(path).where(F.col("month") == first_month).agg(F.min("bar_time")).first()[0]
     return rd.cross_section(spark, path, minute).select("n", "files", F.round("avg_close", 6).alias("avg_close"))
@@ -69,16 +69,16 @@ def one_minute(spark, sf_dir):
 
 @query("AG-36", duck("SELECT count(*) AS n FROM :minutes WHERE security_key = 7"))
 def one_security(spark, sf_dir):
-    return rd.minutes_of_keys(spark, _minutes(spark, sf_dir), "L1", [7]).agg(F.count(F.lit(1)).alias("n"))
+    return rd.minutes_of_keys(spark, minutes(spark, sf_dir), "L1", [7]).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("AG-37", duck("SELECT security_key, count(*) AS n FROM :minutes WHERE security_key < 100 AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY security_key"))
 def key_list(spark, sf_dir):
     """W6: a hundred keys."""
-    return rd.minutes_of_keys(spark, _minutes(spark, sf_dir), "L1", list(range(100)), dt.date(2024, 1, 5), dt.date(2024, 1, 20)).groupBy("security_key").agg(F.count(F.lit(1)).alias("n"))
+    return rd.minutes_of_keys(spark, minutes(spark, sf_dir), "L1", list(range(100)), dt.date(2024, 1, 5), dt.date(2024, 1, 20)).groupBy("security_key").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("AG-38", duck("SELECT count(*) AS securities, round(sum(avg_close), 4) AS total FROM (SELECT security_key, avg(close) AS avg_close FROM :minutes GROUP BY security_key) q"))
 def all_securities(spark, sf_dir):
-    each = spark.read.parquet(_minutes(spark, sf_dir)).groupBy("security_key").agg(F.avg("close").alias("avg_close"))
+    each = spark.read.parquet(minutes(spark, sf_dir)).groupBy("security_key").agg(F.avg("close").alias("avg_close"))
     return each.agg(F.count(F.lit(1)).alias("securities"), F.round(F.sum("avg_close"), 4).alias("total"))

@@ -119,7 +119,8 @@ rel("identities", lambda d: f"SELECT security_id, exchange, code, CASE WHEN {K}
 rel("contexts", "SELECT event_id AS row_id, CASE event_id % 5 WHEN 0 THEN 'api_token' WHEN 1 THEN 'PassWord' WHEN 2 THEN 'host' WHEN 3 THEN 'credential_id' ELSE 'dataset' END AS context_key, event_type AS context_value FROM :events")
 rel("symbol_days", "SELECT DISTINCT i.symbol, b.trade_date FROM :bars b JOIN :identity i ON b.security_id = i.security_id")
 rel("code_changes", f"SELECT security_id, code || '.' || exchange AS old_symbol, '9' || substr(code, 2, 5) || '.' || exchange AS new_symbol, list_date, DATE '1993-06-01' AS effective FROM :master WHERE {K} % 5 = 0")
-rel("supplied", lambda d: f"SELECT b.security_id, b.trade_date, CASE WHEN {D(d, 'b.trade_date')} % 67 = 0 THEN 'X' ELSE m.code || '.' || m.exchange END AS symbol FROM :bars b JOIN :master m ON b.security_id = m.security_id")
+rel("supplied", lambda d: f"SELECT b.security_id, b.trade_date, CASE WHEN {D(d, 'b.trade_date')} % 67 = 0 THEN 'X' ELSE m.code || '.' || m.exchange END AS symbol, CASE WHEN {D(d, 'b.trade_date')} % 53 = 0 THEN 'xx' WHEN {D(d, 'b.trade_date')} % 59 = 0 THEN NULL ELSE lower(m.exchange) END AS exchange FROM :bars b JOIN :master m ON b.security_id = m.security_id")
+rel("master_facts", f"SELECT security_id, CASE WHEN {K} % 13 = 0 THEN '3' WHEN {K} % 3 = 0 THEN '1' END AS is_listed, delist_date FROM :master WHERE {K} % 9 <> 4")
 # Codes of all boards, listed between 2018 and 2024; a few listing days are no session.
 _HEAD = f"CASE {K} % 8 WHEN 0 THEN '60' WHEN 1 THEN '000' WHEN 2 THEN '30' WHEN 3 THEN '688' WHEN 4 THEN '83' WHEN 5 THEN '43' WHEN 6 THEN '002' ELSE '99' END"
 rel("rule_securities", lambda d: f"SELECT security_id, head || substr(code, length(head) + 1, 6) AS code, CASE WHEN head IN ('60', '688', '99') THEN 'SH' WHEN head IN ('83', '43') THEN 'BJ' ELSE 'SZ' END AS exchange, is_st, CASE WHEN k % 31 <> 9 THEN {d.plus('list_date', '9500 + (k % 6) * 365')} END AS listing_date FROM (SELECT *, {K} AS k, {_HEAD} AS head FROM :master) q")
@@ -154,9 +155,17 @@ rel("routed", f"SELECT security_id, trade_date, split, {MONTH} AS month, CASE WH
 rel("descriptors", "SELECT DISTINCT month FROM :routed WHERE month % 100 <> 7 UNION ALL SELECT DISTINCT month FROM :routed WHERE month % 100 = 9")
 rel("run_findings", lambda d: f"SELECT 'run' || {d.text(K + ' % 12')} AS run_id, CASE {D(d)} % 3 WHEN 0 THEN 'SOURCE_CONFLICT' WHEN 1 THEN 'LATE' ELSE 'DUPLICATE_KEY' END AS finding_class, {K} % 12 = 3 AND {D(d)} % 3 = 0 AS is_blocking FROM :bars WHERE {D(d)} % 5 < {K} % 12")
 rel("inventory", f"SELECT code AS member, CASE WHEN {K} % 20 = 0 THEN NULL WHEN {K} % 20 = 1 THEN 0 ELSE 1 END AS rows_n FROM :master")
-rel("candidates", lambda d: f"""SELECT b.security_id, b.trade_date, p.provider, p.priority, p.run_id, md5(p.run_id) AS manifest_hash, CAST({K.replace('security_id', 'b.security_id')} * 100000 + {D(d, 'b.trade_date')} * 2 + p.priority AS BIGINT) AS ordinal, b.available_on,
+rel("candidates_once", lambda d: f"""SELECT b.security_id, b.trade_date, p.provider, p.priority, p.run_id, md5(p.run_id) AS manifest_hash, CAST({K.replace('security_id', 'b.security_id')} * 100000 + {D(d, 'b.trade_date')} * 2 + p.priority AS BIGINT) AS ordinal, b.available_on,
   CASE WHEN {D(d, 'b.trade_date')} % 79 = 0 THEN 'MISSING' ELSE 'RESOLVED' END AS identity_status, CASE WHEN p.priority = 1 AND {D(d, 'b.trade_date')} % 5 = 0 THEN b.volume + 1 ELSE b.volume END AS payload FROM :bars b
   JOIN (SELECT 'vendor_a' AS provider, 0 AS priority, 'run-1' AS run_id UNION ALL SELECT 'vendor_b', 1, 'run-2' UNION ALL SELECT 'vendor_b', 1, 'run-3') p ON {D(d, 'b.trade_date')} % 3 <> p.priority OR p.run_id = 'run-1'""")
+rel("candidates", lambda d: f"SELECT * FROM :candidates_once UNION ALL SELECT security_id, trade_date, provider, priority, run_id, manifest_hash, ordinal + 50000000000, available_on, identity_status, payload FROM :candidates_once WHERE {D(d)} % 83 = 0")
+rel("artifact_rows", "SELECT o_orderkey AS artifact_id, CASE o_orderkey % 37 WHEN 0 THEN NULL WHEN 1 THEN 'v1' ELSE 'v2' END AS set_version, 'snap' AS snapshot_id, CASE o_orderkey % 31 WHEN 0 THEN NULL WHEN 1 THEN 'other' ELSE 'snap' END AS bound_snapshot_id FROM :orders")
+_P = "l_orderkey * 7 + l_linenumber"
+rel("artifact_parts", lambda d: f"""SELECT l_orderkey AS artifact_id, CAST(l_linenumber AS INT) AS component, CASE WHEN l_linenumber % 2 = 0 THEN 'volume' ELSE 'price' END AS family, md5({d.text('l_partkey')}) AS declared_content,
+  CASE WHEN ({_P}) % 101 = 0 THEN NULL WHEN ({_P}) % 103 = 0 THEN 'other' ELSE md5({d.text('l_partkey')}) END AS content, 's1' AS declared_schema, CASE WHEN ({_P}) % 107 = 0 THEN 's2' ELSE 's1' END AS schema,
+  l_suppkey AS declared_rows, CASE WHEN ({_P}) % 109 = 0 THEN l_suppkey + 1 ELSE l_suppkey END AS row_count, CASE WHEN ({_P}) % 113 = 0 THEN NULL WHEN ({_P}) % 103 = 0 THEN 'other' ELSE md5({d.text('l_partkey')}) END AS proof_content,
+  CASE WHEN ({_P}) % 127 = 0 THEN 2 ELSE 0 END AS fallback_rows, CASE WHEN ({_P}) % 131 = 0 THEN 1 ELSE 0 END AS blocking_findings FROM :lineitem""")
+rel("publish_requests", lambda d: f"SELECT 'p' || {d.text('o_orderkey')} AS publish_id, o_orderkey AS artifact_id, CAST(o_orderdate AS DATE) AS trade_date, o_orderkey AS version FROM :orders")
 rel("bars_dup", lambda d: f"SELECT * FROM :bars UNION ALL SELECT * FROM :bars WHERE {D(d)} % 109 = 0")
 rel("publish_log", lambda d: f"SELECT 'p' || {d.text('o_custkey')} AS publish_id, CAST(o_orderdate AS DATE) AS trade_date, o_orderkey AS version, CASE WHEN o_orderkey % 6 = 0 THEN 'FAILED' ELSE 'PUBLISHED' END AS state FROM :orders")
 rel("violations", "SELECT case_type AS verdict, lpad(CAST(case_id AS STRING), 8, '0') AS case_text FROM :cases WHERE result = 'FAIL'")

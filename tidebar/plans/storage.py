@@ -16,6 +16,7 @@ from ..streaming import feed as fd
 from .bars import FEATURES_SQL, FINDINGS_SQL, MARKET_TABLE_SQL, MARKET_WIDE, RUN, SECURITY_SQL, STATE_COLUMNS, STATES_SQL, WIDE
 from .base import query
 from .keys import PROVIDED_SQL, provided_bars
+from .reads import minutes
 from .relations import duck, frame
 
 LINEAGE = ("available_on", "provider", "run_id", "quality")
@@ -89,8 +90,7 @@ _LAYOUTS = duck("SELECT l.layout, m.security_key % 16 AS bucket, count(*) AS n,
 def minute_layouts(spark, sf_dir):
     out = None
     for layout in st.LAYOUTS:
-        at = st.scratch(spark, layout)
-        st.write_minutes(dv.minute_bars(spark, sf_dir), at, layout)
+        at = minutes(spark, sf_dir, layout)
         part = spark.read.parquet(at).groupBy(F.col("bucket").cast("long").alias("bucket")).agg(F.count("*").alias("n"), F.countDistinct("security_key").alias("keys")).withColumn("layout", F.lit(layout))
         out = part if out is None else out.unionByName(part)
     return out
@@ -98,18 +98,16 @@ def minute_layouts(spark, sf_dir):
 
 @query("SRC-20", duck("SELECT security_key % 16 AS bucket, count(*) AS n, count(*) AS before_n FROM :minutes GROUP BY 1"))
 def compaction(spark, sf_dir):
-    a, b = st.scratch(spark, "fragments"), st.scratch(spark, "compacted")
-    st.write_minutes(dv.minute_bars(spark, sf_dir), a, "L1")
-    st.compact(spark, a, b, "month", "bucket")
+    """Day fragments of each bucket as files of a target size at a new path."""
+    a, b = minutes(spark, sf_dir, "L1"), st.scratch(spark, "compacted")
+    st.compact(spark, a, b, ["month", "bucket"], ["bar_time", "security_key"])
     count = lambda p, n: spark.read.parquet(p).groupBy(F.col("bucket").cast("long").alias("bucket")).agg(F.count("*").alias(n))
     return count(b, "n").join(count(a, "before_n"), "bucket")
 
 
 @query("SRC-21", duck("SELECT security_key, bar_time, trade_date, close, volume FROM :minutes WHERE security_key IN (3, 19, 20)"))
 def bucket_read(spark, sf_dir):
-    at = st.scratch(spark, "buckets")
-    st.write_minutes(dv.minute_bars(spark, sf_dir), at, "L1")
-    return st.read_keys(spark, at, [3, 19, 20]).select("security_key", "bar_time", "trade_date", "close", "volume")
+    return st.read_keys(spark, minutes(spark, sf_dir, "L1"), [3, 19, 20]).select("security_key", "bar_time", "trade_date", "close", "volume")
 
 
 @query("ST-14", duck("SELECT security_id, trade_date, close, NULL AS IS_ST_SEC FROM :bars UNION ALL SELECT security_id, trade_date, NULL, IS_ST_SEC FROM :status"))
@@ -146,8 +144,15 @@ SELECT f.feed, CASE WHEN max(e.t) IS NOT NULL THEN 'UNSUBSCRIBED' WHEN count(*)
 
 @query("SS-02", _SUBS)
 def subscription_state(spark, sf_dir):
-    """The batch twin of the streaming operator; a test holds both to the same rows."""
-    return fd.subscriptions_batch(feed_kinds(dv.table(spark, sf_dir, "events")))
+    """The stream itself: events land in three thirds by sequence, each of several files, and micro-batches carry state from one to the next."""
+    kinds = feed_kinds(dv.table(spark, sf_dir, "events"))
+    at = st.scratch(spark, "landed")
+    bounds = [int(x) for x in kinds.approxQuantile("seq", [1 / 3, 2 / 3], 0.01)]
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = kinds.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
+        part.repartition(4, "feed").write.mode("append").parquet(at)
+    feed = fd.stream(spark, at, "*.parquet", kinds, 4)
+    return fd.drain(fd.subscriptions(feed), ["feed"], st.scratch(spark, "out"), st.scratch(spark, "state"))
 
 
 def feed_kinds(events):

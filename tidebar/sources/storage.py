@@ -126,9 +126,16 @@ def write_minutes(minutes: DataFrame, path: str, layout: str, buckets: int = 16)
     rows.repartition(*keys, "trade_date").sortWithinPartitions(*keys, *order).write.partitionBy(*keys).parquet(path)
 
 
-def compact(spark: SparkSession, source: str, target: str, *keys: str) -> None:
-    """Many fragments of a partition as few files at a new path; the source stays."""
-    spark.read.parquet(source).repartition(*keys).write.partitionBy(*keys).parquet(target)
+def compact(spark: SparkSession, source: str, target: str, keys: list[str], order: list[str], file_bytes: int = 128 << 20) -> None:
+    """Many fragments as files of about ``file_bytes`` at a new path; the source stays.
+
+    The fragments' sizes, from file metadata, say how many files there will be. Rows are dealt by ranges of (keys, order), so a large
+    partition goes to several tasks, small ones share one, and no task holds more than its share. A file holds one partition's rows in order.
+    """
+    rows = spark.read.parquet(source)
+    total = rows.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+    packed = rows.repartitionByRange(max(1, -(-total // file_bytes)), *keys, *order).sortWithinPartitions(*keys, *order)
+    packed.write.partitionBy(*keys).parquet(target)
 
 
 def read_keys(spark: SparkSession, path: str, keys: list[int], buckets: int = 16) -> DataFrame:

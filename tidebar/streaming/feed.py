@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,21 +50,19 @@ STATES = ("STARTED", "ACTIVE", "UNSUBSCRIBED")
 
 
 def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    status, events, late = state.get if state.exists else ("NEW", 0, 0)
-    orphan = 0
-    for f in frames:
-        for kind in f.sort_values("seq")["kind"]:
-            if kind == "START":
-                status = "STARTED" if status == "NEW" else status
-            elif kind == "STOP":
-                status = "UNSUBSCRIBED"
-            elif status == "NEW":
-                orphan += 1
-            elif status == "UNSUBSCRIBED":
-                late += 1
-            else:
-                status, events = "ACTIVE", events + 1
-    state.update((status, events, late))
+    """A feed's new rows against its state: positions of the first start and stop among them, then counts between these."""
+    status, events, late, orphan = state.get if state.exists else ("NEW", 0, 0, 0)
+    kind = pd.concat(list(frames)).sort_values("seq", kind="stable")["kind"].to_numpy()
+    at = np.arange(len(kind))
+    first = lambda k: int(np.argmax(kind == k)) if (kind == k).any() else len(kind)
+    start, stop = first("START") if status == "NEW" else -1, first("STOP") if status != "UNSUBSCRIBED" else -1
+    is_event = kind == "EVENT"
+    active = int((is_event & (at > start) & (at < stop)).sum())
+    orphan += int((is_event & (at < min(start, stop))).sum())
+    late += int((is_event & (at > stop)).sum())
+    events += active
+    status = "UNSUBSCRIBED" if stop < len(kind) else "ACTIVE" if active else "STARTED" if status == "NEW" and start < len(kind) else status
+    state.update((status, events, late, orphan))
     yield pd.DataFrame({"feed": [key[0]], "status": [status], "events": [events], "late": [late], "orphan": [orphan]})
 
 
@@ -71,10 +70,11 @@ def subscriptions(feed: DataFrame) -> DataFrame:
     """State of each feed: started, active at its first event, unsubscribed for good.
 
     Events after the end are late, events before any signal orphans. State is a
-    status and two counters for each feed.
+    status and three counters for each feed; it doesn't expire, as an idle timeout keeps a run over all available data from ending. Rows of
+    a micro-batch are taken in order of ``seq``; micro-batches come in order.
     """
     return feed.groupBy("feed").applyInPandasWithState(
-        _step, "feed long, status string, events long, late long, orphan long", "status string, events long, late long", "update", GroupStateTimeout.NoTimeout
+        _step, "feed long, status string, events long, late long, orphan long", "status string, events long, late long, orphan long", "update", GroupStateTimeout.NoTimeout
     )
 
 
