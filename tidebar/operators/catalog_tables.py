@@ -101,13 +101,7 @@ op("ST-20", "Intake: well-formed codes without repeats, days in the month and on
 
 # ---- tables -----------------------------------------------------------------
 
-op("TB-01", "Canonical build: cutoff, identity, selection; one row for each candidate with its decision.", """
-SELECT security_id, trade_date, provider, ordinal, CASE WHEN available_on > DATE '1998-06-01' THEN 'EXCLUDED_FUTURE' WHEN identity_status = 'MISSING' THEN 'IDENTITY_MISSING' WHEN k = 1 THEN 'SELECTED' WHEN payload IS NOT DISTINCT FROM winner THEN 'EQUIVALENT_MERGED' ELSE 'SOURCE_CONFLICT' END AS decision FROM (
-  SELECT *, row_number() OVER (PARTITION BY security_id, trade_date, usable ORDER BY priority, manifest_hash, ordinal) AS k, first_value(payload) OVER (PARTITION BY security_id, trade_date, usable ORDER BY priority, manifest_hash, ordinal) AS winner
-  FROM (SELECT *, identity_status <> 'MISSING' AND available_on <= DATE '1998-06-01' AS usable FROM :candidates) c) q""")
 op("TB-02", "Snapshot projection: typed rows that are unique, in time and well keyed.", "SELECT security_id, trade_date, round(close, 6) AS close, volume FROM (SELECT *, count(*) OVER (PARTITION BY security_id, trade_date) AS n FROM :bars_dup) q WHERE n = 1 AND available_on <= DATE '1998-06-01' AND close IS NOT NULL")
-op("TB-05", "Research publish: rows by split and eligibility.", "SELECT split, eligibility, count(*) AS n, min(trade_date) AS first_day, max(trade_date) AS last_day FROM :panel GROUP BY split, eligibility")
-op("TB-06", "History plan: months by route with rows, in the chosen scope.", "SELECT r.month, r.route, count(*) AS n FROM :routed r WHERE EXISTS (SELECT 1 FROM :descriptors d WHERE d.month = r.month) GROUP BY r.month, r.route")
 op("TB-07", "Replay: the same identity is a no-op, another content an error.", "SELECT n.id, CASE WHEN o.id IS NULL THEN 'NEW' WHEN o.payload IS NOT DISTINCT FROM n.payload THEN 'NO_OP' ELSE 'ERROR' END AS outcome FROM :new_version n LEFT JOIN :old_version o ON n.id = o.id")
 op("TB-08", "Run identity: a hash of all input hashes and versions.", lambda d: f"SELECT run_id, {d.sha(d.joined(d.text('ordinal')))} AS run_identity FROM (SELECT DISTINCT run_id, ordinal % 97 AS ordinal FROM :candidates) q GROUP BY run_id")
 op("TB-09", "Closed months: earlier than the current one may not change; the open month gets a revision.", "SELECT n.month, CASE WHEN o.month IS NULL THEN 'CREATE' WHEN o.content = n.content THEN 'NO_OP' WHEN n.month < 199806 THEN 'ERROR_CLOSED' ELSE 'NEW_REVISION' END AS outcome FROM :month_new n LEFT JOIN :month_old o ON n.month = o.month")
@@ -125,7 +119,5 @@ op("SRC-03", "Packed member table with an inventory that keeps empty members.",
 op("SRC-04", "A scalar list as one value column.", lambda d: f"SELECT row_id, {d.words('raw_flags')} AS value FROM :vendor")
 op("SRC-05", "Golden cases as typed rows.", "SELECT case_id, case_type, review_status, result FROM :cases")
 op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_ID' END", "CASE WHEN effective_from > effective_to THEN 'WINDOW' END", "CASE WHEN up_rate NOT BETWEEN 0 AND 1 THEN 'RATE' END", "CASE WHEN age_rule NOT IN ('NONE', 'FIRST_5', 'IPO_DAY') THEN 'ENUM' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY rule_id) AS n FROM :security_rules) q) v WHERE violation IS NOT NULL GROUP BY violation")
-op("SRC-09", "Snapshot table of a domain in its typed form.", "SELECT security_id, trade_date, open, high, low, close, volume, amount FROM :bars")
 op("SRC-10", "Logical snapshot: one month for each source run, repeats rejected.", "SELECT run_id, month, CASE WHEN count(*) OVER (PARTITION BY run_id) > 1 THEN 'REPEATED_RUN' WHEN count(*) OVER (PARTITION BY month) > 1 THEN 'REPEATED_MONTH' ELSE 'OK' END AS verdict FROM :month_runs")
-op("SRC-11", "Read-model views with a row of facts on each.", "SELECT 'daily_bar' AS view_name, count(*) AS n FROM :bars UNION ALL SELECT 'status', count(*) FROM :status UNION ALL SELECT 'identity', count(*) FROM :identity")
 op("SRC-22", "Canonical projection: selected rows of the run with the partitions as one stream.", "SELECT security_id, trade_date, 'run' AS origin FROM :candidates WHERE provider = 'vendor_a' AND identity_status <> 'MISSING' UNION ALL SELECT security_id, trade_date, 'partition' FROM :bars WHERE year(trade_date) = 1995")

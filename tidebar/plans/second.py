@@ -38,8 +38,6 @@ SECOND = {
     "WN-22": "SELECT run_id, security_id, trade_date, (SELECT count(*) FROM :candidates o WHERE o.run_id = c.run_id AND o.security_id = c.security_id AND o.trade_date = c.trade_date AND o.ordinal <= c.ordinal) AS k FROM :candidates c WHERE k > 1",
     "WN-24": "SELECT security_id, trade_date FROM (SELECT security_id, trade_date, count(*) AS n FROM :bars_dup GROUP BY ALL), range(20) t(i) WHERE i < n - 1",
     "WN-25": "SELECT trade_date, (SELECT count(*) FROM :calendar o WHERE o.trade_date <= c.trade_date) AS session_no, (SELECT max(trade_date) FROM :calendar o WHERE o.trade_date < c.trade_date) AS before_day, (SELECT min(trade_date) FROM :calendar o WHERE o.trade_date > c.trade_date) AS after_day FROM :calendar c",
-    "TB-01": f"""WITH u AS (SELECT * FROM :candidates WHERE identity_status <> 'MISSING' AND available_on <= DATE '1998-06-01') SELECT security_id, trade_date, provider, ordinal, CASE WHEN available_on > DATE '1998-06-01' THEN 'EXCLUDED_FUTURE' WHEN identity_status = 'MISSING' THEN 'IDENTITY_MISSING'
-  WHEN ordinal = {_BEST.format(c='ordinal', t='u')} AND run_id = {_BEST.format(c='run_id', t='u')} THEN 'SELECTED' WHEN payload IS NOT DISTINCT FROM {_BEST.format(c='payload', t='u')} THEN 'EQUIVALENT_MERGED' ELSE 'SOURCE_CONFLICT' END AS decision FROM :candidates x""",
     "TB-07": "SELECT id, 'NEW' AS outcome FROM :new_version WHERE id NOT IN (SELECT id FROM :old_version) UNION ALL SELECT id, CASE WHEN (id, payload) IN (SELECT (id, payload) FROM :old_version) THEN 'NO_OP' ELSE 'ERROR' END FROM :new_version WHERE id IN (SELECT id FROM :old_version)",
     "ST-01": f"WITH {_APPLY} SELECT * FROM applicable",
     "ST-03": f"WITH {_CLASSES} SELECT * FROM classed",

@@ -13,7 +13,7 @@ from ..operators import market as mk
 from ..sources import derived as dv
 from ..sources import storage as st
 from ..streaming import feed as fd
-from .bars import FEATURES_SQL, FINDINGS_SQL, MARKET_TABLE_SQL, MARKET_WIDE, RUN, SECURITY_SQL, STATE_COLUMNS, STATES_SQL, WIDE
+from .bars import FEATURES_SQL, MARKET_TABLE_SQL, MARKET_WIDE, RUN
 from .base import query
 from .keys import PROVIDED_SQL, provided_bars
 from .reads import minutes
@@ -48,30 +48,10 @@ def month_read(spark, sf_dir):
     return st.read_months(spark, _months(spark, sf_dir), 199501, 199512)
 
 
-def _stored(name, columns, build, spark, sf_dir):
-    at = st.scratch(spark, name)
-    build(spark, sf_dir).selectExpr(*columns).write.parquet(at)
-    return spark.read.parquet(at)
-
-
 def _features(spark, sf_dir):
     return ft.security_features(dv.bars(spark, sf_dir))
 
 
-query("SRC-12", f"WITH {FINDINGS_SQL} SELECT security_id, trade_date, feature_name, finding_class, skipped FROM findings")(
-    partial(_stored, "findings", ["security_id", "trade_date", "feature_name", "finding_class", "skipped"], lambda s, d: ft.findings(_features(s, d)))
-)
-query("TB-03", f"WITH {SECURITY_SQL} SELECT {', '.join(WIDE)} FROM security_table")(partial(_stored, "features", WIDE, lambda s, d: ft.security_table(_features(s, d), RUN)))
-
-
-@query("TB-04", f"WITH {STATES_SQL} SELECT {', '.join(STATE_COLUMNS)} FROM states")
-def state_build(spark, sf_dir):
-    """Features and market rows are stored, states are built from the stored rows."""
-    at = st.scratch(spark, "market")
-    mk.breadth(_features(spark, sf_dir)).write.parquet(at)
-    return mk.states(spark.read.parquet(at)).selectExpr(*STATE_COLUMNS)
-
-
 def _routed(keys, spark, sf_dir):
     at = st.scratch(spark, "routed")
     rows = frame(spark, sf_dir, "routed").withColumns({"y": F.year("trade_date"), "m": F.month("trade_date")})

@@ -29,12 +29,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, name: str, build) -> str:
+def stored(spark: SparkSession, name: str, build, mark: str = "_SUCCESS") -> str:
     """The path of a table that ``build(path)`` writes once for an application; one that was not finished is written again."""
     path = f"{_root(spark)}/stored-{sha256(f'{spark.sparkContext.applicationId} {name}'.encode()).hexdigest()[:32]}"
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    files = mark.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(mark):
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{mark}")
+    files = done.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(done):
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
         build(path)
     return path
