@@ -2,7 +2,8 @@
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no
 rule and no aliases, and is allowed; null html has no edges; repeated urls are
-one node; an empty table gives no rows.
+one node; an empty table gives no rows; of rules of the same length, none of which can fit the same url twice, the later one wins;
+html of any length is searched whole, by patterns that look at each tag once.
 """
 
 from __future__ import annotations
@@ -82,40 +83,42 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str = "
     Urls with the same address, and the two ends of each redirect or canonical
     link, form one component. A page's own rule decides it. Without one, a page is allowed
     if its component holds an address that a rule allows, else blocked if it
-    holds one that a rule blocks, else allowed.
+    holds one that a rule blocks, else allowed. All columns of ``pages`` stay, but for those of the four names, which are replaced.
     """
-    # Columns of these names are replaced.
-    pages = pages.drop("host", "path", "rule", "verdict", "__a", "__r", "__c", "node", "component", "class", "allow", "block")
+    own_names = ["host", "path", "rule", "verdict"]
+    if clash := [c for c in pages.columns if c.startswith("__op10_")]:
+        raise ValueError(f"names taken by this operator: {clash}")
+    pages = pages.drop(*own_names)
     edges = links(pages, url_col, html_col).select(
         address(F.col("url")).alias("a"), address(F.col("target")).alias("b"), "target"
     ).where("a is not null and b is not null and a <> b")
     edges = edges.checkpoint() if _dir(edges) else edges
-    own = pages.select("*", host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), address(F.col(url_col)).alias("__a"))
-    own = own.withColumn("__r", rule(F.col("host"), F.col("path"), rules))
+    own = pages.select("*", host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), address(F.col(url_col)).alias("__op10_a"))
+    own = own.withColumn("__op10_r", rule(F.col("host"), F.col("path"), rules))
     # Names of nodes are strings; the least one names a component.
-    labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    known = own.where("__r is not null and __a is not null").select("__a", F.col("__r.verdict").alias("v")).unionByName(
-        edges.select(F.col("b").alias("__a"), rule(host(F.col("target")), path(F.col("target")), rules)["verdict"].alias("v")).where("v is not null")
+    labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("__op10_n"), F.col("component").alias("__op10_p"))
+    known = own.where("__op10_r is not null and __op10_a is not null").select("__op10_a", F.col("__op10_r.verdict").alias("v")).unionByName(
+        edges.select(F.col("b").alias("__op10_a"), rule(host(F.col("target")), path(F.col("target")), rules)["verdict"].alias("v")).where("v is not null")
     )
     # One row for each address that a rule names, then one for each component.
-    named = known.groupBy("__a").agg(F.max((F.col("v") == "allow").cast("int")).alias("allow"), F.max((F.col("v") == "block").cast("int")).alias("block"))
-    class_of = F.coalesce("component", "__a")
+    named = known.groupBy("__op10_a").agg(F.max((F.col("v") == "allow").cast("int")).alias("__op10_allow"), F.max((F.col("v") == "block").cast("int")).alias("__op10_block"))
+    class_of = F.coalesce("__op10_p", "__op10_a")
     classes = (
-        named.join(labels, F.col("__a") == F.col("node"), "left")
-        .groupBy(class_of.alias("class"))
-        .agg(F.max("allow").alias("allow"), F.max("block").alias("block"))
+        named.join(labels, F.col("__op10_a") == F.col("__op10_n"), "left")
+        .groupBy(class_of.alias("__op10_k"))
+        .agg(F.max("__op10_allow").alias("__op10_allow"), F.max("__op10_block").alias("__op10_block"))
     )
-    inherited = F.when(F.col("allow") == 1, "allow").when(F.col("block") == 1, "block").otherwise("allow")
-    ruled = own.where("__r is not null").withColumn("verdict", F.col("__r.verdict"))
+    inherited = F.when(F.col("__op10_allow") == 1, "allow").when(F.col("__op10_block") == 1, "block").otherwise("allow")
+    ruled = own.where("__op10_r is not null").withColumn("verdict", F.col("__op10_r.verdict"))
     # Only pages without a rule need their component.
     open_ = (
-        own.where("__r is null")
-        .join(labels, F.col("__a") == F.col("node"), "left")
-        .withColumn("__c", class_of)
-        .join(classes, F.col("__c") == F.col("class"), "left")
+        own.where("__op10_r is null")
+        .join(labels, F.col("__op10_a") == F.col("__op10_n"), "left")
+        .withColumn("__op10_c", class_of)
+        .join(classes, F.col("__op10_c") == F.col("__op10_k"), "left")
         .withColumn("verdict", inherited)
     )
-    keep = [*pages.columns, "host", "path", F.col("__r.rule").alias("rule"), "verdict"]
+    keep = [*pages.columns, "host", "path", F.col("__op10_r.rule").alias("rule"), "verdict"]
     return ruled.select(*keep).unionByName(open_.select(*keep))
 
 
