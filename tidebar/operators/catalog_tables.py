@@ -43,7 +43,6 @@ op("AG-44", "Month boundary: market cutoff and newest receipt, both within the c
 op("AG-45", "Capability coverage: case types that are covered and missing, passes and failures.", lambda d: f"""
 SELECT capability, count(*) FILTER (WHERE n > 0) AS covered, count(*) FILTER (WHERE n = 0) AS missing, sum(passes) AS passes, sum(fails) AS fails FROM (SELECT m.capability, m.case_type, count(c.case_id) AS n, count(*) FILTER (WHERE c.result = 'PASS') AS passes, count(*) FILTER (WHERE c.result = 'FAIL') AS fails
   FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.capability, m.case_type) q GROUP BY capability""")
-op("AG-46", "Payload shapes: members and rows by shape.", "SELECT shape, count(*) AS members, sum(n) AS row_total FROM (SELECT member, CASE WHEN rows_n IS NULL THEN 'NULL_MEMBER' WHEN rows_n = 0 THEN 'EMPTY_MEMBER' ELSE 'TABLE' END AS shape, coalesce(rows_n, 0) AS n FROM :inventory) q GROUP BY shape")
 op("AG-47", "Review readiness: recomputed statistics against the declared ones.", """
 SELECT coalesce(a.case_type, b.case_type) AS case_type, a.n AS declared, b.n AS recomputed, a.n IS NOT DISTINCT FROM b.n AS agrees FROM (SELECT case_type, minimum AS n FROM :minima) a FULL OUTER JOIN (SELECT case_type, count(*) AS n FROM :cases GROUP BY case_type) b ON a.case_type = b.case_type""")
 
@@ -113,9 +112,6 @@ op("TB-18", "Validity of stored state rows: known values, strict date order, evi
 
 # ---- scans ------------------------------------------------------------------
 
-op("SRC-01", "Landed payloads: rows of each request.", "SELECT provider, count(*) AS n, count(DISTINCT security_id) AS securities, min(trade_date) AS first_day FROM :candidates GROUP BY provider")
-op("SRC-02", "Member maps: null and empty members leave a marker row, a conflicting identity is rejected.", "SELECT i.member, m.trade_date, CASE WHEN i.rows_n IS NULL THEN 'NULL_MEMBER' WHEN i.rows_n = 0 THEN 'EMPTY_MEMBER' WHEN m.embedded_code <> m.member_key THEN 'REJECTED' ELSE 'ROW' END AS marker FROM :inventory i LEFT JOIN :members m ON i.member = m.member_key AND i.rows_n > 0")
-op("SRC-03", "Packed member table with an inventory that keeps empty members.", "SELECT i.member, count(m.trade_date) AS n FROM :inventory i LEFT JOIN :members m ON i.member = m.member_key AND i.rows_n > 0 GROUP BY i.member")
 op("SRC-04", "A scalar list as one value column.", lambda d: f"SELECT row_id, {d.words('raw_flags')} AS value FROM :vendor")
 op("SRC-05", "Golden cases as typed rows.", "SELECT case_id, case_type, review_status, result FROM :cases")
 op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_ID' END", "CASE WHEN effective_from > effective_to THEN 'WINDOW' END", "CASE WHEN up_rate NOT BETWEEN 0 AND 1 THEN 'RATE' END", "CASE WHEN age_rule NOT IN ('NONE', 'FIRST_5', 'IPO_DAY') THEN 'ENUM' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY rule_id) AS n FROM :security_rules) q) v WHERE violation IS NOT NULL GROUP BY violation")
