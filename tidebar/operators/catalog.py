@@ -151,9 +151,6 @@ op("JN-06", "Identity conflict: a supplied symbol or exchange differs from the r
 SELECT s.security_id, s.trade_date, i.symbol IS NOT NULL AND ((s.symbol IS NOT NULL AND trim(s.symbol) <> i.symbol) OR (s.exchange IS NOT NULL AND upper(trim(s.exchange)) <> i.exchange)) AS conflict
 FROM :supplied s LEFT JOIN :identity i ON s.security_id = i.security_id AND {IN_FORCE.format(t='s')}""")
 FLAG = "CASE WHEN {x} IN ('1', '1.0', 'true', 'True') THEN true WHEN {x} IN ('0', '0.0', 'false', 'False') THEN false END"
-op("JN-13", "Golden fact compare: by symbol and date, else by bare code; a missing row fails.", f"""
-SELECT g.case_id, CASE WHEN coalesce(a.IS_ST_SEC, b.IS_ST_SEC) IS NULL THEN 'FAIL_MISSING' WHEN {FLAG.format(x='coalesce(a.IS_ST_SEC, b.IS_ST_SEC)')} IS NOT DISTINCT FROM g.expected THEN 'PASS' ELSE 'FAIL_VALUE' END AS verdict FROM :golden g
-LEFT JOIN :status a ON g.symbol = a.security_id AND g.trade_date = a.trade_date LEFT JOIN :status b ON g.symbol = b.SECURITY_CODE AND g.trade_date = b.trade_date""")
 op("JN-14", "ST and suspension facts: flags must be 0 or 1, then the facts; without facts a row is observed.", f"""
 SELECT s.security_id, s.trade_date, CASE WHEN {FLAG.format(x='s.IS_ST_SEC')} IS NULL OR {FLAG.format(x='s.IS_SUSP_SEC')} IS NULL THEN 'BAD_FLAG' WHEN g.case_id IS NULL THEN 'OBSERVED' WHEN {FLAG.format(x='s.IS_ST_SEC')} = g.expected THEN 'PASS' ELSE 'FAIL' END AS verdict
 FROM :status s LEFT JOIN :golden g ON g.symbol = s.security_id AND g.trade_date = s.trade_date""")

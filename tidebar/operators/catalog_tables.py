@@ -16,7 +16,6 @@ WHERE flag IN ('MISSING_IDENTITY', 'SOURCE_CONFLICT', 'DUPLICATE_KEY', 'FUTURE_R
 op("AG-21", "Manifest hash of a set of components, by identity.", lambda d: f"SELECT publish_id, {d.sha(d.joined('component'))} AS manifest_hash, count(*) AS n FROM :components GROUP BY publish_id")
 op("AG-23", "Structural event statistics: distinct ST events, delists and ids of each class.", "SELECT event_class, count(*) AS n, count(DISTINCT concat_ws('|', symbol, date_text, subtype)) AS distinct_events, count(DISTINCT symbol) AS distinct_symbols FROM :market_events GROUP BY event_class")
 op("AG-24", "Manifest statistics: cases by type and review status, with totals of each type.", "SELECT case_type, review_status, count(*) AS n FROM :cases GROUP BY GROUPING SETS ((case_type, review_status), (case_type), ())")
-op("AG-25", "Quantity gates: cases of each required type against its minimum.", "SELECT m.case_type, m.minimum, count(c.case_id) AS n, count(c.case_id) >= m.minimum AS is_met FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.case_type, m.minimum")
 op("AG-26", "Event distribution by subtype, class and year in one pass.", "SELECT subtype, event_class, substr(date_text, 1, 4) AS event_year, count(*) AS n FROM :market_events GROUP BY GROUPING SETS ((subtype), (event_class), (substr(date_text, 1, 4)))")
 op("AG-27", "Artifact groups: cases by reference and kind, numbered, with their ids.", lambda d: f"SELECT case_type, review_status, {d.joined(d.text('case_id'))} AS case_ids, row_number() OVER (ORDER BY case_type, review_status) AS group_no FROM (SELECT case_type || '-' || CAST(CAST(floor(case_id / 200) AS BIGINT) AS STRING) AS case_type, review_status, case_id FROM :cases) q GROUP BY case_type, review_status")
 op("AG-28", "Capability verdict: absent is missing, a failure fails, each required type needs its minimum.", """
@@ -43,8 +42,6 @@ op("AG-44", "Month boundary: market cutoff and newest receipt, both within the c
 op("AG-45", "Capability coverage: case types that are covered and missing, passes and failures.", lambda d: f"""
 SELECT capability, count(*) FILTER (WHERE n > 0) AS covered, count(*) FILTER (WHERE n = 0) AS missing, sum(passes) AS passes, sum(fails) AS fails FROM (SELECT m.capability, m.case_type, count(c.case_id) AS n, count(*) FILTER (WHERE c.result = 'PASS') AS passes, count(*) FILTER (WHERE c.result = 'FAIL') AS fails
   FROM :minima m LEFT JOIN :cases c ON m.case_type = c.case_type GROUP BY m.capability, m.case_type) q GROUP BY capability""")
-op("AG-47", "Review readiness: recomputed statistics against the declared ones.", """
-SELECT coalesce(a.case_type, b.case_type) AS case_type, a.n AS declared, b.n AS recomputed, a.n IS NOT DISTINCT FROM b.n AS agrees FROM (SELECT case_type, minimum AS n FROM :minima) a FULL OUTER JOIN (SELECT case_type, count(*) AS n FROM :cases GROUP BY case_type) b ON a.case_type = b.case_type""")
 
 # ---- windows ----------------------------------------------------------------
 
@@ -113,7 +110,6 @@ op("TB-18", "Validity of stored state rows: known values, strict date order, evi
 # ---- scans ------------------------------------------------------------------
 
 op("SRC-04", "A scalar list as one value column.", lambda d: f"SELECT row_id, {d.words('raw_flags')} AS value FROM :vendor")
-op("SRC-05", "Golden cases as typed rows.", "SELECT case_id, case_type, review_status, result FROM :cases")
 op("SRC-06", "Validity report of the rule dimension.", lambda d: "SELECT violation, count(*) AS n FROM (SELECT " + d.each("CASE WHEN n > 1 THEN 'DUPLICATE_ID' END", "CASE WHEN effective_from > effective_to THEN 'WINDOW' END", "CASE WHEN up_rate NOT BETWEEN 0 AND 1 THEN 'RATE' END", "CASE WHEN age_rule NOT IN ('NONE', 'FIRST_5', 'IPO_DAY') THEN 'ENUM' END") + " AS violation FROM (SELECT *, count(*) OVER (PARTITION BY rule_id) AS n FROM :security_rules) q) v WHERE violation IS NOT NULL GROUP BY violation")
 op("SRC-10", "Logical snapshot: one month for each source run, repeats rejected.", "SELECT run_id, month, CASE WHEN count(*) OVER (PARTITION BY run_id) > 1 THEN 'REPEATED_RUN' WHEN count(*) OVER (PARTITION BY month) > 1 THEN 'REPEATED_MONTH' ELSE 'OK' END AS verdict FROM :month_runs")
 op("SRC-22", "Canonical projection: selected rows of the run with the partitions as one stream.", "SELECT security_id, trade_date, 'run' AS origin FROM :candidates WHERE provider = 'vendor_a' AND identity_status <> 'MISSING' UNION ALL SELECT security_id, trade_date, 'partition' FROM :bars WHERE year(trade_date) = 1995")
