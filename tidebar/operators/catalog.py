@@ -78,7 +78,6 @@ SELECT e.event_id, a.event_type AS by_alias, c.event_type AS by_class, CASE WHEN
 FROM :market_events e LEFT JOIN :alias_dim a ON e.alias = a.name LEFT JOIN :class_dim c ON e.event_class = c.name""")
 op("PRJ-19", "Canonical status view: rows without identity or date, and keys that come twice, are rejected.", "SELECT symbol, trade_date, market_code, CASE WHEN symbol IS NULL OR trade_date IS NULL THEN 'MISSING_KEY' WHEN count(*) OVER (PARTITION BY symbol, trade_date) > 1 THEN 'DUPLICATE_KEY' END AS reject FROM :status_view")
 op("PRJ-20", "Canonical daily-bar view: columns as they are, nothing invented.", "SELECT security_id, trade_date, open, high, low, close, pre_close, volume, amount FROM :bars")
-op("PRJ-21", "Quarantine split with accounting: input = mapped + quarantined.", "SELECT count(*) AS input_rows, count(*) FILTER (WHERE reject IS NULL) AS mapped_rows, count(*) FILTER (WHERE reject IS NOT NULL) AS quarantined_rows, count(DISTINCT reject) AS error_classes FROM :normalized")
 op("PRJ-22", "Run status from scope, permission to be partial, and retained rows.", """
 SELECT run_id, sum(retained) AS retained, CASE WHEN NOT bool_and(in_scope) OR sum(retained) = 0 THEN 'BLOCKED' WHEN sum(quarantined) = 0 THEN 'SUCCESS' WHEN bool_and(allow_partial) THEN 'PARTIAL' ELSE 'BLOCKED' END AS run_status
 FROM :run_rows GROUP BY run_id""")
@@ -86,8 +85,6 @@ op("PRJ-23", "Surface routing by exact match of provider, surface, dataset and e
 SELECT r.request_id, CASE WHEN d.handler IS NULL THEN 'BLOCKED' WHEN d.handler = 'none' THEN 'NOT_APPLICABLE' ELSE d.handler END AS route FROM :requests r
 LEFT JOIN :routing d ON r.provider = d.provider AND r.surface = d.surface AND r.dataset = d.dataset AND r.endpoint = d.endpoint""")
 op("PRJ-24", "Calendar expansion: a row for each market and day.", lambda d: f"SELECT {d.each(*[chr(39) + m + chr(39) for m in ('SH', 'SZ', 'BJ')])} AS market, trade_date FROM :calendar")
-op("PRJ-27", "Strict typed projection: a text that its type does not hold is a violation.", lambda d: f"""
-SELECT row_id, {d.number('raw_price')} AS price, {d.date('raw_date')} AS day, ({d.number('raw_price')} IS NULL AND raw_price IS NOT NULL) OR ({d.date('raw_date')} IS NULL AND raw_date IS NOT NULL) AS violation FROM :vendor""")
 op("PRJ-28", "Availability is the receipt, for the supported domains.", "SELECT r.domain, r.security_id, r.trade_date, CASE WHEN m.eligibility = 'SUPPORTED' THEN r.received_on END AS available_on FROM :domain_rows r JOIN :domain_matrix m ON r.domain = m.domain")
 op("PRJ-29", "Point in time: rows available later than the cutoff are decisions, not data.", "SELECT security_id, trade_date, CASE WHEN available_on <= DATE '1998-06-01' THEN 'ELIGIBLE' ELSE 'EXCLUDED_FUTURE' END AS decision FROM :bars")
 op("PRJ-30", "Session close at 15:00 in Shanghai; eligible from then on, equality included; BJ from its first session only.", lambda d: f"""
@@ -127,7 +124,6 @@ SELECT event_id, {d.weekday('ts')} < 5 AND (hour(ts) * 100 + minute(ts) BETWEEN
 KEY = lambda d: f"exchange || ':STOCK:' || code || ':' || coalesce({d.ymd('known_list_date')}, 'F' || {d.ymd('first_seen')})"
 op("PRJ-41", "Identity key EX:TYPE:SYMBOL:YYYYMMDD, by first sight and flagged where the list date is unknown.", lambda d: f"SELECT security_id, {KEY(d)} AS identity_key, known_list_date IS NULL AS is_fallback FROM :identities")
 op("PRJ-42", "Stable id: UUIDv5 of the identity key.", lambda d: f"SELECT security_id, {d.uuid5('(' + KEY(d) + ')')} AS stable_id FROM :identities")
-op("PRJ-43", "Context scrub: keys that look secret go.", lambda d: f"SELECT row_id, context_key, context_value FROM :contexts WHERE NOT {d.like('lower(context_key)', 'password|token|secret|credential')}")
 op("PRJ-44", "Publishable identities: not the fallback ones.", "SELECT security_id FROM :identities WHERE known_list_date IS NOT NULL")
 op("PRJ-45", "Domain matrix: a blocked domain that is asked for is an error.", "SELECT r.domain, count(*) AS n, max(coalesce(m.eligibility, 'UNKNOWN')) AS eligibility, max(CASE WHEN coalesce(m.eligibility, 'UNKNOWN') NOT IN ('SUPPORTED', 'AUXILIARY') THEN 1 ELSE 0 END) AS is_error FROM :domain_rows r LEFT JOIN :domain_matrix m ON r.domain = m.domain GROUP BY r.domain")
 op("PRJ-46", "Structural events: a valid date, and the subtype and symbol that their class needs.", lambda d: f"SELECT event_id, CASE WHEN {d.date('date_text')} IS NULL THEN 'BAD_DATE' WHEN event_class = 'ST' AND subtype IS NULL THEN 'MISSING_SUBTYPE' WHEN symbol IS NULL THEN 'MISSING_SYMBOL' ELSE 'VALID' END AS verdict FROM :market_events")
