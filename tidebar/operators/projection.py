@@ -134,16 +134,17 @@ def scrub(value: Column, kind: cj.T.DataType) -> Column:
 def quarantine(spark: SparkSession, path: str, rows: DataFrame, error: Column, locator: list[str], context: list[str]) -> str:
     """Splits ``rows`` into the tables ``mapped`` and ``quarantine`` of a build at ``path``: every row is in one of them.
 
-    ``error`` is a row's error class, null for a good one. A quarantined row has its locator, the class, a context without secrets and an id, a
-    hash of locator and class. The input is written once and counted; a build whose two tables don't add up to it is not closed.
+    ``error`` is a row's error class, null for a good one; ``rows`` have no columns error_class and context. A quarantined row has
+    its locator, the class, a context without secrets and an id, a hash of locator and class. The input is written once and counted; a build whose two tables don't add up to it is not closed.
     """
     build = Build(spark, path)
-    held = build.hold("input", rows.withColumn("error_class", error))
+    plain = F.when(error.isNotNull(), cj.row_json(rows, context, strict=False))
+    held = build.hold("input", rows.withColumns({"error_class": error, "context": plain}))
     bad = held.where("error_class IS NOT NULL")
-    ids = bad.withColumn("quarantine_id", cj.row_hash(bad, [*locator, "error_class"])).withColumn("context", scrub_json(cj.row_json(bad, context, strict=False)))
-    ids = build.hold("bad", ids)  # contexts are scrubbed once
-    n = build.write("mapped", held.where("error_class IS NULL").drop("error_class")).count()
-    m = build.write("quarantine", ids.select("quarantine_id", *locator, "error_class", "context")).count()
+    ids = bad.select(cj.row_hash(bad, [*locator, "error_class"]).alias("quarantine_id"), *locator, "error_class", scrub_json(F.col("context")).alias("context"))
+    ids = build.hold("bad", ids)  # scrubbed once, before its rows are hashed
+    n = build.write("mapped", held.where("error_class IS NULL").drop("error_class", "context")).count()
+    m = build.write("quarantine", ids).count()
     if (given := held.count()) != n + m:
         raise BuildError(f"{given} rows came in, {n} are mapped and {m} in quarantine")
     return build.close(input_rows=str(given), mapped_rows=str(n), quarantined_rows=str(m))
