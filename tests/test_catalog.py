@@ -126,3 +126,17 @@ def test_eligibility_order(spark):
     rows = spark.createDataFrame([tuple((base | c | {"security_id": str(i)}).values()) for i, (c, _) in enumerate(cases)], schema)
     got = {int(r.security_id): r.reason for r in catalog.run(spark, "PRJ-32", panel_input=rows).collect()}
     assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+
+
+def test_candidates_of_high_security_numbers(spark, tmp_path):
+    """Ordinals pass 2^31 from the 21,475th security on."""
+    from tidebar.plans.relations import frame
+
+    rows = [(1, 7, 1, dt.datetime(1995, 1, 4), 2.0, 30.0), (2, 60_000, 1, dt.datetime(1995, 1, 4), 2.0, 30.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.security_id: r.ordinal for r in frame(spark, str(tmp_path), "candidates").where("run_id = 'run-1'").collect()}
+    day = (dt.date(1995, 1, 4) - dt.date(1990, 1, 1)).days
+    assert got == {"S000007": 700_000 + 2 * day, "S060000": 6_000_000_000 + 2 * day}
+    for key in ("WN-21", "WN-22", "TB-08"):
+        plans.QUERIES[key](spark, str(tmp_path)).collect()
