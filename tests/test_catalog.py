@@ -140,3 +140,19 @@ def test_candidates_of_high_security_numbers(spark, tmp_path):
     assert got == {"S000007": 700_000 + 2 * day, "S060000": 6_000_000_000 + 2 * day}
     for key in ("WN-21", "WN-22", "TB-08"):
         plans.QUERIES[key](spark, str(tmp_path)).collect()
+
+
+def test_lines_of_one_order_and_number_are_a_decided_tie(spark, tmp_path):
+    """Whatever the order of the rows, the lowest price opens and the highest closes, in the query and in PRJ-33's SQL."""
+    from tidebar.plans.relations import frame
+
+    day = dt.datetime(1995, 1, 4)
+    rows = [(5, 1, 3, day, 1.0, 7.0), (5, 1, 3, day, 1.0, 6.0), (9, 1, 3, day, 1.0, 9.0), (9, 1, 3, day, 1.0, 8.0), (7, 1, 1, day, 1.0, 1.0)]
+    for name, order in (("a", rows), ("b", rows[::-1])):
+        lines = spark.createDataFrame(order, "l_orderkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double")
+        lines.coalesce(1).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        got = frame(spark, f"{tmp_path}/{name}", "raw_bars").collect()
+        assert [(r.open, r.close, r.high, r.low) for r in got] == [(6.0, 9.0, 9.0, 1.0)]
+    con = duckdb.connect()
+    assert con.execute("SELECT arg_min(p, (o, p)), arg_max(p, (o, p)) FROM (VALUES (53, 7), (53, 6), (93, 9), (93, 8)) t(o, p)").fetchone() == (6, 9)
+    assert "arg_min(p, (o, p))" in plans.ORACLE["PRJ-33"]
