@@ -623,3 +623,21 @@ def test_urls(spark):
     assert set(out.columns) == set(more.columns) | {"path", "verdict"}
     assert {(r.component, r.allow, r["class"], r.node) for r in out.collect()} == {("own",) * 4}
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()} == got
+
+
+def test_lines_that_are_alike_always_share_a_key(spark):
+    """Long lines at the least similarity: a sample of triples missed some of these pairs."""
+    import random
+
+    rng = random.Random(7)
+    rows, n_pairs = [], 150
+    for i in range(n_pairs):
+        n = rng.choice([5, 9, 14, 23, 40])
+        base = [f"w{i}x{j}" for j in range(n)]
+        other = list(base)
+        for at in range(0, n - n % 5, 5):  # spread, so that each breaks two pairs
+            other[at + rng.randrange(1, 4)] = f"v{i}x{at}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in lines.dedup(docs).where("n_dropped = 1").collect()}
+    assert got == {2 * i + 1 for i in range(n_pairs)}
