@@ -134,3 +134,15 @@ def test_months_round_trip(spark, varying):
     one = st.read_months(spark, at, 202602, 202602)
     assert one.count() == 6 and all("month" in f for f in scan_of(one) if f)
     assert st.read_months(spark, at, 202701).count() == 0
+
+
+def test_panel_is_written_in_one_pass_over_its_input(spark, tmp_path):
+    """Prices come with the panel's rows and not by a join of the panel with its own input: the bars are read once."""
+    from tidebar.plans.relations import frame
+
+    rows = frame(spark, "/root/testdata/sf0.001", "panel_priced")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    keys = ["security_id", "trade_date"]
+    both = frame(spark, "/root/testdata/sf0.001", "panel").join(frame(spark, "/root/testdata/sf0.001", "panel_input").select(*keys, "close", "volume"), keys)
+    assert rows.select(sorted(rows.columns)).exceptAll(both.select(sorted(both.columns))).count() == 0 and rows.count() == both.count()

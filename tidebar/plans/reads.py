@@ -18,7 +18,7 @@ from .relations import duck, frame
 
 def _panel(spark, sf_dir):
     def build(path):
-        panel = frame(spark, sf_dir, "panel").join(frame(spark, sf_dir, "panel_input").select("security_id", "trade_date", "close", "volume"), ["security_id", "trade_date"])
+        panel = frame(spark, sf_dir, "panel_priced")  # in one pass, as panel and its input by key would take three shuffles more
         route = F.when((F.col("eligibility") == "RESEARCH_ENABLED") & (F.col("exchange") != "BJ"), "enabled").when(F.col("eligibility") == "RESEARCH_EXPERIMENTAL", "experimental").otherwise("disabled")
         rd.write_panel(panel.withColumn("route", route).select("security_id", "trade_date", "split", "route", "reason", "close", "volume"), path)
 

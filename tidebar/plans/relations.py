@@ -110,7 +110,9 @@ rel("panel_input", lambda d: f"""SELECT p.*, {SPLIT} AS split FROM (SELECT b.sec
   CASE WHEN {D(d, 'b.trade_date')} % 97 = 0 THEN 'RESEARCH_EXPERIMENTAL' WHEN {D(d, 'b.trade_date')} % 89 = 0 THEN 'RESEARCH_DISABLED_UNRESOLVED' END AS upstream, {D(d, 'b.trade_date')} % 83 = 0 AS identity_conflict, i.security_id AS resolved_id
   FROM :bars b JOIN :master m ON b.security_id = m.security_id LEFT JOIN :identity i ON b.security_id = i.security_id AND b.trade_date >= i.valid_from AND (i.valid_to IS NULL OR b.trade_date < i.valid_to)) p""")
 rel("current_symbols", "SELECT security_id, max(symbol) AS symbol FROM :identity WHERE valid_to IS NULL GROUP BY security_id HAVING count(*) = 1")
-rel("panel", "SELECT security_id, trade_date, split, exchange, reason, CASE WHEN reason IS NULL THEN 'RESEARCH_ENABLED' WHEN upstream = 'RESEARCH_EXPERIMENTAL' AND reason = 'upstream_unresolved' THEN 'RESEARCH_EXPERIMENTAL' ELSE 'RESEARCH_DISABLED_UNRESOLVED' END AS eligibility, CASE WHEN reason IS NULL THEN 'VERIFIED' WHEN reason IN ('non_finite_value', 'invalid_ohlc') THEN 'INVALID' ELSE 'UNRESOLVED' END AS quality_state FROM (SELECT *, " + __import__("tidebar.operators.catalog", fromlist=["ELIGIBILITY"]).ELIGIBILITY + " AS reason FROM :panel_input) q")
+_PANEL = "SELECT security_id, trade_date, split, exchange, reason,{more} CASE WHEN reason IS NULL THEN 'RESEARCH_ENABLED' WHEN upstream = 'RESEARCH_EXPERIMENTAL' AND reason = 'upstream_unresolved' THEN 'RESEARCH_EXPERIMENTAL' ELSE 'RESEARCH_DISABLED_UNRESOLVED' END AS eligibility, CASE WHEN reason IS NULL THEN 'VERIFIED' WHEN reason IN ('non_finite_value', 'invalid_ohlc') THEN 'INVALID' ELSE 'UNRESOLVED' END AS quality_state FROM (SELECT *, " + __import__("tidebar.operators.catalog", fromlist=["ELIGIBILITY"]).ELIGIBILITY + " AS reason FROM :panel_input) q"
+rel("panel", _PANEL.replace("{more}", ""))
+rel("panel_priced", _PANEL.replace("{more}", " close, volume,"))
 rel("panel_claims", lambda d: f"SELECT split AS assigned_split, CASE WHEN {D(d)} % 101 = 0 THEN 'holdout' ELSE split END AS split, CASE WHEN {D(d)} % 103 = 0 THEN 'x' ELSE reason END AS reason, eligibility, CASE WHEN {D(d)} % 107 = 0 THEN 'INVALID' ELSE quality_state END AS quality_state FROM :panel")
 rel("rated", f"SELECT security_id, trade_date, floor(pre_close * 100) / 100 AS pre_close, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS up_rate, CASE WHEN {K} % 10 = 0 THEN 0.0 WHEN {K} % 7 = 0 THEN 0.05 ELSE 0.1 END AS down_rate FROM :bars WHERE pre_close > 0")
 values("patterns", "pattern", ("'0000xx'",), ("'00xxx1'",), ("'0xxxxx'",), ("'00001'",), ("'xxxx1x'",), ("'xxxxxx'",))
