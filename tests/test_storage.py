@@ -146,3 +146,14 @@ def test_panel_is_written_in_one_pass_over_its_input(spark, tmp_path):
     keys = ["security_id", "trade_date"]
     both = frame(spark, "/root/testdata/sf0.001", "panel").join(frame(spark, "/root/testdata/sf0.001", "panel_input").select(*keys, "close", "volume"), keys)
     assert rows.select(sorted(rows.columns)).exceptAll(both.select(sorted(both.columns))).count() == 0 and rows.count() == both.count()
+
+
+def test_routes_carry_their_reasons(spark):
+    """History takes reasons with the routes, without a second look at the bars."""
+    from tidebar.plans.relations import frame
+
+    rows = frame(spark, "/root/testdata/sf0.001", "routed_reasons")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+    keys = ["security_id", "trade_date"]
+    both = frame(spark, "/root/testdata/sf0.001", "routed").join(frame(spark, "/root/testdata/sf0.001", "panel").select(*keys, "reason"), keys)
+    assert rows.select(sorted(rows.columns)).exceptAll(both.select(sorted(both.columns))).count() == 0 and rows.count() == both.count()
