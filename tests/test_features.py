@@ -175,3 +175,13 @@ def test_stored_tables_have_all_columns(spark):
     twice = foreign.unionByName(foreign.limit(1).withColumn("trade_date", F.lit(DAY + dt.timedelta(9))))
     got = sorted((r.violation, str(r.trade_date)) for r in ft.guard(twice, F.lit("2027-01-01").cast("date"), r).collect())
     assert got == [("DUPLICATE_CANONICAL_KEY", "2026-01-01"), ("DUPLICATE_CANONICAL_KEY", "2026-01-10"), ("FOREIGN_CANONICAL_RUN", "2026-01-02")]
+
+
+def test_features_take_one_sort(spark):
+    """No wide row is sorted again: one shuffle and one order by (security, date), besides that of the bars themselves."""
+    from tidebar.operators import features
+    from tidebar.sources.derived import bars
+
+    own = bars(spark, "/root/testdata/sf0.001")
+    sorts = lambda df: df._jdf.queryExecution().executedPlan().toString().count("- Sort [")
+    assert sorts(features.security_features(own)) == sorts(own)
