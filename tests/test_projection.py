@@ -83,3 +83,13 @@ def test_quarantine_accounts_for_every_row(spark):
     bad = bd.read_table(spark, at, "quarantine").collect()
     assert {r.error_class for r in bad} == {"BAD"} and all(json.loads(r.context)["api_token"] == "[REDACTED]" for r in bad) and len({r.quarantine_id for r in bad}) == 1
     assert {(r.request_id, r.ordinal) for r in bd.read_table(spark, at, "mapped").collect()} == {("r", 1), ("s", 1)}
+
+
+def test_a_document_is_taken_apart_once(spark):
+    """One look at the document, not several for each column, and the same texts with and without escapes."""
+    texts = ["plain", 'a "quoted" one', "back\\slash", "line\nend", "\u00e9\u4e2d", ""]
+    docs = spark.createDataFrame([(i, json.dumps({"canonical_domain": x, "volume": 9007199254740993, "source_row_ordinal": -3})) for i, x in enumerate(texts)], "i int, t string").selectExpr("parse_json(t) AS doc")
+    out = pj.project(docs, "daily_bar", "run", "snapshot", F.lit("2024-01-01").cast("timestamp"))
+    assert sorted(r.canonical_domain for r in out.collect()) == sorted(texts)
+    assert {(r.volume, r.source_row_ordinal) for r in out.select("volume", "source_row_ordinal").collect()} == {(9007199254740992.0, -3)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("doc#") < 12

@@ -37,9 +37,9 @@ def columns_of(domain: str) -> dict[str, str]:
     return {"canonical_domain": "string", "canonical_key": "string"} | identity | PAYLOADS[domain] | LINEAGE
 
 
-def _typed(v: Column, kind: str) -> Column:
-    """The value in its type, null if it isn't of it: no number from a text or a boolean, no whole number from a fraction, no time without an offset."""
-    held, get = F.schema_of_variant(v), lambda t: F.try_variant_get(v, "$", t)
+def _typed(v: Column, held: Column, kind: str) -> Column:
+    """The value, of variant schema ``held``, in its type, null if it isn't of it: no number from a text or a boolean, no whole number from a fraction, no time without an offset."""
+    get = lambda t: F.try_variant_get(v, "$", t)
     text = F.when(held == "STRING", get("string"))
     if kind == "double":
         return F.when(held.isin("BIGINT", "DOUBLE", "FLOAT") | held.startswith("DECIMAL"), get("double"))
@@ -60,15 +60,19 @@ def project(rows: DataFrame, domain: str, run_id: str, snapshot_id: str, as_of:
     the ones without violation. Other fields of ``doc`` don't matter.
     """
     names, c = columns_of(domain), F.col
-    raw = lambda n: F.try_variant_get("doc", f"$.{n}", "variant")
-    typed = rows.select(*[_typed(raw(n), kind.rstrip("?")).alias(n) for n, kind in names.items()], F.struct(*[(raw(n).isNotNull() & ~F.is_variant_null(raw(n))).alias(n) for n in names]).alias("__given"))
-    key = key_verdict(F.lit(domain), c("canonical_key"))
+    # each step is a column that the next ones look at, so that a document, a field and a key are taken apart once
+    fields = rows.select(F.try_variant_get("doc", "$", "map<string,variant>").alias("__fields"))
+    raw = fields.select(*[F.try_element_at("__fields", F.lit(n)).alias(n) for n in names])
+    kinds = raw.select(*names, *[F.when(~F.is_variant_null(n), F.schema_of_variant(n)).alias(f"__{n}") for n in names])
+    typed = kinds.select(*[_typed(c(n), c(f"__{n}"), kind.rstrip("?")).alias(n) for n, kind in names.items()], *[c(f"__{n}").isNotNull().alias(f"__{n}") for n in names])
+    typed = typed.withColumn("__key", key_verdict(F.lit(domain), c("canonical_key")))
+    typed = typed.withColumn("__parts", F.from_json(F.when(c("__key") == "VALID", c("canonical_key")), "array<string>"))
+    key, parts = c("__key"), c("__parts")
     checks = [F.when(~c("canonical_domain").eqNullSafe(domain), "FOREIGN_DOMAIN"), F.when(c("canonical_key").isNull(), "KEY:MISSING"), F.when(key != "VALID", F.concat(F.lit("KEY:"), key))]
     for n, kind in names.items():
-        given = F.coalesce(F.col("__given")[n], F.lit(False))
+        given = c(f"__{n}")
         checks.append(F.when(given & c(n).isNull(), f"TYPE:{n}") if kind.endswith("?") else F.when(~given, f"NULL:{n}").when(c(n).isNull(), f"TYPE:{n}"))
     owner = "market" if domain == "trade_calendar" else "security_id"
-    parts = F.from_json(F.when(key == "VALID", c("canonical_key")), "array<string>")
     checks.append(F.when((F.get(parts, F.lit(0)) != c(owner)) | (F.get(parts, F.lit(1)) != F.date_format("trade_date", "yyyy-MM-dd")), "PARTS_DISAGREE"))
     checks.append(F.when(c("available_at") > as_of, "FUTURE"))
     projected = [F.get(parts, F.lit(i)).alias(n) for n, i in KEY_PARTS.get(domain, {}).items()]
