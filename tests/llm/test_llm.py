@@ -641,3 +641,29 @@ def test_lines_that_are_alike_always_share_a_key(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id for r in lines.dedup(docs).where("n_dropped = 1").collect()}
     assert got == {2 * i + 1 for i in range(n_pairs)}
+
+
+def test_line_dedup_works_in_parts(spark, monkeypatch):
+    """The keys' table is gone before texts are read; the number of parts changes no result, and each row is in one part."""
+    import os
+
+    from tidebar.llm import common
+
+    words = "one two three four five six seven eight nine ten eleven twelve".split()
+    texts = ["\n".join(" ".join(words[(i + k + j) % 12] if (i * k) % 7 != j else f"w{i}" for j in range(10)) for k in range(6)) for i in range(40)]
+    held, read = [], lines._texts
+    old = set(os.listdir(common.shared_dir(spark).removeprefix("file:")))
+
+    def watched(docs_, wanted, *rest):
+        at = common.shared_dir(spark).removeprefix("file:")
+        held.extend(x for x in set(os.listdir(at)) - old if x.startswith("cut-") and "keys" in spark.read.parquet(f"{at}/{x}").columns)
+        return read(docs_, wanted, *rest)
+
+    monkeypatch.setattr(lines, "_texts", watched)
+    out = []
+    for n in (1, 3):
+        monkeypatch.setattr(lines, "PARTS", n)
+        out.append(sorted((r.doc_id, r.text, r.n_dropped) for r in lines.dedup(docs(spark, texts)).collect()))
+    assert out[0] == out[1] and sum(r[2] for r in out[0]) > 0 and not held
+    x = spark.createDataFrame([(None,), *[(i,) for i in range(50)]], "x long")
+    assert sorted(str(r.x) for i in range(3) for r in x.where(common.share(F.col("x"), i, 3)).collect()) == sorted(str(r.x) for r in x.collect())
