@@ -97,3 +97,11 @@ def test_fact_hashes(spark):
     facts = spark.createDataFrame([("a", "v1"), ("a", "v2"), ("b", "v1")], "s string, version string")
     a, b, c = ky.fact_hashes(facts, ["s"], "version").orderBy("s", "version").collect()
     assert a.fact_hash != b.fact_hash and a.review_hash == b.review_hash != c.review_hash
+
+
+def test_doubles_beside_powers_of_two_need_no_function(spark):
+    """The short way gives mantissa and exponent as the long one does, and as Python has them."""
+    xs = [s * y for k in (-899, -60, -55, -3, -1, 52, 53, 60, 899) for y in (2.0**k, math.nextafter(2.0**k, 0), math.nextafter(2.0**k, math.inf)) for s in (1, -1)]
+    for r in spark.createDataFrame([(x,) for x in xs], "x double").select("x", cj._scaled_near(F.col("x")).alias("a"), cj._scaled(F.col("x")).alias("b")).collect():
+        m, e = math.frexp(r.x)
+        assert r.a == r.b == f'{{"e":{e - 54},"m":{int(m * 2**54)}}}'
