@@ -105,3 +105,16 @@ def test_doubles_beside_powers_of_two_need_no_function(spark):
     for r in spark.createDataFrame([(x,) for x in xs], "x double").select("x", cj._scaled_near(F.col("x")).alias("a"), cj._scaled(F.col("x")).alias("b")).collect():
         m, e = math.frexp(r.x)
         assert r.a == r.b == f'{{"e":{e - 54},"m":{int(m * 2**54)}}}'
+
+
+def test_sums_of_lanes_are_those_of_the_digits(spark):
+    df = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).unionByName(spark.createDataFrame([("f" * 64,), ("0" * 64,), (None,)], "h string"))
+    hashes = [r.h for r in df.collect() if r.h]
+    got = df.select(*[w.alias(f"w{i}") for i, w in enumerate(cj.wide_lanes(F.col("h")))]).agg(*cj.lane_sums([F.col(f"w{i}") for i in range(4)])).first()
+    assert [int(x) for x in got] == [sum(int(h[8 * i : 8 * i + 8], 16) for h in hashes) for i in range(8)]
+
+
+def test_texts_with_quotes_and_controls(spark):
+    texts = ['["S1","D"]', 'a\\"b', 'x"\x01\ny', "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [None if r.j is None else json.loads(r.j) for r in df.select(cj.text_json(F.col("t")).alias("j")).collect()] == texts
