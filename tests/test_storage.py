@@ -157,3 +157,17 @@ def test_routes_carry_their_reasons(spark):
     keys = ["security_id", "trade_date"]
     both = frame(spark, "/root/testdata/sf0.001", "routed").join(frame(spark, "/root/testdata/sf0.001", "panel").select(*keys, "reason"), keys)
     assert rows.select(sorted(rows.columns)).exceptAll(both.select(sorted(both.columns))).count() == 0 and rows.count() == both.count()
+
+
+def test_month_files_are_not_one_for_each_task_and_month(spark):
+    rows = spark.range(2500).selectExpr("concat('S', id % 7) AS security_id", "date_add(DATE '2024-01-01', CAST(id % 360 AS INT)) AS trade_date", "CAST(id AS DOUBLE) AS close", "date_add(DATE '2024-01-01', CAST(id % 2 AS INT)) AS available_on")
+    at = st.scratch(spark, "months")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        st.write_months(rows, at)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    facts = spark.read.parquet(f"{at}/facts")
+    files = facts.groupBy(F.col("_metadata.file_path").alias("f")).count().count()
+    assert facts.count() == 2500 and files <= 12 + 4  # 12 months, 4 tasks
+    assert sorted(st.read_months(spark, at).drop("month").select(rows.columns).collect()) == sorted(rows.collect())
