@@ -156,3 +156,20 @@ def test_lines_of_one_order_and_number_are_a_decided_tie(spark, tmp_path):
     con = duckdb.connect()
     assert con.execute("SELECT arg_min(p, (o, p)), arg_max(p, (o, p)) FROM (VALUES (53, 7), (53, 6), (93, 9), (93, 8)) t(o, p)").fetchone() == (6, 9)
     assert "arg_min(p, (o, p))" in plans.ORACLE["PRJ-33"]
+
+
+def test_bars_of_long_keys_and_lines_without_an_order(spark, tmp_path):
+    """Suppliers whose ids are cut to the same six digits keep bars of their own; a line without an order closes its day, as in PRJ-33's SQL."""
+    from tidebar.plans.relations import frame
+    from tidebar.sources.derived import RAW_BARS_SQL
+
+    day = dt.datetime(1995, 1, 4)
+    rows = [(1, 1_000_001, 1, day, 1.0, 7.0), (2, 1_000_002, 1, day, 1.0, 6.0), (None, 3, 1, day, 1.0, 2.0), (4, 3, 1, day, 1.0, 9.0), (5, 3, 1, day, 1.0, 8.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(tuple(r) for r in frame(spark, str(tmp_path), "raw_bars").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    fixed = RAW_BARS_SQL.replace("arg_min(p, o)", "arg_min(p, (o, p))").replace("arg_max(p, o)", "arg_max(p, (o, p))")
+    assert got == sorted(con.execute(f"WITH {fixed} SELECT * FROM raw_bars").fetchall())
+    assert [(r[0], r[2], r[5]) for r in got] == [("S000003", 9.0, 2.0), ("S100000", 6.0, 6.0), ("S100000", 7.0, 7.0)]
