@@ -173,3 +173,16 @@ def test_bars_of_long_keys_and_lines_without_an_order(spark, tmp_path):
     fixed = RAW_BARS_SQL.replace("arg_min(p, o)", "arg_min(p, (o, p))").replace("arg_max(p, o)", "arg_max(p, (o, p))")
     assert got == sorted(con.execute(f"WITH {fixed} SELECT * FROM raw_bars").fetchall())
     assert [(r[0], r[2], r[5]) for r in got] == [("S000003", 9.0, 2.0), ("S100000", 6.0, 6.0), ("S100000", 7.0, 7.0)]
+
+
+def test_run_identity_holds_every_row(spark):
+    """TB-08 changes with each ordinal and payload, also where ordinals are alike modulo 97, and not with the order of rows."""
+    schema = "run_id string, security_id string, ordinal long, manifest_hash string, payload long"
+    base = [("r", "S000001", 3, "m", 5), ("r", "S000001", 100, "m", 5), ("r", "S000002", 7, "m", None)]
+
+    def identity(rows):
+        return [tuple(r) for r in catalog.run(spark, "TB-08", candidates=spark.createDataFrame(rows, schema)).collect()]
+
+    others = [base[:1] + base[2:], [*base, ("r", "S000002", 104, "m", 5)], [base[0], ("r", "S000001", 197, "m", 5), base[2]], [*base[:2], ("r", "S000002", 7, "m", 6)]]
+    got = [identity(x)[0][1] for x in (base, *others)]
+    assert len(set(got)) == len(got) and identity(base[::-1]) == identity(base)
