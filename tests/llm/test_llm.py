@@ -183,6 +183,27 @@ def test_decontamination(spark):
     assert decontaminate.find(docs(spark, []), bench).count() == 0
 
 
+def test_space_is_fitted_on_all_rows(spark, monkeypatch):
+    """The sketch is the sum over every passage of every row, however many rows there are."""
+    import numpy as np
+
+    rng, held = random.Random(21), []
+    items = [(i, " ".join(words(rng, 40, 300))) for i in range(12)]
+    texts = AWKWARD + [" ".join(words(rng, rng.randrange(1, 70), 300)) for _ in range(2400)]
+    monkeypatch.setattr(decontaminate.Index, "fit", lambda self, corpus: held.append(corpus))
+    index = decontaminate.build(docs(spark, texts), items, "doc_id", "text")
+    omega = index.omega()
+    want = np.zeros_like(omega)
+    for t in texts:
+        ids = index.ids(t)
+        for at in range(0, len(ids), decontaminate.BLOCK):
+            here = ids[at : at + 2 * decontaminate.BLOCK]
+            w, n = np.unique(here[here >= 0], return_counts=True)
+            if len(w):
+                want[w] += index._outer(w, n, omega)
+    assert np.allclose(held[0], want)
+
+
 def test_decontamination_of_a_large_benchmark():
     import numpy as np
 

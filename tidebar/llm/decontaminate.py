@@ -8,13 +8,14 @@ the input are ignored.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_texts, own_id, table
+from .common import map_texts, own_id, table
 
 #: Words in a block; a passage is two adjacent blocks, and each block is in two passages.
 BLOCK = 20
@@ -22,9 +23,8 @@ BLOCK = 20
 ITEM_WORDS = 48
 #: Dimensions of the latent space, and further ones while it is found.
 RANK, OVERSAMPLE = 64, 16
-#: Rows of the sample that the space is fitted on (with all items). Document
-#: frequencies come from all rows, and every passage of every row is searched.
-SAMPLE_DOCS = 2000
+#: The space is fitted on so many words at a time.
+STEP_WORDS = 5_000
 #: Least cosine of a candidate, least shares of an item's weight in the common
 #: subsequence: alone, and with the answer found.
 CANDIDATE, VERBATIM, PARAPHRASE = 0.6, 0.75, 0.5
@@ -86,10 +86,11 @@ class Index:
 
     def keyed(self, ids: np.ndarray) -> list[tuple[int, int]]:
         """(part, block) of the keys of parts of which the text has enough; no part that ``check`` takes is missed."""
-        known = np.unique(ids)
-        known = known[known >= 0]
+        known = np.sort(ids[ids >= 0])
+        known = known[np.flatnonzero(np.diff(known, prepend=-1))]
         size = self.key_at[known + 1] - self.key_at[known]
-        rows = np.repeat(self.key_at[known] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum()) if len(known) else np.zeros(0, np.int64)
+        ends = np.cumsum(size)
+        rows = np.repeat(self.key_at[known] - (ends - size), size) + np.arange(ends[-1]) if len(known) else np.zeros(0, np.int64)
         have = np.bincount(self.key_part[rows], self.key_weight[rows], len(self.parts))
         ok = (have >= self.need) & (have > 0)
         rows, words_ = rows[ok[self.key_part[rows]]], np.repeat(known, size)[ok[self.key_part[rows]]]
@@ -107,22 +108,55 @@ class Index:
         at = np.flatnonzero(ids >= 0)
         if len(at):
             b = at // BLOCK
-            first = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
-            out[b[first]] = np.add.reduceat(vectors[ids[at]], first, axis=0)
+            first = np.flatnonzero(np.diff(b, prepend=-1))
+            out[b[first]] = np.add.reduceat(vectors.take(ids[at], 0), first, axis=0)
         return out
 
-    def sketch(self, texts: list[str | None], omega: np.ndarray) -> np.ndarray:
+    def sketch(self, texts: Iterable[str | None], omega: np.ndarray) -> np.ndarray:
         """Sum over passages a of a (a . omega), a being their unit TF-IDF vectors."""
-        out = np.zeros_like(omega)
+        out, weighted = np.zeros_like(omega), self.idf[:, None] * omega
+        held, n, room = [], 0, np.empty((2 * STEP_WORDS, omega.shape[1]))
         for t in texts:
-            ids = self.ids(t)
-            for lo in range(0, len(ids), BLOCK):
-                w, n = np.unique(ids[lo : lo + 2 * BLOCK], return_counts=True)
-                w, n = (w[1:], n[1:]) if len(w) and w[0] < 0 else (w, n)
-                if len(w):
-                    out[w] += self._outer(w, n, omega)
+            held.append(self.ids(t))
+            n += len(held[-1])
+            if n >= STEP_WORDS:
+                room = self._add_passages(held, weighted, out, room)
+                held, n = [], 0
+        if held:
+            self._add_passages(held, weighted, out, room)
+        out *= self.idf[:, None]
         return out
 
+    def _add_passages(self, texts: list[np.ndarray], weighted: np.ndarray, out: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Adds to ``out``, for each word, the passages' ``a . omega`` by the square of their length, as often as they hold the word.
+
+        ``room`` is where rows are gathered; it comes back, larger where a text needs it.
+        """
+        sizes = np.array([len(x) for x in texts])
+        blocks = -(-sizes // BLOCK)
+        first = np.cumsum(np.r_[1, blocks + 1])  # an empty block before and after each text
+        begins = np.zeros(first[-1] + 1, bool)  # blocks at which a passage begins
+        begins[np.repeat(first[:-1] - np.cumsum(np.r_[0, blocks[:-1]]), blocks) + np.arange(blocks.sum())] = True
+        at = np.repeat(first[:-1], sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(np.r_[0, sizes[:-1]]), sizes)) // BLOCK
+        ids = np.concatenate(texts)
+        ids, at = ids[ids >= 0], at[ids >= 0]
+        if not len(ids):
+            return room
+        if len(ids) > len(room):
+            room = np.empty((len(ids), room.shape[1]))
+        cut = np.flatnonzero(np.diff(at, prepend=-1))
+        sums = np.zeros((len(begins) + 1, weighted.shape[1]))
+        sums[at[cut]] = np.add.reduceat(weighted.take(ids, 0, room[: len(ids)], "clip"), cut, axis=0)
+        passages = sums[:-1] + sums[1:]
+        one, n = np.unique(np.concatenate([at, at - 1]) * len(self.idf) + np.tile(ids, 2), return_counts=True)
+        square = np.bincount(one // len(self.idf), (n * self.idf[one % len(self.idf)]) ** 2, len(begins))
+        passages *= np.divide(1.0, square, out=np.zeros(len(begins)), where=begins & (square > 0))[:, None]
+        by = np.argsort(ids, kind="stable")
+        cut = np.flatnonzero(np.diff(ids[by], prepend=-1))
+        passages[1:] += passages[:-1].copy()  # a block is in the passage that begins there and in the one before
+        out[ids[by][cut]] += np.add.reduceat(passages.take(at[by], 0, room[: len(ids)], "clip"), cut, axis=0)
+        return room
+
     def _outer(self, w, n, omega) -> np.ndarray:
         a = n * self.idf[w]
         a = a / np.linalg.norm(a)
@@ -135,7 +169,7 @@ class Index:
         """The leading right singular vectors from the sketch ``C omega`` of corpus and items.
 
         One pass suffices: C = A^T A is symmetric, so C is near Y (omega^T Y)^-1 Y^T
-        for Y = C omega. The items weigh as much as the sample of the corpus.
+        for Y = C omega. The items weigh as much as the corpus.
         """
         omega = self.omega()
         items = np.zeros_like(omega)
@@ -155,19 +189,24 @@ class Index:
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        return x / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
 
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
         """(part, first word, end) of passages whose cosine with a part is high or that hold keys of it; adjacent ones are one.
 
         The space can't tell thousands of items apart, and a short item is little of a passage: these are found by their keys.
+        A part of whose keys the whole text has too little is one that ``check`` takes in no passage, so passages are held against the others only.
         """
-        b = self.blocks(ids, self.space)
-        passages = b + np.vstack([b[1:], np.zeros((1, b.shape[1]), np.float32)]) if len(b) else b
         near: set[tuple[int, int]] = set(self.keyed(ids))
+        if not near:
+            return []
+        parts = np.array(sorted({p for p, _ in near}))
+        b = self.blocks(ids, self.space)
+        passages = b.copy()
+        passages[:-1] += b[1:]
         for lo in range(0, len(passages), 4096):
-            at, part = np.nonzero(self._unit(passages[lo : lo + 4096]) @ self.targets.T >= CANDIDATE)
-            near.update(zip(part.tolist(), (at + lo).tolist()))
+            at, part = np.nonzero(self._unit(passages[lo : lo + 4096]) @ self.targets[parts].T >= CANDIDATE)
+            near.update(zip(parts[part].tolist(), (at + lo).tolist()))
         found: dict[int, list[list[int]]] = {}
         for p, i in sorted(near):
             runs = found.setdefault(p, [])
@@ -224,7 +263,7 @@ def _slices(bench: DataFrame, id_col: str, text_col: str):
 
 
 def build(docs: DataFrame, items: list[tuple], id_col: str, text_col: str) -> Index | None:
-    """Document frequencies over all rows, and the space from a bounded sample of them."""
+    """Document frequencies over all rows, and the space from all of their passages."""
     index = Index(items)
     if not index.parts:
         return None
@@ -244,14 +283,16 @@ def build(docs: DataFrame, items: list[tuple], id_col: str, text_col: str) -> In
     }
     index = Index(items, df, df.get(b"", 0))
 
-    def sketched(texts):
-        y = index.sketch(texts, index.omega())
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One table of sums for each task, however many passages it has."""
+        y = index.sketch((t for b in batches for t in b.column(0).to_pylist()), index.omega())
         used = np.flatnonzero(np.abs(y).sum(1))
-        return [used.tolist(), [y[i].tobytes() for i in used]]
+        for at in range(0, len(used), 10_000):
+            some = used[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([y[i].tobytes() for i in some], pa.binary())], names=["word", "y"])
 
     corpus = np.zeros_like(index.omega())
-    sample = bounded_sample(docs.select(id_col, text_col), id_col, SAMPLE_DOCS, 29)
-    parts = map_texts(sample, [text_col], sketched, "word long, y binary")
+    parts = docs.select(text_col).mapInArrow(sketched, "word long, y binary")
 
     def summed(key, rows):
         total = sum(np.frombuffer(y, float) for y in rows.column("y").to_pylist())
