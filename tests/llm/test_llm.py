@@ -477,6 +477,22 @@ def test_lines_of_the_same_words_are_not_copies(spark):
     assert [r.n_dropped for r in lines.dedup(docs(spark, near)).orderBy("doc_id").collect()] == [0, 0, 1]
 
 
+def test_unlike_lines_of_one_passage_do_not_all_meet(spark, monkeypatch):
+    """Keys come from the rest of a line where it quotes a passage that many lines quote."""
+    rng, most, linked = random.Random(17), [], lines.linked_lines
+    passage = [f"q{i}" for i in range(20)]
+    texts = [" ".join(w[:at] + passage + w[at:]) for w, at in ((words(rng, 60, 50), rng.randrange(60)) for _ in range(400))]
+
+    def counted(keyed, *more):
+        most.append(keyed.groupBy("bucket").count().agg(F.max("count")).first()[0])
+        return linked(keyed, *more)
+
+    monkeypatch.setattr(lines, "linked_lines", counted)
+    table = docs(spark, texts + [texts[7] + " more", "other " + texts[300]])
+    got = {r.doc_id for r in lines.dedup(table).where("n_dropped = 1").collect()}
+    assert got == {400, 401} and most[0] < 100
+
+
 def test_rows_of_one_doc_id(spark):
     a, b = "one two three four five six", "alpha beta gamma delta epsilon zeta"
     rows = [(1, a), (2, a), (2, b), (3, f"{b}\nits own line of six words"), (3, f"{b}\nits own line of six words")]
